@@ -101,18 +101,13 @@ def with_forum(
 ) -> DataFrame:
     """Add the forum name of an envelope line, parsing each line once.
 
-    The row id next to the parsed line keeps the optimizer from copying the parser into
-    filters on the name.
+    Filters on the name belong behind the next shuffle or aggregation: right here the
+    optimizer would copy the parser into them.
     """
     return (
-        df.withColumns(
-            {
-                "_envelope": envelope(F.col(line), scripts_path, links_path),
-                "_row": F.monotonically_increasing_id(),
-            }
-        )
+        df.withColumn("_envelope", envelope(F.col(line), scripts_path, links_path))
         .withColumn(name, forum_in(F.col("_envelope"), scripts_path, links_path))
-        .drop("_envelope", "_row")
+        .drop("_envelope")
     )
 
 

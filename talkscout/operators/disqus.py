@@ -13,7 +13,7 @@ from talkscout.sources.wat import FORUM_HOST
 
 CANDIDATE = ["domain", "hostname", "sample_url", "disqus_shortname"]
 
-_BLOCK_LINES = 65_536
+_BLOCK_BITS = 16
 
 
 def carry_forward(
@@ -49,25 +49,16 @@ def forum_lines(
     themselves, by far the largest part, stay where they were scanned.
     """
     header = is_target_uri_header(F.col("value"))
-    marked = (
-        with_forum(
-            lines.where(header | F.col("value").contains(FORUM_HOST)).select(
-                file,
-                order,
-                *([block] if block else []),
-                F.when(header, target_uri(F.col("value"))).alias("uri"),
-                F.when(~header, F.col("value")).alias("_line"),
-            ),
-            "_line",
-            "disqus_shortname",
-            scripts_path,
-            links_path,
-        )
-        .drop("_line")
-        .withColumn("disqus_shortname", F.nullif("disqus_shortname", F.lit("")))
-        .where(F.col("uri").isNotNull() | F.col("disqus_shortname").isNotNull())
+    marked = lines.where(header | F.col("value").contains(FORUM_HOST)).select(
+        file,
+        order,
+        *([block] if block else []),
+        F.when(header, target_uri(F.col("value"))).alias("uri"),
+        F.when(~header, F.col("value")).alias("_line"),
     )
-    return _carry(marked, "disqus_shortname", file, order, block)
+    named = with_forum(marked, "_line", "disqus_shortname", scripts_path, links_path).drop("_line")
+    named = named.withColumn("disqus_shortname", F.nullif("disqus_shortname", F.lit("")))
+    return _carry(named, "disqus_shortname", file, order, block)
 
 
 def _carry(marked: DataFrame, payload: str, file: str, order: str, block: str | None) -> DataFrame:
@@ -78,16 +69,27 @@ def _carry(marked: DataFrame, payload: str, file: str, order: str, block: str |
     through a table with one row per block. `block` names an order-keeping block
     column; by default blocks are runs of 65,536 values of `order`.
     """
-    block_of = F.col(block) if block else F.floor(F.col(order) / _BLOCK_LINES)
-    blocks = marked.select(file, order, payload, "uri", block_of.alias("_block")).repartition(file, "_block")
+    block_of = F.col(block) if block else F.shiftright(order, _BLOCK_BITS)
+    blocks = (
+        marked.select(file, order, payload, "uri", block_of.alias("_block"))
+        .where(F.col(file).isNotNull() & F.col("_block").isNotNull())
+        .repartition(file, "_block")
+    )
     inside = Window.partitionBy(file, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     hits = blocks.withColumn("_inside", F.last("uri", ignorenulls=True).over(inside)).where(
         F.col(payload).isNotNull()
     )
+    # Both branches read the same columns and rows, so the shuffled blocks are made once and reused.
     at_header = F.when(F.col("uri").isNotNull(), F.col(order))
-    block_end = blocks.groupBy(file, "_block").agg(F.max_by("uri", at_header).alias("_end"))
+    block_end = blocks.groupBy(file, "_block").agg(
+        F.max_by("uri", at_header).alias("_end"), F.count(payload).alias("_hits")
+    )
     above = Window.partitionBy(file).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = block_end.select(file, "_block", F.last("_end", ignorenulls=True).over(above).alias("_carried"))
+    carried = (
+        block_end.withColumn("_carried", F.last("_end", ignorenulls=True).over(above))
+        .where(F.col("_hits") > 0)
+        .select(file, "_block", "_carried")
+    )
     return hits.join(carried, [file, "_block"]).select(
         file, order, payload, F.coalesce("_inside", "_carried", F.lit("")).alias("target_uri")
     )
