@@ -4,24 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 # Spark error conditions that blame an input file, not the cluster.
-_FILE_FAULTS = ("FAILED_READ_FILE", "PATH_NOT_FOUND", "CANNOT_READ_FILE_FOOTER")
-
-
-def blames_a_file(error: PySparkException) -> bool:
-    condition = error.getCondition() or ""
-    return condition.startswith(_FILE_FAULTS) or any(f"[{fault}" in str(error) for fault in _FILE_FAULTS)
+_FILE_FAULTS = ("[FAILED_READ_FILE", "[PATH_NOT_FOUND", "[CANNOT_READ_FILE_FOOTER")
 
 
 def scan_readable(paths: Sequence[str], scan: Callable[[Sequence[str], int], None]) -> tuple[int, list[str]]:
     """Call `scan(paths, wave)` so that every readable file is part of exactly one finished wave.
 
-    Normally that is one wave with all files. If a file cannot be read, the wave is
-    halved, and so on down to the bad file, which is left out: each bad file costs a
-    few extra waves, each over half as many files. A file is never taken in part.
-    Returns the number of waves and the unreadable files.
+    Normally that is one wave with all files. If a file still cannot be read after
+    Spark's own task retries, the wave is halved, and so on down to the bad file, which
+    is left out: a bad file costs a few more waves, each over half as many files. A file
+    is never taken in part. Returns the number of waves and the unreadable files.
     """
     pending, waves, unreadable = [list(paths)] if paths else [], 0, []
     while pending:
@@ -29,8 +25,8 @@ def scan_readable(paths: Sequence[str], scan: Callable[[Sequence[str], int], Non
         try:
             scan(group, waves)
             waves += 1
-        except PySparkException as error:
-            if not blames_a_file(error):
+        except (PySparkException, Py4JJavaError) as error:
+            if not any(fault in str(error) for fault in _FILE_FAULTS):
                 raise
             if len(group) == 1:
                 unreadable += group

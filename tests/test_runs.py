@@ -1,0 +1,274 @@
+"""Whole runs over files and a store."""
+
+import gzip
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+
+from talkscout.operators import report, tables, verify
+from talkscout.plans import discovery, verification, waves
+from talkscout.plans.store import Store
+from talkscout.sources.manifest import index_files, wat_files
+from talkscout.sources.url_index import INDEX_SCHEMA
+from talkscout.streaming.arrivals import stream_disqus
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, f"{tmp_path}/store")
+
+
+def paths(spark, names):
+    return spark.createDataFrame([(n,) for n in names], "path STRING")
+
+
+def wat_text(*sites):
+    lines = []
+    for uri, forum in sites:
+        inside = {"Scripts": [{"url": f"//{forum}.disqus.com/embed.js"}], "Links": []}
+        doc = {"Envelope": {"Payload-Metadata": {"HTTP-Response-Metadata": {"HTML-Metadata": inside}}}}
+        lines += ["WARC/1.0", f"WARC-Target-URI: {uri}", "", json.dumps(doc), ""]
+    return "\r\n".join(lines or ["WARC/1.0", ""])
+
+
+def write_wat(folder, name, *sites, cut=0):
+    data = gzip.compress(wat_text(*sites).encode())
+    (folder / name).write_bytes(data[: len(data) - cut])
+
+
+def wat_run_files(spark, folder, names):
+    return wat_files(paths(spark, names), f"{folder}/")
+
+
+def progress(store, table="disqus_scan_progress"):
+    rows = store.table(table).orderBy("partition_idx").collect()
+    return [(r.crawl, r.partition_idx, r.candidates_found) for r in rows]
+
+
+def candidates(store, table="disqus_candidates"):
+    return {r.domain: tuple(r)[1:] for r in store.table(table).collect()}
+
+
+def test_disqus_runs_resume_after_the_highest_partition(spark, store, tmp_path):
+    names = [f"{i}.warc.wat.gz" for i in range(4)]
+    write_wat(tmp_path, names[0], ("https://a.org/0", "a0"), ("https://b.org/0", "b0"))
+    write_wat(tmp_path, names[1])
+    write_wat(tmp_path, names[2], ("https://a.org/2", "a2"), ("https://c.org/2", "c2"))
+    write_wat(tmp_path, names[3], ("https://d.org/3", "d3"))
+    files = wat_run_files(spark, tmp_path, names)
+
+    discovery.discover_disqus(store, files, "X", partitions=2)
+    assert progress(store) == [("X", 0, 2), ("X", 1, 0)]
+    discovery.discover_disqus(store, files, "X", partitions=1, resume=True)
+    # a.org was known, yet it counts among the file's candidates; the first row is kept
+    assert progress(store) == [("X", 0, 2), ("X", 1, 0), ("X", 2, 2)]
+    assert candidates(store)["a.org"] == ("a.org", "https://a.org/0", "a0")
+    assert set(candidates(store)) == {"a.org", "b.org", "c.org"}
+    # another crawl starts at its own beginning
+    discovery.discover_disqus(store, files, "Y", partitions=1, resume=True)
+    assert tables.partition_count(store.table("disqus_scan_progress"), "Y").first().cnt == 1
+    discovery.discover_disqus(store, files, "X", partitions=None, resume=True)
+    discovery.discover_disqus(store, files, "X", partitions=None, resume=True)  # nothing left
+    assert tables.max_partition(store.table("disqus_scan_progress"), "X").first().max_idx == 3
+    assert set(candidates(store)) == {"a.org", "b.org", "c.org", "d.org"}
+
+
+def test_unreadable_files_count_as_scanned_with_nothing_found(spark, store, tmp_path):
+    names = [f"{i}.warc.wat.gz" for i in range(6)]
+    many = [(f"https://s{i}.org/", f"f{i}") for i in range(500)]
+    write_wat(tmp_path, names[0], ("https://a.org/", "a"))
+    write_wat(tmp_path, names[1], *many, cut=200)  # truncated
+    write_wat(tmp_path, names[2], ("https://c.org/", "c"))
+    # file 3 is missing
+    write_wat(tmp_path, names[4], ("https://e.org/", "e"))
+    (tmp_path / names[5]).write_bytes(b"no gzip at all, " * 10)
+    discovery.discover_disqus(store, wat_run_files(spark, tmp_path, names), "X", partitions=None)
+    assert set(candidates(store)) == {"a.org", "c.org", "e.org"}
+    assert progress(store) == [("X", 0, 1), ("X", 1, 0), ("X", 2, 1), ("X", 3, 0), ("X", 4, 1), ("X", 5, 0)]
+
+
+class Fault(PySparkException):
+    def __init__(self, text):
+        Exception.__init__(self, text)
+
+    def __str__(self):
+        return self.args[0]
+
+
+def test_a_fault_that_is_no_file_fault_stops_the_run():
+    def scan(group, wave):
+        raise Fault("[JOB_ABORTED] lost too many executors")
+
+    with pytest.raises(Fault):
+        waves.scan_readable(["a", "b"], scan)
+
+
+def test_waves_take_every_readable_file_once():
+    names, bad, done = [f"f{i}" for i in range(37)], {"f3", "f4", "f30"}, []
+
+    def scan(group, wave):
+        if bad & set(group):
+            raise Fault("[FAILED_READ_FILE.NO_HINT] x")
+        done.append((wave, group))
+
+    count, unreadable = waves.scan_readable(names, scan)
+    assert [w for w, _ in done] == list(range(count))
+    assert [f for _, g in done for f in g] == [n for n in names if n not in bad]
+    assert set(unreadable) == bad
+
+
+def write_index(spark, folder, name, rows):
+    data = [(d, h, f"https://{h}{p}", p, s, "text/html") for d, h, p, s in rows]
+    path = f"{folder}/subset=warc/{name}"
+    spark.createDataFrame(data, INDEX_SCHEMA).coalesce(1).write.parquet(path)
+    return f"subset=warc/{name}"
+
+
+def wp_rows(*domains):
+    return [(d, f"www.{d}", "/wp-content/x", 200) for d in domains]
+
+
+def test_wordpress_run(spark, store, tmp_path):
+    names = [
+        write_index(spark, tmp_path, "0", wp_rows("a.org", "b.org") + [("n.org", "n.org", "/wp-json", 200)]),
+        write_index(spark, tmp_path, "1", wp_rows("b.org", "c.org") + [(None, "x", "/wp-json/", 200)]),
+        write_index(spark, tmp_path, "2", [("d.org", "d.org", "/wp-json/", 404)]),
+        write_index(spark, tmp_path, "3", [("wordpress.com", "z.wordpress.com", None, 200), *wp_rows("a.org")]),
+        "subset=warc/it's",
+        "subset=warc/missing",
+    ]
+    files = single_files(spark, tmp_path, names)
+    found = discovery.discover_wordpress(store, files, "X", partitions=None)
+    assert {(r.domain, r.partition_idx) for r in found.collect()} == {
+        ("a.org", 0), ("b.org", 0), ("c.org", 1), ("wordpress.com", 3),
+    }
+    # a partition counts the domains first seen in it during the run
+    assert progress(store, "wp_scan_progress") == [("X", 0, 2), ("X", 1, 1), ("X", 2, 0), ("X", 3, 1), ("X", 4, 0), ("X", 5, 0)]
+    assert set(candidates(store, "wp_candidates")) == {"a.org", "b.org", "c.org", "wordpress.com"}
+    # a later run over the same files counts them again but keeps the first rows
+    before = candidates(store, "wp_candidates")
+    discovery.discover_wordpress(store, files, "Y", partitions=1)
+    assert candidates(store, "wp_candidates") == before
+    assert ("Y", 0, 2) in progress(store, "wp_scan_progress")
+
+
+def single_files(spark, folder, names):
+    """Files of a manifest whose entries are the one data file of each written folder."""
+    listed = []
+    for name in names:
+        parts = sorted(folder.joinpath(name).glob("*.parquet")) if folder.joinpath(name).is_dir() else []
+        listed.append(str(parts[0].relative_to(folder)) if parts else name)
+    return index_files(paths(spark, listed), f"{folder}/")
+
+
+def captured(spark, *rows):
+    return spark.createDataFrame(rows, verify.CAPTURES_SCHEMA)
+
+
+LINK = '<https://{0}/wp-json/>; rel="https://api.w.org/"'
+
+
+def home(domain, error=None):
+    return (domain, "home_head", None, None if error else 200, None if error else LINK.format(domain), None, None, error)
+
+
+def probe(domain, total):
+    return (domain, "comments_probe", None, 200, None, str(total), '[{"post":1}]', None)
+
+
+def test_verify_and_export(spark, store, tmp_path):
+    files = single_files(spark, tmp_path, [write_index(spark, tmp_path, "0", wp_rows("a.org", "b.org", "c.org", "late.org"))])
+    discovery.discover_wordpress(store, files, "X")
+    captures = captured(spark, home("a.org"), probe("a.org", 8), home("b.org", "refused"), home("c.org"), probe("c.org", 1))
+    results, pages = verification.verify_wordpress(store, captures)
+    assert {r.domain: r.comment_count_hint for r in results.collect()} == {"a.org": 8, "b.org": 0, "c.org": 1}
+    assert pages.count() == 0
+    # what was not captured stays on the work list
+    work = tables.unverified(store.table("wp_candidates"), store.table("results"))
+    assert [r.domain for r in work.collect()] == ["late.org"]
+
+    more = captured(spark, home("late.org"), probe("late.org", 3), home("a.org"), probe("a.org", 99))
+    results, _ = verification.verify_wordpress(store, more)
+    assert [r.domain for r in results.collect()] == ["late.org"]
+    # `run` verifies every candidate again and replaces whole rows
+    verification.discover_and_verify(store, files, more, "X")
+    hints = {r.domain: r.comment_count_hint for r in store.table("results").collect()}
+    assert hints == {"a.org": 99, "b.org": 0, "c.org": 1, "late.org": 3}
+    assert progress(store, "wp_scan_progress") == [("X", 0, 4)]
+
+    verification.export(store, f"{tmp_path}/out")
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    # one comment is not enough
+    assert {tuple(r) for r in rows} == {("www.a.org", None, 99), ("www.late.org", None, 3)}
+    assert report.report_sites(store.table("results")).first().domain == "a.org"
+
+
+def test_export_schema(spark, store, tmp_path):
+    import pyarrow.parquet as pq
+
+    verification.export(store, f"{tmp_path}/out")
+    schema = pq.read_schema(next((tmp_path / "out").glob("*.parquet")))
+    assert [(f.name, str(f.type), f.nullable) for f in schema] == [
+        ("hostname", "string", False),
+        ("disqus_shortname", "string", True),
+        ("comment_count_hint", "int64", True),
+    ]
+
+
+def rows_of(spark, *rows):
+    return spark.createDataFrame(rows, "ordinal BIGINT, domain STRING, hostname STRING, sample_url STRING")
+
+
+def test_insert_or_ignore_within_and_across_batches(spark, store):
+    first, second = store.new_batches(2)
+    store.append("wp_candidates", rows_of(spark, (2, "a", "later", ""), (1, "a", "first", "")), first)
+    store.append("wp_candidates", rows_of(spark, (0, "a", "new", ""), (0, "b", "b", "")), second)
+    store.commit([first, second])
+    assert candidates(store, "wp_candidates") == {"a": ("first", ""), "b": ("b", "")}
+
+
+def test_uncommitted_batches_are_invisible_and_repeats_replace_themselves(spark, store):
+    (batch,) = store.new_batches()
+    store.append("wp_candidates", rows_of(spark, (0, "lost", "x", "")), batch)
+    assert candidates(store, "wp_candidates") == {}
+    store.append("wp_candidates", rows_of(spark, (0, "kept", "x", "")), batch)
+    store.commit([batch])
+    store.commit([batch])
+    assert candidates(store, "wp_candidates") == {"kept": ("x", "")}
+
+
+def test_upsert_replaces_the_whole_row(spark, store):
+    ddl = "ordinal BIGINT, domain STRING, wp_confirmed BIGINT, comments_endpoint BIGINT, comment_count_hint BIGINT, api_root STRING, error STRING"
+    one, two = store.new_batches(2)
+    store.append("results", spark.createDataFrame([(0, "a", 1, 1, 50, "root", "")], ddl), one)
+    store.append("results", spark.createDataFrame([(0, "a", 0, 0, 0, "", "down"), (1, "b", 1, 1, 2, "r", "")], ddl), two)
+    store.commit([one, two])
+    assert candidates(store, "results") == {"a": (0, 0, 0, "", "down"), "b": (1, 1, 2, "r", "")}
+
+
+def test_stream_takes_each_file_once(spark, store, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    names = [f"{i}.warc.wat.gz" for i in range(5)]
+    files = wat_run_files(spark, source, names)
+
+    def run():
+        query = stream_disqus(store, str(source), files, f"{tmp_path}/state", "X", files_per_batch=2)
+        assert query.awaitTermination(120)
+
+    write_wat(source, names[1], ("https://a.org/1", "a1"))
+    write_wat(source, names[0], ("https://a.org/0", "a0"), ("https://b.org/0", "b0"))
+    write_wat(source, names[2])
+    (source / "other.txt").write_text("no crawl file")
+    write_wat(source, "unlisted.warc.wat.gz", ("https://u.org/", "u"))
+    run()
+    assert progress(store) == [("X", 0, 2), ("X", 1, 1), ("X", 2, 0)]
+    assert set(candidates(store)) == {"a.org", "b.org"}
+    run()  # nothing new
+    write_wat(source, names[4], ("https://c.org/", "c"))
+    run()
+    assert progress(store) == [("X", 0, 2), ("X", 1, 1), ("X", 2, 0), ("X", 4, 1)]
+    assert set(candidates(store)) == {"a.org", "b.org", "c.org"}
+    missing = tables.missing_partitions(files, store.table("disqus_scan_progress"), "X")
+    assert [r.partition_idx for r in missing.collect()] == [3]
