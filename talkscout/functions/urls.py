@@ -28,6 +28,11 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# A URL with nothing unusual in it: no userinfo, brackets, fragment or broken escape.
+_USUAL_URL = (
+    r"^(?:[A-Za-z][A-Za-z0-9+.\-]*+:)?//[A-Za-z0-9._~\-]++(?::[0-9]*+)?"
+    r"(?:/[^%?#\x00-\x1f\x7f]*+(?:%[0-9A-Fa-f]{2}[^%?#\x00-\x1f\x7f]*+)*+)?(?:\?[^#\x00-\x1f\x7f]*+)?\z"
+)
 _AUTHORITY_AND_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)([^?#]*)"
 _BAD_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
 _CONTROL = r"[\x00-\x1f\x7f]"
@@ -51,8 +56,14 @@ def url_host(url: Column) -> Column:
     """Host of a URL without userinfo, port and brackets; case is kept.
 
     Gives '' for a URL without authority and for one a strict parser rejects
-    (control characters, bad port, bad percent escape, illegal host bytes).
+    (control characters, bad port, bad percent escape, illegal host bytes). One pattern
+    settles the usual URL; only the rest goes through the separate checks.
     """
+    usual_host = F.regexp_extract(url, r"//([^:/?]+)", 1)
+    return F.when(url.rlike(_USUAL_URL), usual_host).otherwise(_unusual_url_host(url))
+
+
+def _unusual_url_host(url: Column) -> Column:
     authority = F.regexp_extract(url, _AUTHORITY_AND_PATH, 1)
     path = F.regexp_extract(url, _AUTHORITY_AND_PATH, 2)
     host_port = F.substring_index(authority, "@", -1)

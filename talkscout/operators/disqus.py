@@ -96,12 +96,10 @@ def _carry(marked: DataFrame, payload: str, file: str, order: str, block: str |
 
 
 def line_hits(named: DataFrame) -> DataFrame:
-    """Candidates of `forum_lines`: rows whose target URI has a registered domain."""
+    """Add host and registered domain to `forum_lines`; '' where the URI has none."""
     return (
-        named.where(F.col("target_uri") != "")
-        .withColumn("hostname", url_host(F.col("target_uri")))
+        named.withColumn("hostname", url_host(F.col("target_uri")))
         .withColumn("domain", registered_domain(F.col("hostname")))
-        .where(F.col("domain") != "")
         .withColumnRenamed("target_uri", "sample_url")
     )
 
@@ -123,22 +121,29 @@ def record_hits(
     )
 
 
+def _first(hits: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key, the first by `order`; rows without a domain are dropped.
+
+    The domain is tested on its way out, as an aggregate: a test of the key itself would
+    be moved down to the hits and have every host parsed again.
+    """
+    first = F.min(F.struct(*order, "hostname", "sample_url", "disqus_shortname"))
+    rows = hits.groupBy(*key).agg(first.alias("w"), F.max("domain").alias("_domain"))
+    return rows.where(F.col("_domain") != "").select(*key, "w.*")
+
+
 def first_per_file(
     hits: DataFrame, file: str = "file_idx", order: Sequence[str] = ("line_no",)
 ) -> DataFrame:
     """One row per (file, domain): the first in file order."""
-    values = [*order, "hostname", "sample_url", "disqus_shortname"]
-    first = F.min(F.struct(*values))
-    return hits.groupBy(file, "domain").agg(first.alias("w")).select(file, "domain", "w.*")
+    return _first(hits, [file, "domain"], order)
 
 
 def first_per_domain(
     hits: DataFrame, file: str = "file_idx", order: Sequence[str] = ("line_no",)
 ) -> DataFrame:
     """One row per domain: the first in the lowest file."""
-    values = [file, *order, "hostname", "sample_url", "disqus_shortname"]
-    first = F.min(F.struct(*values))
-    return hits.groupBy("domain").agg(first.alias("w")).select("domain", "w.*")
+    return _first(hits, ["domain"], [file, *order])
 
 
 def discover(lines: DataFrame, file: str = "file_idx", order: str = "line_no") -> DataFrame:

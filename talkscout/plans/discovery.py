@@ -9,7 +9,7 @@ from talkscout.operators import disqus, wordpress
 from talkscout.operators.tables import resume_offset
 from talkscout.plans.store import Store
 from talkscout.plans.waves import scan_readable
-from talkscout.sources.manifest import DEFAULT_CRAWL, file_key, window_of
+from talkscout.sources.manifest import DEFAULT_CRAWL, EmptyManifest, file_key, window_of
 from talkscout.sources.url_index import read_url_index
 from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
 
@@ -20,21 +20,18 @@ WAT_FILES_PER_RUN = 100
 
 def run_files(
     store: Store, files: DataFrame, progress: str, crawl: str, partitions: int | None, resume: bool
-) -> DataFrame:
-    """The files this run takes, fixed now: (partition_idx, partition_url, suspicious, file).
+) -> tuple[DataFrame, list]:
+    """The files this run takes, fixed now: (partition_idx, partition_url, suspicious, file) and as rows.
 
     Only names come to the driver, which has to hand them to the reader.
     """
     offset = resume_offset(store.table(progress), crawl) if resume else 0
     rows = window_of(files, offset, partitions).select("partition_idx", "partition_url", "suspicious").collect()
-    return store.spark.createDataFrame(
-        rows, "partition_idx BIGINT, partition_url STRING, suspicious BOOLEAN"
-    ).withColumn("file", file_key(F.col("partition_url")))
-
-
-def _readable_names(files: DataFrame) -> list[str]:
-    rows = files.where(~F.col("suspicious")).orderBy("partition_idx").select("partition_url").collect()
-    return [r.partition_url for r in rows]
+    if not rows and files.isEmpty():
+        raise EmptyManifest("no matching files in manifest")
+    rows.sort(key=lambda r: r.partition_idx)
+    taken = store.spark.createDataFrame(rows, "partition_idx BIGINT, partition_url STRING, suspicious BOOLEAN")
+    return taken.withColumn("file", file_key(F.col("partition_url"))), rows
 
 
 def _by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:
@@ -70,13 +67,13 @@ def discover_wordpress(
     Returns this run's candidates, one per domain with the partition that won.
     Unreadable and suspicious files are recorded as scanned with nothing found.
     """
-    taken = run_files(store, files, "wp_scan_progress", crawl, partitions, resume)
-    names = _readable_names(taken)
+    taken, rows = run_files(store, files, "wp_scan_progress", crawl, partitions, resume)
+    names = [r.partition_url for r in rows if not r.suspicious]
     batches = store.new_batches(2 * len(names) + 1)
 
     def scan(paths, wave):
-        rows = wordpress.candidate_rows(read_url_index(store.spark, paths), cap, "file")
-        winners = wordpress.winners_per_partition(rows, "file")
+        candidates = wordpress.candidate_rows(read_url_index(store.spark, paths), cap, "file")
+        winners = wordpress.winners_per_partition(candidates, "file")
         store.append("wp_candidates", _by_partition(winners, taken), batches[wave])
 
     waves, _ = scan_readable(names, scan)
@@ -102,8 +99,8 @@ def discover_disqus(
 
     Returns this run's candidates, one per domain with the partition that won.
     """
-    taken = run_files(store, files, "disqus_scan_progress", crawl, partitions, resume)
-    names = _readable_names(taken.withColumn("suspicious", F.lit(False)))
+    taken, rows = run_files(store, files, "disqus_scan_progress", crawl, partitions, resume)
+    names = [r.partition_url for r in rows]
     batches = store.new_batches(2 * len(names) + 1)
 
     def scan(paths, wave):

@@ -13,7 +13,7 @@ BASE_URL = "https://data.commoncrawl.org/"
 INDEX_SUBSET = "subset=warc/"
 WAT_SUFFIX = ".warc.wat.gz"
 
-_BUCKET_CHARS = 6
+_BUCKET_CHARS = 4
 
 
 class EmptyManifest(ValueError):
@@ -85,13 +85,6 @@ def window_of(files: DataFrame, offset: int | Column = 0, limit: int | None = No
     return kept.where(idx < start + limit) if limit and limit > 0 else kept
 
 
-def require_files(files: DataFrame) -> DataFrame:
-    """Raise when a manifest selection is empty."""
-    if files.isEmpty():
-        raise EmptyManifest("no matching files in manifest")
-    return files
-
-
 def file_key(path: Column) -> Column:
     """Scheme-free form of a file address, equal for a manifest entry and a scanned file."""
     return F.regexp_replace(path, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/*", "")

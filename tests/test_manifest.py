@@ -50,11 +50,6 @@ def test_suspicious_paths_are_flagged(spark):
     assert set(flags.values()) == {True} and len(flags) == 4
 
 
-def test_nothing_listed(spark):
-    with pytest.raises(m.EmptyManifest):
-        m.require_files(m.wat_files(lines(spark, "a", "b")))
-
-
 def test_gzip_manifest(spark, tmp_path):
     path = tmp_path / "wat.paths.gz"
     path.write_bytes(gzip.compress(b"b.warc.wat.gz\na.warc.wat.gz\n"))

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from talkscout.operators import report, tables, verify
 from talkscout.plans import discovery, verification, waves
 from talkscout.plans.store import Store
-from talkscout.sources.manifest import index_files, wat_files
+from talkscout.sources.manifest import EmptyManifest, index_files, wat_files
 from talkscout.sources.url_index import INDEX_SCHEMA
 from talkscout.streaming.arrivals import stream_disqus
 
@@ -118,6 +118,11 @@ def test_waves_take_every_readable_file_once():
     assert set(unreadable) == bad
 
 
+def test_a_manifest_without_matching_files_is_an_error(spark, store):
+    with pytest.raises(EmptyManifest):
+        discovery.discover_disqus(store, wat_files(paths(spark, ["a.warc.gz"])))
+
+
 def write_index(spark, folder, name, rows):
     data = [(d, h, f"https://{h}{p}", p, s, "text/html") for d, h, p, s in rows]
     path = f"{folder}/subset=warc/{name}"
