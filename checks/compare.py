@@ -44,6 +44,13 @@ def sorted_rows(columns, rows):
     return [columns[i] for i in order], sorted((tuple(row[i] for i in order) for row in rows), key=key)
 
 
+def types_of(df, description) -> list[str]:
+    """Columns whose Spark type is not the oracle's."""
+    same = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
+    oracle = {d[0]: str(d[1]) for d in description}
+    return [f"{n} {t} != {oracle[n]}" for n, t in df.dtypes if same.get(t) != oracle[n]]
+
+
 def compare(spark: SparkSession, con, sf_dir: str, name: str) -> tuple[bool, str]:
     df = QUERIES[name](spark, sf_dir)
     got_columns, got = sorted_rows(df.columns, df.collect())
@@ -51,6 +58,8 @@ def compare(spark: SparkSession, con, sf_dir: str, name: str) -> tuple[bool, str
     want_columns, want = sorted_rows([d[0] for d in result.description], result.fetchall())
     if got_columns != want_columns:
         return False, f"columns {got_columns} != {want_columns}"
+    if wrong := types_of(df, result.description):
+        return False, "; ".join(wrong)
     if got != want:
         extra = [r for r in got if r not in set(want)][:3]
         missing = [r for r in want if r not in set(got)][:3]

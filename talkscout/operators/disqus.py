@@ -156,15 +156,24 @@ def scan_winners(hits: DataFrame) -> DataFrame:
     """Per-file winners of `record_hits`, plus rows without a domain that stand for files.
 
     (file, domain, hostname, sample_url, disqus_shortname). A file with an overlong
-    line is unreadable as a whole and keeps no candidate.
+    line is unreadable as a whole and keeps no candidate. The unreadable files are found
+    from the winners' own shuffle, which both branches of the plan reuse, so the crawl
+    files are read once and no task ever holds all winners of one file.
     """
-    values = ["block_start", "rid", "pos", "hostname", "sample_url", "disqus_shortname"]
-    winners = hits.groupBy("file", "domain").agg(
-        F.min(F.struct(*values)).alias("w"), F.max("overlong").alias("overlong")
+    first = F.min(F.struct("block_start", "rid", "pos", "hostname", "sample_url", "disqus_shortname"))
+    winners = (
+        hits.where(F.col("file").isNotNull())
+        .groupBy("file", "domain")
+        .agg(first.alias("w"), F.max("overlong").alias("overlong"))
+    )
+    unreadable = (
+        winners.groupBy("file")
+        .agg(F.max("overlong").alias("bad"), F.count("w").alias("rows"))
+        .where(F.col("bad") & (F.col("rows") > 0))
+        .select("file", F.lit(True).alias("bad"))
     )
-    unreadable = F.max("overlong").over(Window.partitionBy("file"))
     return (
-        winners.withColumn("_unreadable", unreadable)
-        .where(~F.col("_unreadable") | F.col("domain").isNull())
+        winners.join(unreadable, "file", "left")
+        .where((~F.col("overlong") & F.col("bad").isNull()) | F.col("domain").isNull())
         .select("file", "domain", "w.hostname", "w.sample_url", "w.disqus_shortname")
     )

@@ -39,6 +39,17 @@ PAGE = ["domain", "post_id", "url", "title", "comment_count_in_sample"]
 # Fixed value: most-commented posts kept per domain.
 MAX_PAGES = 10
 
+# Error texts of results.
+NO_API = "no WordPress API header"
+FALLBACK_FAILED = "SSL error + fallback failed: "
+FALLBACK_NO_API = "SSL error, no WordPress API header"
+NEEDS_AUTH = "comments endpoint requires auth"
+FORBIDDEN = "comments endpoint forbidden"
+OTHER_STATUS = "HTTP "
+INVALID_JSON = "invalid JSON"
+NO_LIST = "invalid comments response"
+NO_COMMENTS = "no comments"
+
 # Error text of a domain, or a request of it, that has no capture.
 NOT_CAPTURED = "not captured"
 
@@ -48,9 +59,9 @@ def _body_error(body: Column, total: Column) -> Column:
     text = F.coalesce(body, F.lit(""))
     is_list = trim_space(text).startswith("[")
     return (
-        F.when(~is_json(text), "invalid JSON")
-        .when(~is_list, "invalid comments response")
-        .when((F.json_array_length(text) == 0) & (total == 0), "no comments")
+        F.when(~is_json(text), INVALID_JSON)
+        .when(~is_list, NO_LIST)
+        .when((F.json_array_length(text) == 0) & (total == 0), NO_COMMENTS)
         .otherwise("")
     )
 
@@ -66,9 +77,9 @@ def capture_facts(captures: DataFrame) -> DataFrame:
     total = comment_total(F.coalesce("x_wp_total", F.lit("")))
     fault = (
         F.when(status == 200, _body_error(F.col("body"), total))
-        .when(status == 401, "comments endpoint requires auth")
-        .when(status == 403, "comments endpoint forbidden")
-        .otherwise(F.concat(F.lit("HTTP "), F.coalesce(status.cast("string"), F.lit("0"))))
+        .when(status == 401, NEEDS_AUTH)
+        .when(status == 403, FORBIDDEN)
+        .otherwise(F.concat(F.lit(OTHER_STATUS), F.coalesce(status.cast("string"), F.lit("0"))))
     )
     return captures.where(
         F.col("kind").isin("home_head", "home_get", "home_http_get", "comments_probe")
@@ -121,11 +132,11 @@ def find_api_root(df: DataFrame) -> DataFrame:
         .otherwise("")
     )
     error = (
-        F.when(fell_back & (http_failure != ""), F.concat(F.lit("SSL error + fallback failed: "), http_failure))
-        .when(fell_back & ~http_names, "SSL error, no WordPress API header")
+        F.when(fell_back & (http_failure != ""), F.concat(F.lit(FALLBACK_FAILED), http_failure))
+        .when(fell_back & ~http_names, FALLBACK_NO_API)
         .when(fell_back, "")
         .when(failed, F.col("home_failure"))
-        .when(~named, "no WordPress API header")
+        .when(~named, NO_API)
         .otherwise("")
     )
     return df.withColumn("api_root", root).withColumn("home_error", error)
@@ -160,7 +171,11 @@ def comments_per_post(captures: DataFrame) -> DataFrame:
 
 
 def top_posts(counts: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """The most-commented posts of each domain; equal counts by post id."""
+    """The most-commented posts of each domain; equal counts by post id.
+
+    A limit below 1 means the default.
+    """
+    max_pages = max_pages if max_pages > 0 else MAX_PAGES
     order = Window.partitionBy("domain").orderBy(F.desc("comment_count_in_sample"), F.col("post_id"))
     rank = F.row_number().over(order)
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= max_pages).drop("_rank")

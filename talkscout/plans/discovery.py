@@ -17,6 +17,9 @@ from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
 INDEX_FILES_PER_RUN = 5
 WAT_FILES_PER_RUN = 100
 
+# File lists up to this length, some 30 MB, are sent to all executors; longer ones are joined by shuffle.
+BROADCAST_FILES = 100_000
+
 
 def run_files(
     store: Store, files: DataFrame, progress: str, crawl: str, partitions: int | None, resume: bool
@@ -31,7 +34,8 @@ def run_files(
         raise EmptyManifest("no matching files in manifest")
     rows.sort(key=lambda r: r.partition_idx)
     taken = store.spark.createDataFrame(rows, "partition_idx BIGINT, partition_url STRING, suspicious BOOLEAN")
-    return taken.withColumn("file", file_key(F.col("partition_url"))), rows
+    taken = taken.withColumn("file", file_key(F.col("partition_url")))
+    return (F.broadcast(taken) if len(rows) <= BROADCAST_FILES else taken), rows
 
 
 def _by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:

@@ -47,33 +47,49 @@ def _numbered(manifest: DataFrame, wanted, base_url: str) -> DataFrame:
 
 
 def sorted_index(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Number rows 0, 1, … in byte order of a string column, without one global sort task.
+    """Number the values of a string column 0, 1, … in byte order, without one global sort task.
 
-    Rows are bucketed by the characters after the prefix all values share. A prefix
-    keeps byte order, so position = rows in lower buckets + rank inside the bucket.
+    A prefix keeps byte order, so values are bucketed twice by the characters after the
+    prefix they all share. Position = values in lower coarse buckets + values in lower
+    fine buckets of the same coarse one + values below in the same fine bucket. Copies
+    are counted before anything is ranked.
     """
-    value = F.col(column)
     ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    position = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length("lo"), F.length("hi"))))
+    shorter = F.least(F.length("lo"), F.length("hi"))
     differing = F.array_min(
-        F.filter(position, lambda i: F.substr(F.col("lo"), i, F.lit(1)) != F.substr(F.col("hi"), i, F.lit(1)))
+        F.filter(
+            F.sequence(F.lit(1), F.greatest(F.lit(1), shorter)),
+            lambda i: F.substr(F.col("lo"), i, F.lit(1)) != F.substr(F.col("hi"), i, F.lit(1)),
+        )
     )
-    width = ends.select(
-        (F.coalesce(differing, F.least(F.length("lo"), F.length("hi"))) + _BUCKET_CHARS).cast("int").alias("w")
+    shared = ends.select((F.coalesce(differing, shorter + 1) - 1).cast("int").alias("n")).scalar()
+
+    copies = df.groupBy(column).agg(F.count("*").alias("_n"))
+    values = copies.withColumns(
+        {
+            "_coarse": F.left(F.col(column), shared + _BUCKET_CHARS),
+            "_fine": F.left(F.col(column), shared + 2 * _BUCKET_CHARS),
+        }
     )
-    bucketed = df.withColumn("_bucket", F.left(value, width.scalar()))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(value))
+    fine = values.groupBy("_coarse", "_fine").agg(F.sum("_n").alias("_n"))
+    coarse = fine.groupBy("_coarse").agg(F.sum("_n").alias("_n"))
+    starts = fine.select("_coarse", "_fine", _sum_below("_n", "_fine", "_coarse").alias("_in_coarse")).join(
+        coarse.select("_coarse", _sum_below("_n", "_coarse").alias("_below")), "_coarse"
+    )
+    first = F.col("_below") + F.col("_in_coarse") + F.col("_in_fine")
     return (
-        bucketed.withColumn("_rank", rank)
-        .join(starts, "_bucket")
-        .withColumn(name, F.col("_start") + F.col("_rank") - 1)
-        .drop("_bucket", "_rank", "_start")
+        values.withColumn("_in_fine", _sum_below("_n", column, "_fine"))
+        .join(starts.drop("_coarse"), "_fine")
+        .select(column, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias(name))
     )
 
 
+def _sum_below(count: str, order: str, *group: str) -> Column:
+    """Sum of `count` over the rows of the group that sort before this one."""
+    below = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(count).over(below), F.lit(0))
+
+
 def window_of(files: DataFrame, offset: int | Column = 0, limit: int | None = None) -> DataFrame:
     """Files `offset` … `offset + limit - 1`; no limit (or one below 1) takes all the rest.
 

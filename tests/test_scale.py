@@ -64,6 +64,13 @@ def test_record_scan_has_no_shuffle_and_filters_first(spark, tmp_path):
     assert text.count("from_json(StructField") == 1
 
 
+def test_record_winners_read_the_files_once(spark, tmp_path):
+    (tmp_path / "a.wat").write_text("WARC/1.0\n")
+    text = plan(disqus.scan_winners(disqus.record_hits(read_wat_records(spark, [str(tmp_path)]))))
+    assert text.count("FileScan text") == 1 and "ReusedExchange" in text
+    assert "partial_min" in text and "Window" not in text
+
+
 def test_line_scan_parses_once_and_shuffles_no_document(spark, tmp_path):
     fx.spark_sql(spark, SF_DIR, fx.wat_lines()).write.parquet(f"{tmp_path}/lines")
     text = plan(disqus.forum_lines(spark.read.parquet(f"{tmp_path}/lines")))
