@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
 from talkscout.operators import disqus, wordpress
 from talkscout.operators.tables import resume_offset
 from talkscout.plans.store import Store
@@ -98,6 +101,8 @@ def discover_disqus(
     partitions: int | None = WAT_FILES_PER_RUN,
     resume: bool = False,
     max_line_bytes: int = MAX_LINE_BYTES,
+    scripts_path: Sequence[str] = SCRIPTS_PATH,
+    links_path: Sequence[str] = LINKS_PATH,
 ) -> DataFrame:
     """Scan the next crawl-record files of a manifest selection and commit the candidates.
 
@@ -108,7 +113,7 @@ def discover_disqus(
     batches = store.new_batches(2 * len(names) + 1)
 
     def scan(paths, wave):
-        hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes))
+        hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes), scripts_path, links_path)
         store.append("disqus_candidates", _by_partition(disqus.scan_winners(hits), taken), batches[wave])
 
     waves, _ = scan_readable(names, scan)

@@ -8,10 +8,13 @@ manifest, since files arrive in any order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
 from talkscout.operators.disqus import record_hits, scan_winners
 from talkscout.plans.discovery import WAT_FILES_PER_RUN, commit_disqus
 from talkscout.plans.store import Store
@@ -28,6 +31,8 @@ def stream_disqus(
     files_per_batch: int = WAT_FILES_PER_RUN,
     suffix: str = WAT_SUFFIX,
     max_line_bytes: int = MAX_LINE_BYTES,
+    scripts_path: Sequence[str] = SCRIPTS_PATH,
+    links_path: Sequence[str] = LINKS_PATH,
 ) -> StreamingQuery:
     """Scan all files below `source_dir` not seen under `checkpoint` yet, then stop.
 
@@ -45,7 +50,7 @@ def stream_disqus(
     )
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        winners = scan_winners(record_hits(records(batch, max_line_bytes)))
+        winners = scan_winners(record_hits(records(batch, max_line_bytes), scripts_path, links_path))
         placed = winners.join(known.select("file", F.col("partition_idx").alias("ordinal")), "file")
         store.append("disqus_candidates", placed, batch_id)
         seen = store.batches("disqus_candidates", [batch_id]).select(F.col("ordinal").alias("partition_idx"))

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,31 @@ def test_every_file_keeps_a_row_of_its_own(spark, tmp_path):
     rows = disqus.scan_winners(hits).collect()
     assert sorted(r.file.rsplit("/", 1)[-1] for r in rows) == ["a.wat", "b.wat"]
     assert all(r.domain is None for r in rows)
+
+
+def test_bytes_that_are_no_utf8(spark, tmp_path):
+    path = tmp_path / "a.wat"
+    text = record("https://a.org/", doc("//a.disqus.com/embed.js").replace('"Links": []', '"Links": [], "x": "?"'))
+    path.write_bytes(text.encode().replace(b'"?"', b'"\xff\xfe"') + record("https://b.org/\xe9", doc("//b.disqus.com/embed.js")).encode("latin-1"))
+    assert {(r[0], r[3]) for r in scan(spark, path)} == {("a.org", "a"), ("b.org", "b")}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_files_against_a_plain_reading(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    names = ["a.org", "b.org", "www.c.org", "blog.c.org", "d.org"]
+    lines = ["WARC/1.0"]
+    for i in range(rng.randrange(30, 400)):
+        kind = rng.random()
+        if kind < 0.3:
+            lines.append(f"WARC-Target-URI: https://{rng.choice(names)}/{i}")
+        elif kind < 0.5:
+            lines.append(doc(f"//f{i}.disqus.com/embed.js"))
+        else:
+            lines.append(rng.choice(["", "WARC/1.0", "x", "a\rb", "WARC-Target-URI", " WARC-Target-URI: https://no.org/"]))
+    first = next(i for i, l in enumerate(lines) if l.startswith("WARC-Target-URI:"))
+    lines = [l for i, l in enumerate(lines) if i >= first or "disqus" not in l]
+    text = rng.choice(["\n", "\r\n"]).join(lines)
+    path = tmp_path / "a.wat.gz"
+    path.write_bytes(gzip.compress(text.encode()))
+    assert scan(spark, path) == expected(text) == line_scan(spark, path)

@@ -1,5 +1,6 @@
 """Properties the operators need at scale: plans, skew and independence of row order."""
 
+import random
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from talkscout.operators import disqus, tables, verify, wordpress
+from talkscout.sources.captures import read_captures, write_captures
 from talkscout.sources.url_index import read_url_index
 from talkscout.sources.wat import read_wat_records
 
@@ -127,6 +129,36 @@ def test_carry_forward_across_blocks_of_one_large_file(spark):
         assert r.target_uri == uri
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_carry_forward_with_tiny_blocks(spark, monkeypatch, seed):
+    monkeypatch.setattr(disqus, "_BLOCK_BITS", 2)
+    rng = random.Random(seed)
+    rows, want, uri = [], {}, {}
+    for n in sorted(rng.sample(range(3000), 600)):
+        file = rng.choice([0, 0, 0, 1])
+        kind = rng.random()
+        value = f"WARC-Target-URI: u{n}" if kind < 0.2 else "WARC-Target-URI:" if kind < 0.25 else "x disqus.com" if kind < 0.6 else "y"
+        if value.startswith("WARC"):
+            uri[file] = value.partition(":")[2].strip()
+        elif "disqus" in value:
+            want[file, n] = uri.get(file, "")
+        rows.append((file, n, value))
+    rng.shuffle(rows)
+    lines = spark.createDataFrame(rows, "file_idx INT, line_no BIGINT, value STRING")
+    got = {(r.file_idx, r.line_no): r.target_uri for r in disqus.carry_forward(lines).collect()}
+    assert got == want
+
+
+def test_captures_are_read_by_kind(spark, tmp_path):
+    captures = fx.spark_sql(spark, SF_DIR, fx.captures())
+    write_captures(captures, f"{tmp_path}/captures")
+    stored = read_captures(spark, f"{tmp_path}/captures")
+    assert stored.columns == captures.columns
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, captures.collect()), key=str)
+    text = plan(verify.comments_per_post(stored))
+    assert re.search(r"PartitionFilters: \[[^]]*comments_sample", text)
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_row_order_does_not_matter(spark, parts):
     def rows(df):
