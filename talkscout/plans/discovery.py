@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,7 @@ from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
 INDEX_FILES_PER_RUN = 5
 WAT_FILES_PER_RUN = 100
 
-# File lists up to this length, some 30 MB, are sent to all executors; longer ones are joined by shuffle.
-BROADCAST_FILES = 100_000
+_RUN_FILES = pa.schema([("partition_idx", pa.int64()), ("partition_url", pa.string()), ("suspicious", pa.bool_())])
 
 
 def run_files(
@@ -29,16 +29,17 @@ def run_files(
 ) -> tuple[DataFrame, list]:
     """The files this run takes, fixed now: (partition_idx, partition_url, suspicious, file) and as rows.
 
-    Only names come to the driver, which has to hand them to the reader.
+    Only names come to the driver, which has to hand them to the reader. They go back as a
+    local relation, whose size the planner knows: a short list is joined by broadcast, a
+    long one by shuffle.
     """
     offset = resume_offset(store.table(progress), crawl) if resume else 0
     rows = window_of(files, offset, partitions).select("partition_idx", "partition_url", "suspicious").collect()
     if not rows and files.isEmpty():
         raise EmptyManifest("no matching files in manifest")
     rows.sort(key=lambda r: r.partition_idx)
-    taken = store.spark.createDataFrame(rows, "partition_idx BIGINT, partition_url STRING, suspicious BOOLEAN")
-    taken = taken.withColumn("file", file_key(F.col("partition_url")))
-    return (F.broadcast(taken) if len(rows) <= BROADCAST_FILES else taken), rows
+    taken = store.spark.createDataFrame(pa.Table.from_pylist([r.asDict() for r in rows], _RUN_FILES))
+    return taken.withColumn("file", file_key(F.col("partition_url"))), rows
 
 
 def _by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:

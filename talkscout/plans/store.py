@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from talkscout.operators.tables import first_wins, last_wins, visible
 
@@ -71,8 +72,8 @@ class Store:
 
     def commit(self, batch_ids: Sequence[int]) -> None:
         """Make batches visible, all at once."""
-        ids = self.spark.createDataFrame([(b,) for b in batch_ids], "batch_id BIGINT")
-        ids.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        ids = self.spark.range(0, 1, 1, 1).select(F.explode(F.lit(list(batch_ids)).cast("array<bigint>")).alias("batch_id"))
+        ids.write.mode("append").parquet(f"{self.root}/commits")
 
     def _read(self, table: str, ddl: str) -> DataFrame:
         try:

@@ -151,6 +151,18 @@ ENVELOPES = {
     # wrong type anywhere in the read fields, or not exactly one document
     envelope("{" + SCRIPT + ',"Links":"text"}'): "",
     envelope('{"Scripts":[{"url":"//s.disqus.com/embed.js"},{"url":5}]}'): "",
+    envelope("{" + SCRIPT + ',"Links":["text"]}'): "",
+    envelope("{" + SCRIPT + ',"Links":[[]]}'): "",
+    envelope("{" + SCRIPT + ',"Links":{}}'): "",
+    envelope("{" + SCRIPT + ',"Links":""}'): "",
+    envelope("{" + SCRIPT + ',"Links":[""]}'): "",
+    envelope("{" + SCRIPT + ',"Links":[{"url":{}}]}'): "",
+    envelope("{" + SCRIPT + ',"Links":[{"url":"a\tb"}]}'): "",
+    envelope("{" + SCRIPT + ',"Links":[{"url":"a\\tb"}],"other":[1,{"a":null}]}'): "fromscript",
+    envelope('""'): "",
+    '{"Envelope":5}': "",
+    '{"Envelope":null,"x":"disqus.com"}': "",
+    envelope('{"Scripts":[{"url":"\\/\\/esc.\\u0064isqus.com\\/embed.js"}]}'): "esc",
     envelope("[{" + SCRIPT + "}]"): "",
     "[" + envelope("{" + SCRIPT + "}") + "]": "",
     envelope("{" + SCRIPT + "}") + "}": "",
