@@ -66,10 +66,11 @@ def index(src: str = PAGES) -> str:
 
 
 def wat_lines(src: str = PAGES, file_idx: str = EVERY_FOURTH) -> str:
-    """Crawl-record lines (file_idx, line_no, value)."""
+    """Crawl-record lines (file_idx, line_no, value); some pages have no header of their own."""
     return f"""
-    SELECT CAST({file_idx} AS INT) AS file_idx, 2 * page_id AS line_no, 'WARC-Target-URI: ' || url AS value
-    FROM ({index(src)}) a WHERE page_id % 12 <> 5
+    SELECT CAST({file_idx} AS INT) AS file_idx, 2 * page_id AS line_no,
+      CASE WHEN page_id % 12 = 5 THEN 'X-Page: ' ELSE 'WARC-Target-URI: ' END || url AS value
+    FROM ({index(src)}) a
     UNION ALL
     SELECT CAST({file_idx} AS INT), 2 * page_id + 1,
       CASE WHEN k = 5 THEN '{{broken disqus.com' ELSE
@@ -175,7 +176,7 @@ def wp_log(src: str = PAGES) -> str:
     return f"""
     SELECT page_id % 5 AS batch_id, page_id AS ordinal, url_host_registered_domain AS domain,
       url_host_name AS hostname, url AS sample_url
-    FROM ({index(src)}) i WHERE url_host_registered_domain IS NOT NULL AND page_id % 3 <> 0"""
+    FROM ({index(src)}) i WHERE url_host_registered_domain IS NOT NULL"""
 
 
 def disqus_log(src: str = PAGES) -> str:
@@ -183,11 +184,11 @@ def disqus_log(src: str = PAGES) -> str:
     return f"""
     SELECT (page_id + 2) % 5 AS batch_id, page_id AS ordinal, url_host_registered_domain AS domain,
       url_host_name AS hostname, url AS sample_url, 's' || CAST(page_id % 40 AS STRING) AS disqus_shortname
-    FROM ({index(src)}) i WHERE url_host_registered_domain IS NOT NULL AND page_id % 3 <> 1"""
+    FROM ({index(src)}) i WHERE url_host_registered_domain IS NOT NULL"""
 
 
 def results_log(src: str = PAGES) -> str:
-    """Upsert history of verification results."""
+    """Upsert history of verification results; domains in .com are still to be verified."""
     return f"""
     SELECT page_id % 5 AS batch_id, page_id AS ordinal, url_host_registered_domain AS domain,
       CAST(CASE WHEN page_id % 7 = 0 THEN 0 ELSE 1 END AS BIGINT) AS wp_confirmed,
@@ -195,7 +196,7 @@ def results_log(src: str = PAGES) -> str:
       CAST(page_id % 4 * (page_id % 13) AS BIGINT) AS comment_count_hint,
       CASE WHEN page_id % 7 = 0 THEN '' ELSE 'https://' || url_host_name || '/wp-json/' END AS api_root,
       CASE WHEN page_id % 7 = 0 THEN 'no WordPress API header' WHEN page_id % 7 = 1 THEN 'no comments' ELSE '' END AS error
-    FROM ({index(src)}) i WHERE url_host_registered_domain IS NOT NULL AND page_id % 2 = 0"""
+    FROM ({index(src)}) i WHERE url_host_registered_domain NOT LIKE '%.com'"""
 
 
 def pages_log(src: str = PAGES) -> str:
@@ -216,12 +217,20 @@ def progress_log(src: str = PAGES) -> str:
       CAST(FLOOR(page_id / 2) * 3 AS BIGINT) AS partition_idx,
       'part-' || CAST(page_id AS STRING) AS partition_url,
       CAST(page_id % 4 AS BIGINT) AS candidates_found
-    FROM {src} p WHERE page_id % 7 <> 6"""
+    FROM {src} p"""
+
+
+def crawl_files(src: str = PAGES) -> str:
+    """Numbered files of a crawl, two per page."""
+    return f"""
+    SELECT 2 * page_id AS partition_idx, 'file-a' || CAST(page_id AS STRING) AS partition_url FROM {src} p
+    UNION ALL
+    SELECT 2 * page_id + 1, 'file-b' || CAST(page_id AS STRING) FROM {src} p"""
 
 
 def commits(src: str = PAGES) -> str:
-    """Committed batches: all but number 2."""
-    return f"SELECT DISTINCT page_id % 5 AS batch_id FROM {src} p WHERE page_id % 5 <> 2"
+    """Committed batches: of the five that were written, number 2 never was."""
+    return f"SELECT DISTINCT batch_id FROM (SELECT page_id % 5 AS batch_id FROM {src} p) b WHERE batch_id <> 2"
 
 
 def url_variants(src: str = PAGES) -> str:

@@ -56,7 +56,8 @@ def _shortname_case(page_id: str) -> str:
 
 
 ORACLES["disqus_json_extract"] = (
-    f"SELECT 2 * page_id + 1 AS line_no, {_shortname_case('page_id')} AS disqus_shortname FROM pages"
+    f"SELECT 2 * page_id + 1 AS line_no, {_shortname_case('page_id')} AS disqus_shortname FROM pages "
+    "UNION ALL SELECT 2 * page_id, '' FROM pages"
 )
 ORACLES["comment_total"] = f"""
     SELECT page_id, CASE WHEN regexp_full_match(x_wp_total, '[+-]?[0-9]+')
@@ -238,9 +239,9 @@ ORACLES["report_pages"] = f"""
         ELSE title END AS title
     FROM (SELECT * FROM ({_PAGES}) ORDER BY domain, comment_count_in_sample DESC, post_id LIMIT 30)"""
 
-_FILES = "SELECT page_id AS partition_idx, 'file-' || CAST(page_id AS VARCHAR) AS partition_url FROM pages"
+_FILES = fx.crawl_files()
 ORACLES["resume_slice"] = f"""
-    WITH n AS (SELECT coalesce(max(partition_idx), -1) + 1 AS first FROM ({_PROGRESS}) WHERE crawl = 'B' AND partition_idx < 60)
+    WITH n AS (SELECT coalesce(max(partition_idx), -1) + 1 AS first FROM ({_PROGRESS}) WHERE crawl = 'B')
     SELECT partition_idx, partition_url FROM ({_FILES}), n WHERE partition_idx >= first AND partition_idx < first + 100"""
 ORACLES["missing_partitions"] = (
     f"SELECT * FROM ({_FILES}) WHERE partition_idx NOT IN (SELECT partition_idx FROM ({_PROGRESS}) WHERE crawl = 'A')"

@@ -73,7 +73,7 @@ def disqus_shortname(spark, sf_dir):
 
 @query
 def disqus_json_extract(spark, sf_dir):
-    df = fx.spark_sql(spark, sf_dir, fx.wat_lines()).where("line_no % 2 = 1")
+    df = fx.spark_sql(spark, sf_dir, fx.wat_lines())
     return documents.with_forum(df, "value", "disqus_shortname").select("line_no", "disqus_shortname")
 
 
@@ -192,17 +192,14 @@ QUERIES["report_pages"] = table_query("pages", report.report_pages)
 
 
 def _crawl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per page, numbered by page."""
-    return fx.spark_sql(
-        spark, sf_dir, "SELECT page_id AS partition_idx, 'file-' || CAST(page_id AS STRING) AS partition_url FROM pages"
-    )
+    """Two files per page, more than were scanned so far."""
+    return fx.spark_sql(spark, sf_dir, fx.crawl_files())
 
 
 @query
 def resume_slice(spark, sf_dir):
     files, progress = _crawl_files(spark, sf_dir), _table(spark, sf_dir, "wp_scan_progress")
-    done = progress.where("partition_idx < 60")
-    return window_of(files, tables.resume_offset(done, "B"), 100)
+    return window_of(files, tables.resume_offset(progress, "B"), 100)
 
 
 @query
