@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
 from talkscout.operators import disqus, wordpress
 from talkscout.operators.tables import resume_offset
 from talkscout.plans.store import Store
-from talkscout.plans.waves import scan_readable
+from talkscout.plans.waves import in_waves, scan_readable
 from talkscout.sources.manifest import DEFAULT_CRAWL, EmptyManifest, file_key, window_of
 from talkscout.sources.url_index import read_url_index
 from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
@@ -21,25 +21,30 @@ from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
 INDEX_FILES_PER_RUN = 5
 WAT_FILES_PER_RUN = 100
 
-_RUN_FILES = pa.schema([("partition_idx", pa.int64()), ("partition_url", pa.string()), ("suspicious", pa.bool_())])
+_FILE_ROWS = pa.schema([("partition_idx", pa.int64()), ("partition_url", pa.string()), ("suspicious", pa.bool_())])
 
 
 def run_files(
     store: Store, files: DataFrame, progress: str, crawl: str, partitions: int | None, resume: bool
-) -> tuple[DataFrame, list]:
-    """The files this run takes, fixed now: (partition_idx, partition_url, suspicious, file) and as rows.
+) -> list[Row]:
+    """The files this run takes, in order: (partition_idx, partition_url, suspicious).
 
-    Only names come to the driver, which has to hand them to the reader. They go back as a
-    local relation, whose size the planner knows: a short list is joined by broadcast, a
-    long one by shuffle.
+    Only names come to the driver, which has to hand them to the reader.
     """
     offset = resume_offset(store.table(progress), crawl) if resume else 0
     rows = window_of(files, offset, partitions).select("partition_idx", "partition_url", "suspicious").collect()
     if not rows and files.isEmpty():
         raise EmptyManifest("no matching files in manifest")
-    rows.sort(key=lambda r: r.partition_idx)
-    taken = store.spark.createDataFrame(pa.Table.from_pylist([r.asDict() for r in rows], _RUN_FILES))
-    return taken.withColumn("file", file_key(F.col("partition_url"))), rows
+    return sorted(rows, key=lambda r: r.partition_idx)
+
+
+def _wave_files(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
+    """File rows with their `file` key, as a local relation.
+
+    The planner knows its size: a short list is joined by broadcast, a long one by shuffle.
+    """
+    table = pa.Table.from_pylist([r.asDict() for r in rows], _FILE_ROWS)
+    return spark.createDataFrame(table).withColumn("file", file_key(F.col("partition_url")))
 
 
 def _by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:
@@ -69,30 +74,43 @@ def discover_wordpress(
     resume: bool = False,
     cap: int | None = wordpress.PARTITION_CAP,
     record_progress: bool = True,
+    files_per_wave: int | None = None,
 ) -> DataFrame:
     """Scan the next URL-index files of a manifest selection and commit the candidates.
 
-    Returns this run's candidates, one per domain with the partition that won.
-    Unreadable and suspicious files are recorded as scanned with nothing found.
+    Results and progress are committed wave by wave. Returns this run's candidates, one
+    per domain with the partition that won. Unreadable and suspicious files are recorded
+    as scanned with nothing found.
     """
-    taken, rows = run_files(store, files, "wp_scan_progress", crawl, partitions, resume)
-    names = [r.partition_url for r in rows if not r.suspicious]
-    batches = store.new_batches(2 * len(names) + 1)
-
-    def scan(paths, wave):
-        candidates = wordpress.candidate_rows(read_url_index(store.spark, paths), cap, "file")
-        winners = wordpress.winners_per_partition(candidates, "file")
-        store.append("wp_candidates", _by_partition(winners, taken), batches[wave])
-
-    waves, _ = scan_readable(names, scan)
-    batches = batches[: max(waves, 1)]
+    done = []
+    rows = run_files(store, files, "wp_scan_progress", crawl, partitions, resume)
+    for wave in in_waves(store.spark, rows, files_per_wave):
+        wave_files = _wave_files(store.spark, wave)
+        names = [r.partition_url for r in wave if not r.suspicious]
+        batches = store.new_batches(2 * len(names) + 1)
+
+        def scan(paths, part):
+            candidates = wordpress.candidate_rows(read_url_index(store.spark, paths), cap, "file")
+            winners = wordpress.winners_per_partition(candidates, "file")
+            store.append("wp_candidates", _by_partition(winners, wave_files), batches[part])
+
+        parts, _ = scan_readable(names, scan)
+        batches = batches[: max(parts, 1)]
+        if record_progress:
+            found = _first_of(store, batches).join(
+                store.batches("wp_candidates", done).select("domain"), "domain", "left_anti"
+            )
+            counts = found.groupBy("partition_idx").agg(F.count("*").alias("candidates_found"))
+            _save_progress(store, "wp_scan_progress", wave_files, counts, crawl, batches[0])
+        store.commit(batches)
+        done += batches
+    return _first_of(store, done)
+
+
+def _first_of(store: Store, batches: Sequence[int]) -> DataFrame:
+    """First WordPress row per domain in the given batches, with the partition it came from."""
     written = store.batches("wp_candidates", batches)
-    first = wordpress.first_per_domain(written, "ordinal").withColumnRenamed("ordinal", "partition_idx")
-    if record_progress:
-        found = first.groupBy("partition_idx").agg(F.count("*").alias("candidates_found"))
-        _save_progress(store, "wp_scan_progress", taken, found, crawl, batches[0])
-    store.commit(batches)
-    return first
+    return wordpress.first_per_domain(written, "ordinal").withColumnRenamed("ordinal", "partition_idx")
 
 
 def discover_disqus(
@@ -104,27 +122,35 @@ def discover_disqus(
     max_line_bytes: int = MAX_LINE_BYTES,
     scripts_path: Sequence[str] = SCRIPTS_PATH,
     links_path: Sequence[str] = LINKS_PATH,
+    files_per_wave: int | None = None,
 ) -> DataFrame:
     """Scan the next crawl-record files of a manifest selection and commit the candidates.
 
-    Returns this run's candidates, one per domain with the partition that won.
+    Results and progress are committed wave by wave. Returns this run's candidates, one
+    per domain with the partition that won.
     """
-    taken, rows = run_files(store, files, "disqus_scan_progress", crawl, partitions, resume)
-    names = [r.partition_url for r in rows]
-    batches = store.new_batches(2 * len(names) + 1)
-
-    def scan(paths, wave):
-        hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes), scripts_path, links_path)
-        store.append("disqus_candidates", _by_partition(disqus.scan_winners(hits), taken), batches[wave])
-
-    waves, _ = scan_readable(names, scan)
-    return commit_disqus(store, taken, crawl, batches[: max(waves, 1)])
+    done = []
+    rows = run_files(store, files, "disqus_scan_progress", crawl, partitions, resume)
+    for wave in in_waves(store.spark, rows, files_per_wave):
+        wave_files = _wave_files(store.spark, wave)
+        names = [r.partition_url for r in wave]
+        batches = store.new_batches(2 * len(names) + 1)
+
+        def scan(paths, part):
+            hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes), scripts_path, links_path)
+            store.append("disqus_candidates", _by_partition(disqus.scan_winners(hits), wave_files), batches[part])
+
+        parts, _ = scan_readable(names, scan)
+        batches = batches[: max(parts, 1)]
+        commit_disqus(store, wave_files, crawl, batches)
+        done += batches
+    written = store.batches("disqus_candidates", done)
+    return disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")
 
 
-def commit_disqus(store: Store, files: DataFrame, crawl: str, batches: list[int]) -> DataFrame:
+def commit_disqus(store: Store, files: DataFrame, crawl: str, batches: Sequence[int]) -> None:
     """Record progress for written batches and make them visible."""
     written = store.batches("disqus_candidates", batches).where("domain IS NOT NULL")
-    found = written.groupBy(F.col("ordinal").alias("partition_idx")).agg(F.count("*").alias("candidates_found"))
-    _save_progress(store, "disqus_scan_progress", files, found, crawl, batches[0])
+    counts = written.groupBy(F.col("ordinal").alias("partition_idx")).agg(F.count("*").alias("candidates_found"))
+    _save_progress(store, "disqus_scan_progress", files, counts, crawl, batches[0])
     store.commit(batches)
-    return disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")

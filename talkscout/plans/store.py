@@ -53,10 +53,12 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._last_batch = 0
 
     def new_batches(self, count: int = 1) -> list[int]:
         """Unused batch ids, above those of all earlier runs."""
-        start = time.time_ns() // 1_000
+        start = max(time.time_ns() // 1_000, self._last_batch + 1)
+        self._last_batch = start + count - 1
         return list(range(start, start + count))
 
     def append(self, table: str, rows: DataFrame, batch_id: int) -> None:
@@ -86,7 +88,7 @@ class Store:
     def batches(self, table: str, batch_ids: Sequence[int]) -> DataFrame:
         """Rows of the given batches, committed or not."""
         log = self._read(table, f"ordinal BIGINT, {TABLES[table]}, batch_id BIGINT")
-        return log.where(log.batch_id.between(min(batch_ids), max(batch_ids)))
+        return log.where(log.batch_id.isin(*batch_ids))
 
     def log(self, table: str) -> DataFrame:
         """All visible rows ever written to a table, with (batch_id, ordinal)."""

@@ -1,36 +1,57 @@
-"""Scanning the files of a run when some of them may be unreadable."""
+"""Scanning the files of a run in waves, some of which may be unreadable."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession
 
 # Spark error conditions that blame an input file, not the cluster.
-_FILE_FAULTS = ("[FAILED_READ_FILE", "[PATH_NOT_FOUND", "[CANNOT_READ_FILE_FOOTER")
+_FILE_FAULT = re.compile(r"\[(?:FAILED_READ_FILE|PATH_NOT_FOUND|CANNOT_READ_FILE_FOOTER)[^\n]*")
+
+_WAVES_OF_TASKS = 4
+
+
+def in_waves(spark: SparkSession, files: Sequence, size: int | None = None) -> Iterator[Sequence]:
+    """Cut the files of a run into waves that are committed one after the other.
+
+    A wave keeps all cores busy several times over, and is the most a failure can cost.
+    """
+    size = size or _WAVES_OF_TASKS * spark.sparkContext.defaultParallelism
+    for start in range(0, len(files), size):
+        yield files[start : start + size]
 
 
 def scan_readable(paths: Sequence[str], scan: Callable[[Sequence[str], int], None]) -> tuple[int, list[str]]:
-    """Call `scan(paths, wave)` so that every readable file is part of exactly one finished wave.
+    """Call `scan(paths, part)` so that every readable file is in exactly one finished part.
 
-    Normally that is one wave with all files. If a file still cannot be read after
-    Spark's own task retries, the wave is halved, and so on down to the bad file, which
-    is left out: a bad file costs a few more waves, each over half as many files. A file
-    is never taken in part. Returns the number of waves and the unreadable files.
+    Normally there is one part with all files. When Spark, after its own task retries,
+    reports a file it cannot read, that file is left out and the rest is tried again in
+    two halves; a report that names none of the files is narrowed down by halving alone.
+    A file is never taken in part. Returns the number of parts and the unreadable files.
     """
-    pending, waves, unreadable = [list(paths)] if paths else [], 0, []
+    pending, parts, unreadable = [list(paths)] if paths else [], 0, []
     while pending:
         group = pending.pop(0)
         try:
-            scan(group, waves)
-            waves += 1
+            scan(group, parts)
+            parts += 1
         except (PySparkException, Py4JJavaError) as error:
-            if not any(fault in str(error) for fault in _FILE_FAULTS):
+            fault = _FILE_FAULT.search(str(error))
+            if fault is None:
                 raise
-            if len(group) == 1:
-                unreadable += group
-            else:
-                middle = len(group) // 2
-                pending[:0] = [group[:middle], group[middle:]]
-    return waves, unreadable
+            bad = _named(group, fault.group()) if len(group) > 1 else group
+            unreadable += bad
+            rest = [p for p in group if p not in bad]
+            middle = (len(rest) + 1) // 2
+            pending[:0] = [half for half in (rest[:middle], rest[middle:]) if half]
+    return parts, unreadable
+
+
+def _named(paths: Sequence[str], report: str) -> list[str]:
+    """The file an error report names, if it is one of `paths`."""
+    keys = {p: re.sub(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/*", "", p) for p in paths}
+    return sorted((p for p in paths if keys[p] in report), key=len)[-1:]

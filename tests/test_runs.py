@@ -104,18 +104,50 @@ def test_a_fault_that_is_no_file_fault_stops_the_run():
         waves.scan_readable(["a", "b"], scan)
 
 
-def test_waves_take_every_readable_file_once():
-    names, bad, done = [f"f{i}" for i in range(37)], {"f3", "f4", "f30"}, []
-
-    def scan(group, wave):
-        if bad & set(group):
-            raise Fault("[FAILED_READ_FILE.NO_HINT] x")
-        done.append((wave, group))
+@pytest.mark.parametrize("named", [True, False])
+def test_every_readable_file_is_scanned_once(named):
+    names, bad, done, tries = [f"s3a://b/f{i}" for i in range(37)], {3, 4, 30}, [], []
+    bad = {names[i] for i in bad}
+
+    def scan(group, part):
+        tries.append(group)
+        for name in group:
+            if name in bad:
+                raise Fault(f"[FAILED_READ_FILE.NO_HINT] reading {name.upper() if not named else name}.  SQLSTATE: x")
+        done.append((part, group))
 
     count, unreadable = waves.scan_readable(names, scan)
-    assert [w for w, _ in done] == list(range(count))
+    assert [p for p, _ in done] == list(range(count))
     assert [f for _, g in done for f in g] == [n for n in names if n not in bad]
     assert set(unreadable) == bad
+    if named:
+        assert len(tries) - count == len(bad)  # one failed attempt per bad file
+
+
+def test_a_lost_run_keeps_its_finished_waves(spark, store, tmp_path, monkeypatch):
+    names = [f"{i}.warc.wat.gz" for i in range(5)]
+    for i, name in enumerate(names):
+        write_wat(tmp_path, name, (f"https://s{i}.org/", f"f{i}"), ("https://all.org/", f"all{i}"))
+    files = wat_run_files(spark, tmp_path, names)
+    read, calls = discovery.read_wat_records, []
+
+    def read_or_die(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return read(*args)
+
+    monkeypatch.setattr(discovery, "read_wat_records", read_or_die)
+    with pytest.raises(RuntimeError):
+        discovery.discover_disqus(store, files, "X", partitions=None, files_per_wave=2)
+    assert progress(store) == [("X", 0, 2), ("X", 1, 2)]
+    assert set(candidates(store)) == {"all.org", "s0.org", "s1.org"}
+    found = discovery.discover_disqus(store, files, "X", partitions=None, resume=True, files_per_wave=2)
+    assert progress(store) == [("X", i, 2) for i in range(5)]
+    assert candidates(store)["all.org"] == ("all.org", "https://all.org/", "all0")
+    assert {(r.domain, r.partition_idx) for r in found.collect()} == {
+        ("all.org", 2), ("s2.org", 2), ("s3.org", 3), ("s4.org", 4),
+    }
 
 
 def test_a_manifest_without_matching_files_is_an_error(spark, store):
@@ -153,6 +185,10 @@ def test_wordpress_run(spark, store, tmp_path):
     assert set(candidates(store, "wp_candidates")) == {"a.org", "b.org", "c.org", "wordpress.com"}
     # a later run over the same files counts them again but keeps the first rows
     before = candidates(store, "wp_candidates")
+    # waves change neither counts nor candidates
+    waved = discovery.discover_wordpress(store, files, "W", partitions=None, files_per_wave=2)
+    assert {(r.domain, r.partition_idx) for r in waved.collect()} == {(r.domain, r.partition_idx) for r in found.collect()}
+    assert [p for p in progress(store, "wp_scan_progress") if p[0] == "W"] == [("W", *p[1:]) for p in progress(store, "wp_scan_progress") if p[0] == "X"]
     discovery.discover_wordpress(store, files, "Y", partitions=1)
     assert candidates(store, "wp_candidates") == before
     assert ("Y", 0, 2) in progress(store, "wp_scan_progress")
