@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH, with_forum
 from talkscout.functions.urls import is_target_uri_header, registered_domain, target_uri, url_host
-from talkscout.sources.wat import FORUM_HOST
+from talkscout.sources.wat import BLOCK_BITS, FORUM_HOST
 
 CANDIDATE = ["domain", "hostname", "sample_url", "disqus_shortname"]
 
-_BLOCK_BITS = 16
-
 
 def carry_forward(
     lines: DataFrame, file: str = "file_idx", order: str = "line_no", block: str | None = None
@@ -69,7 +67,7 @@ def _carry(marked: DataFrame, payload: str, file: str, order: str, block: str |
     through a table with one row per block. `block` names an order-keeping block
     column; by default blocks are runs of 65,536 values of `order`.
     """
-    block_of = F.col(block) if block else F.shiftright(order, _BLOCK_BITS)
+    block_of = F.col(block) if block else F.shiftright(order, BLOCK_BITS)
     blocks = (
         marked.select(file, order, payload, "uri", block_of.alias("_block"))
         .where(F.col(file).isNotNull() & F.col("_block").isNotNull())

@@ -20,6 +20,9 @@ from talkscout.sources.manifest import scanned_file_key
 
 RECORD_BREAK = "\n" + TARGET_URI_HEADER
 VERSION_MARK = "WARC/"
+
+# Line tables are worked on in runs of 65,536 lines.
+BLOCK_BITS = 16
 FORUM_HOST = "disqus.com"
 
 # Fixed value: a line of this many bytes or more makes its whole file unreadable.
@@ -72,11 +75,17 @@ def read_wat_records(
 
 
 def read_wat_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Single lines (file, block_start, rid, value); one trailing carriage return is dropped."""
+    """Single lines (file, line_at, block, value); one trailing carriage return is dropped.
+
+    `line_at` orders the lines of a file. `block` cuts a file into runs of lines, also one
+    that cannot be split for reading.
+    """
     scan = spark.read.option("lineSep", "\n").text(list(paths))
-    return located(scan).select(
+    rid = F.monotonically_increasing_id()
+    numbered = located(scan).withColumn("rid", rid)
+    return numbered.select(
         "file",
-        "block_start",
-        F.monotonically_increasing_id().alias("rid"),
+        F.struct("block_start", "rid").alias("line_at"),
+        F.struct("block_start", F.shiftright("rid", BLOCK_BITS).alias("run")).alias("block"),
         F.regexp_replace("value", r"\r\z", "").alias("value"),
     )

@@ -5,9 +5,9 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from talkscout.operators import disqus
+from talkscout.sources import wat
 from talkscout.sources.wat import read_wat_lines, read_wat_records
 
 
@@ -29,9 +29,9 @@ def scan(spark, path, **options):
 
 
 def line_scan(spark, path):
-    lines = read_wat_lines(spark, [str(path)]).withColumn("at", F.struct("block_start", "rid"))
-    named = disqus.forum_lines(lines, "file", "at", block="block_start")
-    rows = disqus.first_per_file(disqus.line_hits(named), "file", ("at",)).collect()
+    lines = read_wat_lines(spark, [str(path)])
+    named = disqus.forum_lines(lines, "file", "line_at", block="block")
+    rows = disqus.first_per_file(disqus.line_hits(named), "file", ("line_at",)).collect()
     return {(r.domain, r.hostname, r.sample_url, r.disqus_shortname) for r in rows}
 
 
@@ -124,7 +124,8 @@ def expected(text):
     return set(first.values())
 
 
-def test_gzip_with_one_member_per_record(spark, tmp_path):
+def test_gzip_with_one_member_per_record(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(wat, "BLOCK_BITS", 3)
     parts = many_records(200)
     path = tmp_path / "a.warc.wat.gz"
     path.write_bytes(b"".join(gzip.compress(p.encode()) for p in parts))

@@ -131,7 +131,7 @@ def test_carry_forward_across_blocks_of_one_large_file(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_carry_forward_with_tiny_blocks(spark, monkeypatch, seed):
-    monkeypatch.setattr(disqus, "_BLOCK_BITS", 2)
+    monkeypatch.setattr(disqus, "BLOCK_BITS", 2)
     rng = random.Random(seed)
     rows, want, uri = [], {}, {}
     for n in sorted(rng.sample(range(3000), 600)):
