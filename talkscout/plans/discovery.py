@@ -13,7 +13,7 @@ from talkscout.operators import disqus, wordpress
 from talkscout.operators.tables import resume_offset
 from talkscout.plans.store import Store
 from talkscout.plans.waves import in_waves, scan_readable
-from talkscout.sources.manifest import DEFAULT_CRAWL, EmptyManifest, file_key, window_of
+from talkscout.sources.manifest import DEFAULT_CRAWL, EmptyManifest, file_key, scanned_file_key, window_of
 from talkscout.sources.url_index import read_url_index
 from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
 
@@ -47,8 +47,10 @@ def _wave_files(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
     return spark.createDataFrame(table).withColumn("file", file_key(F.col("partition_url")))
 
 
-def _by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:
-    return winners.join(files.select("file", F.col("partition_idx").alias("ordinal")), "file")
+def by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:
+    """Winners with the number of the file they came from as `ordinal`; unlisted files are left out."""
+    keyed = winners.withColumn("file", scanned_file_key(F.col("file")))
+    return keyed.join(files.select("file", F.col("partition_idx").alias("ordinal")), "file")
 
 
 def _save_progress(
@@ -92,7 +94,7 @@ def discover_wordpress(
         def scan(paths, part):
             candidates = wordpress.candidate_rows(read_url_index(store.spark, paths), cap, "file")
             winners = wordpress.winners_per_partition(candidates, "file")
-            store.append("wp_candidates", _by_partition(winners, wave_files), batches[part])
+            store.append("wp_candidates", by_partition(winners, wave_files), batches[part])
 
         parts, _ = scan_readable(names, scan)
         batches = batches[: max(parts, 1)]
@@ -138,7 +140,7 @@ def discover_disqus(
 
         def scan(paths, part):
             hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes), scripts_path, links_path)
-            store.append("disqus_candidates", _by_partition(disqus.scan_winners(hits), wave_files), batches[part])
+            store.append("disqus_candidates", by_partition(disqus.scan_winners(hits), wave_files), batches[part])
 
         parts, _ = scan_readable(names, scan)
         batches = batches[: max(parts, 1)]

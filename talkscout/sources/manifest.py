@@ -106,8 +106,7 @@ def file_key(path: Column) -> Column:
     return F.regexp_replace(path, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/*", "")
 
 
-def scanned_file_key() -> Column:
-    """`file_key` of the file a scanned row came from; the scan percent-encodes its path."""
-    path = F.col("_metadata.file_path")
+def scanned_file_key(path: Column) -> Column:
+    """`file_key` of a scanned file's `_metadata.file_path`, which is percent-encoded."""
     plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return file_key(F.coalesce(plain, path))

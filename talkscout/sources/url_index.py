@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talkscout.sources.manifest import scanned_file_key
-
 INDEX_SCHEMA = T.StructType(
     [
         T.StructField("url_host_registered_domain", T.StringType()),
@@ -30,5 +29,5 @@ def read_url_index(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         spark.read.schema(INDEX_SCHEMA)
         .option("mergeSchema", "false")
         .parquet(*paths)
-        .select(*INDEX_SCHEMA.names, scanned_file_key().alias("file"))
+        .select(*INDEX_SCHEMA.names, F.col("_metadata.file_path").alias("file"))
     )

@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkscout.functions.urls import TARGET_URI_HEADER, trim_space
-from talkscout.sources.manifest import scanned_file_key
 
 RECORD_BREAK = "\n" + TARGET_URI_HEADER
 VERSION_MARK = "WARC/"
 
+
+# Fixed value: text a line must contain to be looked at.
+FORUM_HOST = "disqus.com"
+
 # Line tables are worked on in runs of 65,536 lines.
 BLOCK_BITS = 16
-FORUM_HOST = "disqus.com"
 
 # Fixed value: a line of this many bytes or more makes its whole file unreadable.
 MAX_LINE_BYTES = 10 * 1024 * 1024
@@ -32,7 +34,7 @@ MAX_LINE_BYTES = 10 * 1024 * 1024
 def located(scan: DataFrame) -> DataFrame:
     """Rows of a text scan, batch or streaming, with the file and split they came from."""
     return scan.select(
-        scanned_file_key().alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"
     )
 
 
@@ -81,11 +83,11 @@ def read_wat_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     that cannot be split for reading.
     """
     scan = spark.read.option("lineSep", "\n").text(list(paths))
-    rid = F.monotonically_increasing_id()
-    numbered = located(scan).withColumn("rid", rid)
+    value = F.col("value")
+    numbered = located(scan).withColumn("rid", F.monotonically_increasing_id())
     return numbered.select(
         "file",
         F.struct("block_start", "rid").alias("line_at"),
         F.struct("block_start", F.shiftright("rid", BLOCK_BITS).alias("run")).alias("block"),
-        F.regexp_replace("value", r"\r\z", "").alias("value"),
+        F.when(value.endswith("\r"), F.left(value, F.length(value) - 1)).otherwise(value).alias("value"),
     )

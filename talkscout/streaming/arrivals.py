@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
 from talkscout.operators.disqus import record_hits, scan_winners
-from talkscout.plans.discovery import WAT_FILES_PER_RUN, commit_disqus
+from talkscout.plans.discovery import WAT_FILES_PER_RUN, by_partition, commit_disqus
 from talkscout.plans.store import Store
 from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key
 from talkscout.sources.wat import MAX_LINE_BYTES, RECORD_BREAK, located, records
@@ -51,8 +51,7 @@ def stream_disqus(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         winners = scan_winners(record_hits(records(batch, max_line_bytes), scripts_path, links_path))
-        placed = winners.join(known.select("file", F.col("partition_idx").alias("ordinal")), "file")
-        store.append("disqus_candidates", placed, batch_id)
+        store.append("disqus_candidates", by_partition(winners, known), batch_id)
         seen = store.batches("disqus_candidates", [batch_id]).select(F.col("ordinal").alias("partition_idx"))
         commit_disqus(store, known.join(seen, "partition_idx", "left_semi"), crawl, [batch_id])
 
