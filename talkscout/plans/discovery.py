@@ -81,7 +81,7 @@ def discover_wordpress(
     """Scan the next URL-index files of a manifest selection and commit the candidates.
 
     Results and progress are committed wave by wave. Returns this run's candidates, one
-    per domain with the partition that won. Unreadable and suspicious files are recorded
+    per domain with the partition that won, by domain. Unreadable and suspicious files are recorded
     as scanned with nothing found.
     """
     done = []
@@ -106,7 +106,7 @@ def discover_wordpress(
             _save_progress(store, "wp_scan_progress", wave_files, counts, crawl, batches[0])
         store.commit(batches)
         done += batches
-    return _first_of(store, done)
+    return _first_of(store, done).orderBy("domain")
 
 
 def _first_of(store: Store, batches: Sequence[int]) -> DataFrame:
@@ -129,7 +129,7 @@ def discover_disqus(
     """Scan the next crawl-record files of a manifest selection and commit the candidates.
 
     Results and progress are committed wave by wave. Returns this run's candidates, one
-    per domain with the partition that won.
+    per domain with the partition that won, by domain.
     """
     done = []
     rows = run_files(store, files, "disqus_scan_progress", crawl, partitions, resume)
@@ -147,7 +147,8 @@ def discover_disqus(
         commit_disqus(store, wave_files, crawl, batches)
         done += batches
     written = store.batches("disqus_candidates", done)
-    return disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")
+    first = disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")
+    return first.orderBy("domain")
 
 
 def commit_disqus(store: Store, files: DataFrame, crawl: str, batches: Sequence[int]) -> None:

@@ -36,7 +36,9 @@ def stream_disqus(
 ) -> StreamingQuery:
     """Scan all files below `source_dir` not seen under `checkpoint` yet, then stop.
 
-    `files` is the manifest selection; files it does not list are left out.
+    `files` is the manifest selection; files it does not list are left out. Files count
+    as new whatever their age: by default Spark passes over those a week older than the
+    newest one.
     """
     spark = store.spark
     known = files.select("partition_idx", "partition_url", file_key(F.col("partition_url")).alias("file"))
@@ -46,6 +48,7 @@ def stream_disqus(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*" + suffix)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d")
         .load(source_dir)
     )
 

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -308,6 +309,7 @@ def test_stream_takes_each_file_once(spark, store, tmp_path):
     assert set(candidates(store)) == {"a.org", "b.org"}
     run()  # nothing new
     write_wat(source, names[4], ("https://c.org/", "c"))
+    os.utime(source / names[4], (1_500_000_000, 1_500_000_000))  # arrives late with an old date
     run()
     assert progress(store) == [("X", 0, 2), ("X", 1, 1), ("X", 2, 0), ("X", 4, 1)]
     assert set(candidates(store)) == {"a.org", "b.org", "c.org"}
