@@ -153,25 +153,22 @@ def discover(lines: DataFrame, file: str = "file_idx", order: str = "line_no") -
 def scan_winners(hits: DataFrame) -> DataFrame:
     """Per-file winners of `record_hits`, plus rows without a domain that stand for files.
 
-    (file, domain, hostname, sample_url, disqus_shortname). A file with an overlong
-    line is unreadable as a whole and keeps no candidate. The unreadable files are found
-    from the winners' own shuffle, which both branches of the plan reuse, so the crawl
-    files are read once and no task ever holds all winners of one file.
+    (file, domain, overlong, hostname, sample_url, disqus_shortname), in one shuffle of
+    rows that each task has already reduced to one per file and domain.
     """
     first = F.min(F.struct("block_start", "rid", "pos", "hostname", "sample_url", "disqus_shortname"))
-    winners = (
-        hits.where(F.col("file").isNotNull())
-        .groupBy("file", "domain")
-        .agg(first.alias("w"), F.max("overlong").alias("overlong"))
-    )
-    unreadable = (
-        winners.groupBy("file")
-        .agg(F.max("overlong").alias("bad"), F.count("w").alias("rows"))
-        .where(F.col("bad") & (F.col("rows") > 0))
-        .select("file", F.lit(True).alias("bad"))
-    )
+    winners = hits.groupBy("file", "domain").agg(first.alias("w"), F.max("overlong").alias("overlong"))
+    return winners.select("file", "domain", "overlong", "w.hostname", "w.sample_url", "w.disqus_shortname")
+
+
+def readable_winners(winners: DataFrame) -> DataFrame:
+    """Winners of files without an overlong line; an unreadable file keeps only its own row.
+
+    Reads `winners` twice, so hand it a written table, not the scan.
+    """
+    unreadable = winners.where("overlong").select("file", F.lit(True).alias("bad")).distinct()
     return (
         winners.join(unreadable, "file", "left")
-        .where((~F.col("overlong") & F.col("bad").isNull()) | F.col("domain").isNull())
-        .select("file", "domain", "w.hostname", "w.sample_url", "w.disqus_shortname")
+        .where(F.col("bad").isNull() | F.col("domain").isNull())
+        .drop("overlong", "bad")
     )

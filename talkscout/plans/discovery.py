@@ -140,7 +140,7 @@ def discover_disqus(
 
         def scan(paths, part):
             hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes), scripts_path, links_path)
-            store.append("disqus_candidates", by_partition(disqus.scan_winners(hits), wave_files), batches[part])
+            append_disqus(store, hits, wave_files, batches[part])
 
         parts, _ = scan_readable(names, scan)
         batches = batches[: max(parts, 1)]
@@ -151,6 +151,12 @@ def discover_disqus(
     return first.orderBy("domain")
 
 
+def append_disqus(store: Store, hits: DataFrame, files: DataFrame, batch_id: int) -> None:
+    """Write the candidates of scanned records as a batch; the records are read once."""
+    winners = store.stage(disqus.scan_winners(hits))
+    store.append("disqus_candidates", by_partition(disqus.readable_winners(winners), files), batch_id)
+
+
 def commit_disqus(store: Store, files: DataFrame, crawl: str, batches: Sequence[int]) -> None:
     """Record progress for written batches and make them visible."""
     written = store.batches("disqus_candidates", batches).where("domain IS NOT NULL")

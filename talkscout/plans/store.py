@@ -9,6 +9,7 @@ together, and what a lost run left behind stays invisible.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -72,6 +73,17 @@ class Store:
             .parquet(f"{self.root}/{table}")
         )
 
+    def stage(self, rows: DataFrame) -> DataFrame:
+        """Write rows to the cluster's shared checkpoint folder and read them back.
+
+        Cuts the lineage: what is derived from the result, in however many branches,
+        never scans the crawl again, also after the loss of executors.
+        """
+        shared = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/staged"
+        path = f"{shared.rstrip('/')}/talkscout-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def commit(self, batch_ids: Sequence[int]) -> None:
         """Make batches visible, all at once."""
         ids = self.spark.range(0, 1, 1, 1).select(F.explode(F.lit(list(batch_ids)).cast("array<bigint>")).alias("batch_id"))

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
-from talkscout.operators.disqus import record_hits, scan_winners
-from talkscout.plans.discovery import WAT_FILES_PER_RUN, by_partition, commit_disqus
+from talkscout.operators.disqus import record_hits
+from talkscout.plans.discovery import WAT_FILES_PER_RUN, append_disqus, commit_disqus
 from talkscout.plans.store import Store
 from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key
 from talkscout.sources.wat import MAX_LINE_BYTES, RECORD_BREAK, located, records
@@ -53,8 +53,8 @@ def stream_disqus(
     )
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        winners = scan_winners(record_hits(records(batch, max_line_bytes), scripts_path, links_path))
-        store.append("disqus_candidates", by_partition(winners, known), batch_id)
+        hits = record_hits(records(batch, max_line_bytes), scripts_path, links_path)
+        append_disqus(store, hits, known, batch_id)
         seen = store.batches("disqus_candidates", [batch_id]).select(F.col("ordinal").alias("partition_idx"))
         commit_disqus(store, known.join(seen, "partition_idx", "left_semi"), crawl, [batch_id])
 

@@ -24,7 +24,7 @@ def record(uri, *lines):
 
 def scan(spark, path, **options):
     hits = disqus.record_hits(read_wat_records(spark, [str(path)], **options))
-    rows = disqus.scan_winners(hits).where("domain IS NOT NULL").collect()
+    rows = disqus.readable_winners(disqus.scan_winners(hits)).where("domain IS NOT NULL").collect()
     return {(r.domain, r.hostname, r.sample_url, r.disqus_shortname) for r in rows}
 
 
