@@ -28,8 +28,8 @@ def _quality() -> str:
     return f"""
     WITH split AS (
         SELECT doc_id, coalesce(text, '') AS t,
-            list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w,
-            list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
         FROM documents),
     windows AS (
         SELECT doc_id, unnest(range(1, len(w) - 3)) AS pos, w FROM split WHERE len(w) >= 5),
@@ -44,14 +44,14 @@ def _quality() -> str:
             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
             len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
             coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-            len(list_filter(w, x -> x IN ({stops}))) AS n_stop,
-            len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) AS n_stutter
+            len(list_filter(w, lambda x: x IN ({stops}))) AS n_stop,
+            len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutter
         FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id),
     judged AS (
         SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM counts)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         (NOT base_failed AND {" AND ".join(rules.values())}) AS kept,
-        array_to_string(list_filter([{failed}], x -> x IS NOT NULL), ',') AS failed_rules
+        array_to_string(list_filter([{failed}], lambda x: x IS NOT NULL), ',') AS failed_rules
     FROM judged"""
 
 
