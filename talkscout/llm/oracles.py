@@ -56,3 +56,49 @@ def _quality() -> str:
 
 
 ORACLES["op10_quality_rules"] = _quality()
+
+_SEGMENT = """
+    length(t) + length(t) - length(replace(t, '\\', ''))
+        + len(regexp_extract_all(t, '<s>|</s>|\\[/?INST\\]|<</?SYS>>|<</?ROLE'))
+        + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 19 WHEN 'assistant' THEN 7 ELSE
+            20 + length(role) + length(role) - length(replace(replace(role, '\\', ''), '>', ''))
+            + len(regexp_extract_all(role, '<s>|</s>|\\[/?INST\\]|<</?SYS>>|<</?ROLE')) END"""
+
+ORACLES["op1_chat_formatting"] = f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    placed AS (
+        SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS all_turns,
+            sum({_SEGMENT}) OVER (w ROWS UNBOUNDED PRECEDING) AS chars
+        FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, t))
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY n)) AS turns_sha256,
+        coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(t, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        coalesce(sum(chars) FILTER (role = 'assistant' OR n = all_turns), 0)::BIGINT AS formatted_chars,
+        count(*) FILTER (role = 'assistant' OR n = all_turns) AS n_examples
+    FROM placed GROUP BY conv_id"""
+
+ORACLES["op2_warc_salvage"] = """
+    WITH hashed AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha1(coalesce(html, '')) AS h FROM pages),
+    firsts AS (SELECT h, min(page_id) AS first FROM hashed GROUP BY h)
+    SELECT page_id, bytes AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda i:
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM hashed JOIN firsts USING (h)"""
+
+ORACLES["op3_maxscore"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5"""

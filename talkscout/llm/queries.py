@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import packing, pieces, quality
+from talkscout.llm import chat, packing, pieces, quality, topk, warc
+from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
 
@@ -18,6 +19,24 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_chat_formatting(spark, sf_dir):
+    return chat.read_back(chat.prefix_targets(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op2_warc_salvage(spark, sf_dir):
+    folder = shared_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.pages_of(warc.read_archives(spark, folder, with_payload=False))
+
+
+@query
+def op3_maxscore(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @query
 def op6_piece_encoding(spark, sf_dir):
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
