@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from talkscout.llm import packing, quality
+from talkscout.llm import neardup, packing, quality
 from talkscout.llm.shared import shared_folder, written
 
 
@@ -19,6 +19,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return neardup.keep_first(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into windows of several lengths."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -26,6 +31,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality rules", quality_stage),
+    ("near duplicates", near_duplicate_stage),
     ("packing", packing_stage),
 ]
 

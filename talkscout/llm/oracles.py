@@ -102,3 +102,24 @@ ORACLES["op3_maxscore"] = """
         FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
     SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5"""
+
+ORACLES["op4_near_duplicates"] = """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+            lambda x: x <> '') AS w
+        FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE
+            list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
+    items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM common JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+        WHERE 100 * n >= 80 * (len(p.s) + len(q.s) - n)),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    firsts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN firsts ON a = doc_id"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import chat, packing, pieces, quality, topk, warc
+from talkscout.llm import chat, neardup, packing, pieces, quality, topk, warc
 from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
@@ -37,6 +37,11 @@ def op3_maxscore(spark, sf_dir):
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+@query
+def op4_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_piece_encoding(spark, sf_dir):
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
