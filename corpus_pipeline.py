@@ -10,10 +10,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from talkscout.llm import neardup, packing, quality
+from talkscout.llm import neardup, packing, quality, toxicity
 from talkscout.llm.shared import shared_folder, written
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic; trained on the labelled ones among them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.keep_clean(docs, toxicity.train(docs, labels))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the threshold table."""
     return quality.keep_good(docs)
@@ -30,6 +36,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("quality rules", quality_stage),
     ("near duplicates", near_duplicate_stage),
     ("packing", packing_stage),

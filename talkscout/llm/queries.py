@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import chat, neardup, packing, pieces, quality, topk, warc
+from talkscout.llm import chat, neardup, packing, pieces, quality, topk, toxicity, warc
 from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
@@ -52,6 +52,12 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.scores(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
