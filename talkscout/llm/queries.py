@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import chat, neardup, packing, pieces, quality, topk, toxicity, warc
+from talkscout.llm import chat, hmm, neardup, packing, pieces, quality, topk, toxicity, warc
 from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
@@ -58,6 +58,11 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.scores(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+@query
+def op9_hidden_markov(spark, sf_dir):
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
