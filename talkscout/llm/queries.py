@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import chat, hmm, neardup, packing, pieces, quality, topk, toxicity, warc
+from talkscout.llm import chat, hmm, licenses, neardup, packing, pieces, quality, topk, toxicity, warc
 from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
@@ -42,6 +42,12 @@ def op4_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_license_scan(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return licenses.license_report(documents, licenses.train(licenses.sample_paragraphs(documents)))
+
+
 @query
 def op6_piece_encoding(spark, sf_dir):
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
