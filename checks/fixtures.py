@@ -16,6 +16,8 @@ BULK_PAGES = (
     "CAST(o_orderkey AS STRING) AS url FROM orders)"
 )
 
+OTHER_PAGES = "(SELECT page_id, replace(url, '.example.', '.sample.') AS url FROM pages)"
+
 TABLES = ("pages", "orders")
 
 EVERY_FOURTH = "page_id % 4"
@@ -23,16 +25,9 @@ RUNS_OF_64 = "CAST(FLOOR(page_id / 64) AS BIGINT)"
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run fixture SQL on Spark over the given tables.
-
-    The bulk table is one small file; it is spread over the cores, as the many files of
-    a crawl would be.
-    """
+    """Run fixture SQL on Spark over the given tables."""
     for table in TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-        if table == "orders":
-            df = df.select("o_orderkey", "o_custkey").repartition(spark.sparkContext.defaultParallelism)
-        df.createOrReplaceTempView(table)
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(sql.replace("POST_NUMBERS", "explode(sequence(1, 12))"))
 
 
@@ -288,3 +283,25 @@ def home_html(src: str = "pages") -> str:
         WHEN 3 THEN '<script>var disqus_shortname = ''v'';</script><script src="//e' || n || '.disqus.com/embed.js"></script>' || html
         ELSE '<p>see disqus.com</p>' || html END AS html
     FROM (SELECT page_id, html, CAST(page_id AS STRING) AS n FROM {src}) h"""
+
+
+def discovered_captures(src: str = PAGES) -> str:
+    """Captures of all domains of the index: home page, probe, sample and two of three sampled posts."""
+    kinds = {
+        "home_head": ("0", "CAST(NULL AS STRING)", "'<https://x/wp-json/>; api.w.org'"),
+        "comments_probe": ("0", "'[{\"post\":1}]'", "''"),
+        "comments_sample": ("0", "'[{\"post\":2},{\"post\":1},{\"post\":2},{\"post\":3}]'", "''"),
+        "post": ("n", "'{\"link\":\"https://' || domain || '/p' || CAST(n AS STRING) || '\",\"title\":{\"rendered\":\"Title\"}}'", "''"),
+    }
+    parts = [
+        f"SELECT domain, '{kind}' AS kind, CAST({post} AS BIGINT) AS post_id, "
+        f"CAST(CASE WHEN odd THEN NULL WHEN n = 3 THEN 404 ELSE 200 END AS INT) AS status, "
+        f"CASE WHEN odd THEN NULL ELSE {link} END AS link_header, '5' AS x_wp_total, {body} AS body, "
+        f"CASE WHEN odd THEN 'timeout' END AS error FROM (SELECT *, POST_NUMBERS AS n FROM domains) "
+        f"WHERE n <= {3 if kind == 'post' else 1}"
+        for kind, (post, body, link) in kinds.items()
+    ]
+    return (
+        "WITH domains AS (SELECT DISTINCT url_host_registered_domain AS domain, "
+        f"length(url_host_registered_domain) % 2 = 1 AS odd FROM ({index(src)}) i) " + " UNION ALL ".join(parts)
+    )

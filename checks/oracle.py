@@ -8,14 +8,16 @@ row_number, carry-forward through last_value.
 from __future__ import annotations
 
 from checks import fixtures as fx
-from checks.queries import LOGS, SMALL_CAP
+from checks.queries import LOGS
 
 ORACLES: dict[str, str] = {}
 
+# Public suffixes of two parts, and names that are no forum.
 _SUFFIXES = (
     "'co.uk','co.jp','co.kr','co.nz','co.za','co.in','co.id','co.il','com.au','com.br','com.cn','com.mx',"
     "'com.tw','com.sg','com.hk','com.ar','com.tr','org.uk','org.au','net.au','ac.uk','gov.uk'"
 )
+_RESERVED = "'www', 'disqus', 'help', 'blog', 'docs', 'https', 'http'"
 BASE = "https://data.commoncrawl.org/"
 
 
@@ -41,7 +43,7 @@ ORACLES["url_host"] = _HOST
 ORACLES["registered_domain"] = f"SELECT page_id, {_registered('host')} AS domain FROM ({_HOST})"
 ORACLES["disqus_shortname"] = f"""
     SELECT page_id, regexp_extract(link, '//([0-9A-Za-z_][0-9A-Za-z_-]*)[.]disqus[.]com/embed[.]js', 1) AS from_script,
-      CASE WHEN n IN ('www', 'disqus', 'help', 'blog', 'docs', 'https', 'http') THEN '' ELSE n END AS from_link
+      CASE WHEN n IN ({_RESERVED}) THEN '' ELSE n END AS from_link
     FROM (SELECT *, lower(regexp_extract(link, '(^|//)([0-9A-Za-z_][0-9A-Za-z_-]*)[.]disqus[.]com', 2)) AS n
           FROM ({fx.duck_sql(fx.forum_links())}))"""
 
@@ -113,22 +115,14 @@ def _wp_rows(src: str = fx.PAGES, part: str = "partition_idx") -> str:
            OR url_host_registered_domain = 'wordpress.com')"""
 
 
-def _wp_capped(cap: int, src: str = fx.PAGES, part: str = "partition_idx") -> str:
-    return f"""
-    SELECT * FROM (SELECT DISTINCT * FROM ({_wp_rows(src, part)}))
-    QUALIFY row_number() OVER (PARTITION BY partition_idx
-        ORDER BY hostname NULLS FIRST, sample_url NULLS FIRST, domain NULLS FIRST) <= {cap}"""
-
-
 def _wp_first(src: str = fx.PAGES, part: str = "partition_idx", where: str = "true") -> str:
     return f"""
-    SELECT * FROM ({_wp_capped(50000, src, part)}) WHERE domain <> '' AND {where}
+    SELECT DISTINCT * FROM ({_wp_rows(src, part)}) WHERE domain <> '' AND {where}
     QUALIFY row_number() OVER (PARTITION BY domain ORDER BY partition_idx, hostname, sample_url) = 1"""
 
 
 ORACLES["wp_filter"] = _wp_rows()
 ORACLES["wp_distinct"] = f"SELECT DISTINCT * FROM ({_wp_rows()})"
-ORACLES["wp_partition_cap"] = _wp_capped(SMALL_CAP)
 for _name, _src in (("wp_discover", fx.PAGES), ("wp_discover_bulk", fx.BULK_PAGES)):
     ORACLES[_name] = f"SELECT domain, hostname, sample_url FROM ({_wp_first(_src)}) ORDER BY domain"
 ORACLES["wp_found_per_partition"] = f"""
@@ -246,18 +240,21 @@ ORACLES["resume_slice"] = f"""
 ORACLES["missing_partitions"] = (
     f"SELECT * FROM ({_FILES}) WHERE partition_idx NOT IN (SELECT partition_idx FROM ({_PROGRESS}) WHERE crawl = 'A')"
 )
-ORACLES["unverified_wp"] = f"""
-    SELECT c.domain FROM ({_WP}) c LEFT JOIN ({_RESULTS}) r ON c.domain = r.domain WHERE r.domain IS NULL ORDER BY 1"""
-ORACLES["unverified_disqus"] = f"""
-    SELECT c.domain FROM ({_DISQUS}) c LEFT JOIN ({_RESULTS}) r ON c.domain = r.domain WHERE r.domain IS NULL ORDER BY 1"""
+for _name, _found in (("unverified_wp", _WP), ("unverified_disqus", _DISQUS)):
+    ORACLES[_name] = f"SELECT domain FROM ({_found}) EXCEPT SELECT domain FROM ({_RESULTS}) ORDER BY domain"
 
 
-def _export(disqus: str, wordpress: str, results: str) -> str:
+def _export(forums: str, wordpress: str, results: str) -> str:
     return f"""
-    SELECT hostname, disqus_shortname, CAST(NULL AS BIGINT) AS comment_count_hint FROM ({disqus})
-    UNION ALL
-    SELECT c.hostname, NULL, r.comment_count_hint FROM ({results}) r JOIN ({wordpress}) c ON c.domain = r.domain
-    WHERE r.wp_confirmed = 1 AND r.comments_endpoint = 1 AND r.comment_count_hint > 1"""
+    WITH forum_sites AS (FROM ({forums}) SELECT hostname, disqus_shortname, NULL::BIGINT AS comment_count_hint),
+    open_sites AS (
+        FROM ({results}) SELECT domain, comment_count_hint AS hint
+        WHERE (wp_confirmed, comments_endpoint) = (1, 1) AND NOT comment_count_hint <= 1),
+    blog_sites AS (
+        FROM ({wordpress}) w SELECT hostname, NULL::VARCHAR AS disqus_shortname,
+            (SELECT hint FROM open_sites o WHERE o.domain = w.domain) AS comment_count_hint
+        WHERE domain IN (SELECT domain FROM open_sites))
+    FROM forum_sites UNION ALL FROM blog_sites"""
 
 
 ORACLES["export_rows"] = _export(_DISQUS, _WP, _RESULTS)
@@ -355,15 +352,30 @@ ORACLES["discover_disqus_run"] = (
     f"SELECT {_CANDIDATE} FROM ({_first_hits('domain', 'file_idx, line_no', file_idx=fx.RUNS_OF_64)})"
 )
 ORACLES["incremental_disqus"] = ORACLES["discover_disqus_run"]
+ORACLES["two_crawls_stream"] = f"""
+    SELECT {_CANDIDATE} FROM (
+        SELECT 0 AS crawl, * FROM ({_hits(file_idx=fx.RUNS_OF_64)}) UNION ALL
+        SELECT 1, * FROM ({_hits(fx.OTHER_PAGES, fx.RUNS_OF_64)}))
+    QUALIFY row_number() OVER (PARTITION BY domain ORDER BY crawl, file_idx, line_no) = 1"""
+ORACLES["scan_outcomes"] = f"""
+    WITH counted AS (
+        SELECT f.partition_idx, count(w.domain) AS n FROM ({_RUN_FILES}) f
+        LEFT JOIN ({_wp_first(part=fx.RUNS_OF_64)}) w USING (partition_idx) GROUP BY 1)
+    SELECT partition_idx, n AS candidates_found, CASE WHEN n = 0 THEN 'empty' ELSE 'ok' END AS status FROM counted UNION ALL
+    SELECT (SELECT max(partition_idx) FROM counted) + i, 0, CASE WHEN i = 3 THEN 'suspicious' ELSE 'failed' END
+    FROM (SELECT unnest([1, 2, 3]) AS i)"""
 ORACLES["discover_disqus_progress"] = f"""
     SELECT 'A' AS crawl, f.partition_idx, count(w.domain) AS candidates_found FROM ({_RUN_FILES}) f
     LEFT JOIN ({_first_hits('file_idx, domain', 'line_no', file_idx=fx.RUNS_OF_64)}) w ON w.file_idx = f.partition_idx GROUP BY 1, 2"""
 ORACLES["verify_run"] = ORACLES["verify_results"]
-ORACLES["export_run"] = f"""
-    SELECT domain AS hostname, CAST(NULL AS VARCHAR) AS disqus_shortname, comment_count_hint FROM ({_results()})
-    WHERE wp_confirmed = 1 AND comments_endpoint = 1 AND comment_count_hint > 1"""
+ORACLES["verify_run_pages"] = ORACLES["late_captures_run"] = ORACLES["verify_pages"]
+_SEEDED = f"SELECT domain, domain AS hostname FROM ({fx.domains()})"
+ORACLES["export_run"] = _export(ORACLES["disqus_discover"], _SEEDED, _results())
+_VERIFIED = f"SELECT domain, length(domain) % 2 = 0 AS even FROM ({_wp_first(part=fx.RUNS_OF_64)})"
 ORACLES["discover_and_verify_run"] = f"""
-    SELECT domain, CAST(even AS BIGINT) AS wp_confirmed, CAST(0 AS BIGINT) AS comments_endpoint, CAST(0 AS BIGINT) AS comment_count_hint,
-      CASE WHEN even THEN 'https://x/wp-json/' ELSE '' END AS api_root,
-      CASE WHEN even THEN 'not captured' ELSE 'timeout' END AS error
-    FROM (SELECT domain, length(domain) % 2 = 0 AS even FROM ({_wp_first(part=fx.RUNS_OF_64)}))"""
+    SELECT domain, even::BIGINT AS wp_confirmed, even::BIGINT AS comments_endpoint, 5 * even::BIGINT AS comment_count_hint,
+      CASE WHEN even THEN 'https://x/wp-json/' ELSE '' END AS api_root, CASE WHEN even THEN '' ELSE 'timeout' END AS error
+    FROM ({_VERIFIED})"""
+ORACLES["discover_and_verify_pages"] = f"""
+    SELECT domain, post_id::BIGINT AS post_id, 'https://' || domain || '/p' || post_id AS url, 'Title' AS title, post_id::BIGINT AS comment_count_in_sample
+    FROM ({_VERIFIED}), (SELECT unnest([1, 2]) AS post_id) WHERE even"""

@@ -21,7 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-SMALL_CAP = 7
 PROGRESS = ["crawl", "partition_idx", "partition_url", "candidates_found"]
 COLUMNS = {
     **{t: [f.split()[0] for f in ddl.split(", ")] for t, ddl in TABLES.items()},
@@ -115,10 +114,6 @@ def homepage_disqus(spark, sf_dir):
 
 QUERIES["wp_filter"] = on(fx.index(), wordpress.wordpress_rows)
 QUERIES["wp_distinct"] = on(fx.index(), lambda df: wordpress.distinct_rows(wordpress.wordpress_rows(df)))
-QUERIES["wp_partition_cap"] = on(
-    fx.index(),
-    lambda df: wordpress.capped_rows(wordpress.distinct_rows(wordpress.wordpress_rows(df)), SMALL_CAP),
-)
 QUERIES["wp_discover"] = on(fx.index(), wordpress.discover)
 QUERIES["wp_discover_bulk"] = on(fx.index(fx.BULK_PAGES), wordpress.discover)
 
@@ -282,11 +277,16 @@ def _index_run(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
     return Store(spark, f"{folder}/store"), files
 
 
-def _wat_run(spark: SparkSession, sf_dir: str) -> tuple[Store, str, DataFrame]:
+def _wat_files(spark: SparkSession, sf_dir: str, src: str = fx.PAGES) -> tuple[str, DataFrame]:
+    """Folder and files of a crawl with 64 pages per file."""
     folder = new_folder(spark)
-    lines = fx.spark_sql(spark, sf_dir, fx.wat_lines(file_idx=fx.RUNS_OF_64))
+    lines = fx.spark_sql(spark, sf_dir, fx.wat_lines(src, fx.RUNS_OF_64))
     manifest = write_wat_files(lines, folder)
-    files = wat_files(read_manifest(spark, manifest), f"{folder}/wat/", ".txt.gz")
+    return folder, wat_files(read_manifest(spark, manifest), f"{folder}/wat/", ".txt.gz")
+
+
+def _wat_run(spark: SparkSession, sf_dir: str) -> tuple[Store, str, DataFrame]:
+    folder, files = _wat_files(spark, sf_dir)
     return Store(spark, f"{folder}/store"), folder, files
 
 
@@ -322,17 +322,45 @@ def discover_disqus_progress(spark, sf_dir):
     return store.table("disqus_scan_progress").select("crawl", "partition_idx", "candidates_found")
 
 
+@query
+def scan_outcomes(spark, sf_dir):
+    """Progress of a crawl that also lists a missing file, one that is no Parquet file, and a suspicious name."""
+    folder = new_folder(spark)
+    rows = fx.spark_sql(spark, sf_dir, fx.index()).withColumn("part", F.expr(fx.RUNS_OF_64))
+    manifest = read_manifest(spark, write_index_files(rows.drop("page_id", "partition_idx"), folder))
+    broken = f"{folder}/index/subset=warc/zz2"
+    spark.range(3).select(F.col("id").cast("string").alias("value")).coalesce(1).write.text(broken)
+    name = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(broken).select(F.element_at(F.split("path", "/"), -1))
+    others = name.select(F.concat(F.lit("subset=warc/zz2/"), name[0]).alias("path"))
+    for path in ("subset=warc/zz1-missing", "subset=warc/zz3-it's"):
+        others = others.union(spark.range(1).select(F.lit(path)))
+    store = Store(spark, f"{folder}/store")
+    discover_wordpress(store, index_files(manifest.union(others), f"{folder}/index/"), "A")
+    return store.table("wp_scan_progress").select("partition_idx", "candidates_found", "status")
+
+
+def _stream(store: Store, folder: str, files: DataFrame, crawl: str) -> None:
+    """All files as one micro-batch, so that the first row is that of the lowest partition."""
+    stream = stream_disqus(store, f"{folder}/wat", files, f"{folder}/progress", crawl, files_per_batch=1_000_000, suffix=".txt.gz")
+    stream.awaitTermination()
+
+
 @query
 def incremental_disqus(spark, sf_dir):
-    """Arriving files as a stream; committed batch by batch."""
+    """Arriving files as a stream."""
     store, folder, files = _wat_run(spark, sf_dir)
-    stream = stream_disqus(
-        store, f"{folder}/wat", files, f"{folder}/progress", "A", files_per_batch=files.count() // 2 + 1, suffix=".txt.gz"
-    )
-    stream.awaitTermination()
-    # Batches arrive by file age, so the kept row is that of the lowest partition over the whole log.
-    log = store.log("disqus_candidates").where("domain IS NOT NULL")
-    return disqus.first_per_domain(log, "ordinal", ()).select(*disqus.CANDIDATE)
+    _stream(store, folder, files, "A")
+    return store.table("disqus_candidates")
+
+
+@query
+def two_crawls_stream(spark, sf_dir):
+    """Two streams into one store; the first one's rows are kept."""
+    store, folder, files = _wat_run(spark, sf_dir)
+    _stream(store, folder, files, "A")
+    _stream(store, *_wat_files(spark, sf_dir, fx.OTHER_PAGES), "B")
+    store.compact("disqus_candidates")
+    return store.table("disqus_candidates")
 
 
 @query
@@ -342,6 +370,23 @@ def verify_run(spark, sf_dir):
     return store.table("results")
 
 
+@query
+def verify_run_pages(spark, sf_dir):
+    store, captures = _seeded_store(spark, sf_dir)
+    verify_wordpress(store, captures)
+    return store.table("pages")
+
+
+@query
+def late_captures_run(spark, sf_dir):
+    """Home pages first; probes, samples and posts are captured later, and a second run completes the domains."""
+    store, captures = _seeded_store(spark, sf_dir)
+    verify_wordpress(store, captures.where("kind LIKE 'home%'"))
+    verify_wordpress(store, captures.where("kind NOT IN ('comments_sample', 'post')"))
+    verify_wordpress(store, captures)
+    return store.table("pages")
+
+
 def _seeded_store(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
     """A store whose WordPress candidates are the fixture's domains, and the captures."""
     store = Store(spark, f"{new_folder(spark)}/store")
@@ -357,22 +402,28 @@ def _seeded_store(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
 
 @query
 def export_run(spark, sf_dir):
+    """Disqus and WordPress sites of one store."""
     store, captures = _seeded_store(spark, sf_dir)
     verify_wordpress(store, captures)
+    (batch,) = store.new_batches()
+    found = QUERIES["disqus_discover"](spark, sf_dir)
+    store.append("disqus_candidates", found.withColumn("ordinal", F.lit(0).cast("bigint")), batch)
+    store.commit([batch])
     export(store, f"{store.root}/export")
     return spark.read.parquet(f"{store.root}/export")
 
 
+def _discovered_and_verified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Discovery, then verification of every candidate; domains of odd length time out."""
+    store, files = _index_run(spark, sf_dir)
+    return discover_and_verify(store, files, fx.spark_sql(spark, sf_dir, fx.discovered_captures()), "A")
+
+
 @query
 def discover_and_verify_run(spark, sf_dir):
-    """Discovery, then verification of every candidate, captured or not."""
-    store, files = _index_run(spark, sf_dir)
-    captures = fx.spark_sql(
-        spark,
-        sf_dir,
-        "SELECT DISTINCT url_host_registered_domain AS domain, 'home_head' AS kind, CAST(NULL AS BIGINT) AS post_id, "
-        "200 AS status, CASE WHEN length(url_host_registered_domain) % 2 = 0 THEN '<https://x/wp-json/>; api.w.org' END "
-        "AS link_header, CAST(NULL AS STRING) AS x_wp_total, CAST(NULL AS STRING) AS body, "
-        f"CASE WHEN length(url_host_registered_domain) % 2 = 1 THEN 'timeout' END AS error FROM ({fx.index()}) i",
-    )
-    return discover_and_verify(store, files, captures, "A", partitions=None)[0]
+    return _discovered_and_verified(spark, sf_dir)[0]
+
+
+@query
+def discover_and_verify_pages(spark, sf_dir):
+    return _discovered_and_verified(spark, sf_dir)[1]

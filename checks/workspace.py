@@ -12,8 +12,15 @@ from talkscout.sources.manifest import file_key
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A new folder all executors reach: below spark.checkpoint.dir, else (tests only) a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="talkscout-")
+    """A new folder all executors reach, below spark.checkpoint.dir.
+
+    Only a session on one machine may do without that setting; it gets a temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        base = tempfile.mkdtemp(prefix="talkscout-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,11 @@ def _field(value: Column, path: Sequence[str]) -> Column:
     return value
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _first_filled(values: Column) -> Column:
     return F.get(F.filter(values, lambda v: v != ""), F.lit(0))
 
@@ -121,11 +126,15 @@ def sampled_posts(body: Column) -> Column:
 
     One `post` that is not a whole 64-bit number voids the sample.
     """
-    items = F.from_json(body, "ARRAY<STRUCT<post: VARIANT>>", _STRICT)
     post = lambda item: item.getField("post")
     kind = lambda item: F.coalesce(F.schema_of_variant(post(item)), F.lit("VOID"))
-    valid = trim_space(body).startswith("[") & F.forall(items, lambda i: kind(i).isin("BIGINT", "VOID"))
-    return F.when(valid, F.transform(items, lambda i: F.coalesce(F.try_variant_get(post(i), "$", "bigint"), F.lit(0))))
+
+    def numbers(items: Column) -> Column:
+        whole = F.forall(items, lambda i: kind(i).isin("BIGINT", "VOID"))
+        return F.when(whole, F.transform(items, lambda i: F.coalesce(F.try_variant_get(post(i), "$", "bigint"), F.lit(0))))
+
+    parsed = F.from_json(body, "ARRAY<STRUCT<post: VARIANT>>", _STRICT)
+    return F.when(trim_space(body).startswith("["), _once(parsed, numbers))
 
 
 def title_text(title: Column) -> Column:
@@ -137,15 +146,18 @@ def title_text(title: Column) -> Column:
 
 def post_fields(body: Column) -> Column:
     """(link, title) of a post body; NULL when the body cannot be read as a post."""
-    doc = F.try_parse_json(body)
-    kind = F.schema_of_variant(doc)
-    link = F.try_variant_get(doc, "$.link", "variant")
-    link_kind = F.coalesce(F.schema_of_variant(link), F.lit("VOID"))
-    readable = (kind.startswith("OBJECT") | (kind == "VOID")) & link_kind.isin("STRING", "VOID")
-    return F.when(
-        readable,
-        F.struct(
-            F.coalesce(F.try_variant_get(link, "$", "string"), F.lit("")).alias("link"),
-            title_text(F.try_variant_get(doc, "$.title", "variant")).alias("title"),
-        ),
-    )
+
+    def fields(doc: Column) -> Column:
+        kind = F.schema_of_variant(doc)
+        link = F.try_variant_get(doc, "$.link", "variant")
+        link_kind = F.coalesce(F.schema_of_variant(link), F.lit("VOID"))
+        readable = (kind.startswith("OBJECT") | (kind == "VOID")) & link_kind.isin("STRING", "VOID")
+        return F.when(
+            readable,
+            F.struct(
+                F.coalesce(F.try_variant_get(link, "$", "string"), F.lit("")).alias("link"),
+                title_text(F.try_variant_get(doc, "$.title", "variant")).alias("title"),
+            ),
+        )
+
+    return _once(F.try_parse_json(body), fields)

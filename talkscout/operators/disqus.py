@@ -109,7 +109,7 @@ def record_hits(
 ) -> DataFrame:
     """Candidate of each matching record line; a NULL domain where there is none.
 
-    Rows without a candidate are kept: they still stand for their file.
+    Rows without a line are kept: they may stand for their file.
     """
     lines = records.select("*", F.posexplode_outer("lines").alias("pos", "line")).drop("lines")
     named = with_forum(lines, "line", "disqus_shortname", scripts_path, links_path).drop("line")
@@ -151,24 +151,15 @@ def discover(lines: DataFrame, file: str = "file_idx", order: str = "line_no") -
 
 
 def scan_winners(hits: DataFrame) -> DataFrame:
-    """Per-file winners of `record_hits`, plus rows without a domain that stand for files.
+    """Per-file winners of `record_hits`: (file, domain, hostname, sample_url, disqus_shortname).
 
-    (file, domain, overlong, hostname, sample_url, disqus_shortname), in one shuffle of
-    rows that each task has already reduced to one per file and domain.
+    One shuffle of rows that each task has already reduced to one per file and domain.
     """
-    first = F.min(F.struct("block_start", "rid", "pos", "hostname", "sample_url", "disqus_shortname"))
-    winners = hits.groupBy("file", "domain").agg(first.alias("w"), F.max("overlong").alias("overlong"))
-    return winners.select("file", "domain", "overlong", "w.hostname", "w.sample_url", "w.disqus_shortname")
-
+    return first_per_file(hits, "file", ("block_start", "rid", "pos")).select("file", *CANDIDATE)
 
-def readable_winners(winners: DataFrame) -> DataFrame:
-    """Winners of files without an overlong line; an unreadable file keeps only its own row.
 
-    Reads `winners` twice, so hand it a written table, not the scan.
-    """
-    unreadable = winners.where("overlong").select("file", F.lit(True).alias("bad")).distinct()
-    return (
-        winners.join(unreadable, "file", "left")
-        .where(F.col("bad").isNull() | F.col("domain").isNull())
-        .drop("overlong", "bad")
-    )
+def scan_winners_and_files(hits: DataFrame) -> DataFrame:
+    """`scan_winners`, and rows without a domain that stand for files without a candidate."""
+    first = F.min(F.struct("block_start", "rid", "pos", "hostname", "sample_url", "disqus_shortname"))
+    winners = hits.groupBy("file", "domain").agg(first.alias("w"))
+    return winners.select("file", "domain", "w.hostname", "w.sample_url", "w.disqus_shortname")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from talkscout.operators.report import by_hint
 
-_PLACE = ["batch_id", "ordinal"]
+PLACE = ("batch_id", "ordinal")
 
 
 def visible(log: DataFrame, commits: DataFrame) -> DataFrame:
@@ -23,19 +23,23 @@ def visible(log: DataFrame, commits: DataFrame) -> DataFrame:
     return log.join(commits.select("batch_id"), "batch_id", "left_semi")
 
 
-def first_wins(log: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def first_wins(
+    log: DataFrame, key: Sequence[str], columns: Sequence[str], place: Sequence[str] = PLACE
+) -> DataFrame:
     """Insert-or-ignore view: the earliest row of each key."""
-    return _edge(log, key, columns, F.min)
+    return _edge(log, key, columns, place, F.min)
 
 
-def last_wins(log: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def last_wins(
+    log: DataFrame, key: Sequence[str], columns: Sequence[str], place: Sequence[str] = PLACE
+) -> DataFrame:
     """Insert-or-replace view: the latest row of each key, whole."""
-    return _edge(log, key, columns, F.max)
+    return _edge(log, key, columns, place, F.max)
 
 
-def _edge(log: DataFrame, key: Sequence[str], columns: Sequence[str], pick) -> DataFrame:
+def _edge(log: DataFrame, key: Sequence[str], columns: Sequence[str], place: Sequence[str], pick) -> DataFrame:
     values = [c for c in columns if c not in key]
-    row = pick(F.struct(*_PLACE, *values)).alias("row")
+    row = pick(F.struct(*place, *values)).alias("row")
     return log.groupBy(*key).agg(row).select(*[c if c in key else f"row.{c}" for c in columns])
 
 
@@ -62,6 +66,11 @@ def missing_partitions(files: DataFrame, progress: DataFrame, crawl: str) -> Dat
     return files.join(done, "partition_idx", "left_anti")
 
 
+def failed_partitions(progress: DataFrame, crawl: str) -> DataFrame:
+    """Progress rows of a crawl's files that could not be read."""
+    return progress.where((F.col("crawl") == crawl) & (F.col("status") == "failed"))
+
+
 def unverified(candidates: DataFrame, results: DataFrame) -> DataFrame:
     """Candidate domains without a result row, by domain."""
     return candidates.select("domain").join(results.select("domain"), "domain", "left_anti").orderBy("domain")

@@ -143,9 +143,13 @@ def find_api_root(df: DataFrame) -> DataFrame:
 
 
 def verify_results(domains: DataFrame, captures: DataFrame) -> DataFrame:
-    """One verification row per input domain, flags as 0/1."""
-    facts = domain_facts(capture_facts(captures))
-    rows = find_api_root(choose_home_response(domains.select("domain").distinct().join(facts, "domain", "left")))
+    """One verification row per input domain, flags as 0/1.
+
+    Only captures of these domains are parsed.
+    """
+    work = domains.select("domain").distinct()
+    facts = domain_facts(capture_facts(captures.join(work, "domain", "left_semi")))
+    rows = find_api_root(choose_home_response(work.join(facts, "domain", "left")))
     confirmed = F.col("api_root") != ""
     probe_failure = _failure("comments_probe")
     probe_error = F.when(probe_failure != "", probe_failure).otherwise(F.coalesce("comments_probe.fault", F.lit("")))
@@ -181,16 +185,37 @@ def top_posts(counts: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= max_pages).drop("_rank")
 
 
+def chosen_posts(results: DataFrame, captures: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Top posts of domains with a comment endpoint; only the samples of these are parsed."""
+    open_domains = results.where(F.col("comments_endpoint") == 1).select("domain")
+    return top_posts(comments_per_post(captures.join(open_domains, "domain", "left_semi")), max_pages)
+
+
+def is_waiting() -> Column:
+    """Of a result row: the request that decides it has no capture yet."""
+    return F.col("error").isin(NOT_CAPTURED, FALLBACK_FAILED + NOT_CAPTURED)
+
+
+def waiting_domains(results: DataFrame, chosen: DataFrame, captures: DataFrame) -> DataFrame:
+    """Domains with a comment endpoint whose sample, or a post chosen from it, has no capture yet."""
+    open_domains = results.where(F.col("comments_endpoint") == 1).select("domain")
+    of = lambda kind: captures.where(F.col("kind") == kind)
+    no_sample = open_domains.join(of("comments_sample").select("domain"), "domain", "left_anti")
+    no_post = chosen.join(of("post").select("domain", "post_id"), ["domain", "post_id"], "left_anti").select("domain")
+    return no_sample.union(no_post).distinct()
+
+
 def verify_pages(results: DataFrame, captures: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     """Top posts of domains with a comment endpoint, looked up among the post captures.
 
     A chosen post that was not answered with a readable post is dropped, not replaced.
+    Only the bodies of chosen posts are parsed.
     """
-    open_domains = results.where(F.col("comments_endpoint") == 1).select("domain")
-    chosen = top_posts(comments_per_post(captures), max_pages).join(open_domains, "domain", "left_semi")
+    chosen = chosen_posts(results, captures, max_pages)
     answered = (F.col("kind") == "post") & F.col("error").isNull() & (F.col("status") == 200)
     posts = (
         captures.where(answered)
+        .join(chosen.select("domain", "post_id"), ["domain", "post_id"], "left_semi")
         .select("domain", "post_id", post_fields(F.col("body")).alias("post"))
         .groupBy("domain", "post_id")
         .agg(F.min("post").alias("post"))

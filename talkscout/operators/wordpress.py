@@ -5,16 +5,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Path marks of the software and the one domain that always counts.
 PATH_MARKS = ("/wp-json/", "/wp-content/", "/wp-includes/")
 HOSTING_DOMAIN = "wordpress.com"
 
-# Fixed value: most distinct rows taken from one index partition.
-PARTITION_CAP = 50_000
-
 TRIPLE = ["domain", "hostname", "sample_url"]
 
 
@@ -42,23 +39,6 @@ def distinct_rows(rows: DataFrame, part: str = "partition_idx") -> DataFrame:
     return rows.select(part, *TRIPLE).distinct()
 
 
-def capped_rows(
-    distinct: DataFrame, cap: int = PARTITION_CAP, part: str = "partition_idx", salts: int = 128
-) -> DataFrame:
-    """The first `cap` distinct triples of each partition by (hostname, sample_url, domain).
-
-    Ranked twice: within (partition, salt) over the whole input, then within the
-    partition over at most `salts * cap` survivors. One huge partition is thereby
-    spread over `salts` tasks, and the result is the same as that of one ranking.
-    """
-    order = [F.col("hostname"), F.col("sample_url"), F.col("domain")]
-    salted = distinct.withColumn("_salt", F.pmod(F.xxhash64(*TRIPLE), F.lit(salts)))
-    local = F.row_number().over(Window.partitionBy(part, "_salt").orderBy(*order))
-    overall = F.row_number().over(Window.partitionBy(part).orderBy(*order))
-    survivors = salted.withColumn("_rank", local).where(F.col("_rank") <= cap).drop("_rank", "_salt")
-    return survivors.withColumn("_rank", overall).where(F.col("_rank") <= cap).drop("_rank")
-
-
 def named_rows(rows: DataFrame) -> DataFrame:
     """Drop rows without a domain; absent host or URL becomes ''."""
     return rows.where(F.col("domain") != "").select(
@@ -84,23 +64,17 @@ def first_per_domain(rows: DataFrame, part: str = "partition_idx") -> DataFrame:
     return rows.groupBy("domain").agg(first.alias("w")).select("domain", "w.*")
 
 
-def candidate_rows(
-    index: DataFrame, cap: int | None = PARTITION_CAP, part: str = "partition_idx"
-) -> DataFrame:
-    """Filtered, capped and cleaned triples of every partition.
+def candidate_rows(index: DataFrame, part: str = "partition_idx") -> DataFrame:
+    """Filtered and cleaned triples of every partition.
 
-    Without a cap no distinct step is needed: the winners are a minimum, which
-    copies do not change.
+    No distinct step is needed: the winners are a minimum, which copies do not change.
     """
-    rows = wordpress_rows(index, part)
-    if cap is not None:
-        rows = capped_rows(distinct_rows(rows, part), cap, part)
-    return named_rows(rows)
+    return named_rows(wordpress_rows(index, part))
 
 
-def discover(index: DataFrame, cap: int | None = PARTITION_CAP, part: str = "partition_idx") -> DataFrame:
+def discover(index: DataFrame, part: str = "partition_idx") -> DataFrame:
     """WordPress candidates (domain, hostname, sample_url), one per registered domain, by domain."""
-    return first_per_domain(candidate_rows(index, cap, part), part).select(*TRIPLE).orderBy("domain")
+    return first_per_domain(candidate_rows(index, part), part).select(*TRIPLE).orderBy("domain")
 
 
 def found_per_partition(winners: DataFrame, files: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -10,40 +11,63 @@ from pyspark.sql import functions as F
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
 from talkscout.operators import disqus, wordpress
-from talkscout.operators.tables import resume_offset
+from talkscout.operators.tables import failed_partitions, resume_offset
 from talkscout.plans.store import Store
-from talkscout.plans.waves import in_waves, scan_readable
+from talkscout.plans.waves import UnreadableWave, scan_readable, wave_size
 from talkscout.sources.manifest import DEFAULT_CRAWL, EmptyManifest, file_key, scanned_file_key, window_of
 from talkscout.sources.url_index import read_url_index
-from talkscout.sources.wat import MAX_LINE_BYTES, read_wat_records
+from talkscout.sources.wat import read_wat_records
 
-# Files per run unless asked otherwise.
-INDEX_FILES_PER_RUN = 5
-WAT_FILES_PER_RUN = 100
+_FILE_ROWS = pa.schema(
+    [("partition_idx", pa.int64()), ("partition_url", pa.string()), ("suspicious", pa.bool_()), ("error", pa.string())]
+)
 
-_FILE_ROWS = pa.schema([("partition_idx", pa.int64()), ("partition_url", pa.string()), ("suspicious", pa.bool_())])
 
+class Discovered(NamedTuple):
+    """What a run found: one row per domain with the partition that won, and files it couldn't read, with the error."""
 
-def run_files(
-    store: Store, files: DataFrame, progress: str, crawl: str, partitions: int | None, resume: bool
-) -> list[Row]:
-    """The files this run takes, in order: (partition_idx, partition_url, suspicious).
+    candidates: DataFrame
+    failed: dict[str, str]
 
-    Only names come to the driver, which has to hand them to the reader.
+
+def run_waves(
+    store: Store,
+    files: DataFrame,
+    progress: str,
+    crawl: str,
+    partitions: int | None,
+    resume: bool,
+    retry_failed: bool,
+    files_per_wave: int | None,
+) -> Iterator[list[Row]]:
+    """The files this run takes, wave by wave, in order: (partition_idx, partition_url, suspicious).
+
+    The selection is written once; only the names of one wave at a time come to the driver,
+    which has to hand them to the reader. Files that failed before come first, if asked for.
     """
-    offset = resume_offset(store.table(progress), crawl) if resume else 0
-    rows = window_of(files, offset, partitions).select("partition_idx", "partition_url", "suspicious").collect()
-    if not rows and files.isEmpty():
+    known = store.table(progress)
+    offset = resume_offset(known, crawl) if resume else 0
+    chosen = window_of(files, offset, partitions).select("partition_idx", "partition_url", "suspicious")
+    if retry_failed:
+        again = files.join(failed_partitions(known, crawl).select("partition_idx"), "partition_idx", "left_semi")
+        chosen = again.select(*chosen.columns).union(chosen).distinct()
+    path = f"{store.root}/selections/{store.new_batches()[0]}"
+    chosen.write.parquet(path)
+    chosen = store.spark.read.schema(chosen.schema).parquet(path)
+    size, last = wave_size(store.spark, files_per_wave), -1
+    while rows := chosen.where(F.col("partition_idx") > last).orderBy("partition_idx").limit(size).collect():
+        yield rows
+        last = rows[-1].partition_idx
+    if last < 0 and files.isEmpty():
         raise EmptyManifest("no matching files in manifest")
-    return sorted(rows, key=lambda r: r.partition_idx)
 
 
-def _wave_files(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
-    """File rows with their `file` key, as a local relation.
+def _wave_files(spark: SparkSession, rows: Sequence[Row], failed: dict[str, str]) -> DataFrame:
+    """File rows with their `file` key and error, as a local relation.
 
     The planner knows its size: a short list is joined by broadcast, a long one by shuffle.
     """
-    table = pa.Table.from_pylist([r.asDict() for r in rows], _FILE_ROWS)
+    table = pa.Table.from_pylist([{**r.asDict(), "error": failed.get(r.partition_url)} for r in rows], _FILE_ROWS)
     return spark.createDataFrame(table).withColumn("file", file_key(F.col("partition_url")))
 
 
@@ -53,63 +77,96 @@ def by_partition(winners: DataFrame, files: DataFrame) -> DataFrame:
     return keyed.join(files.select("file", F.col("partition_idx").alias("ordinal")), "file")
 
 
-def _save_progress(
-    store: Store, table: str, files: DataFrame, found: DataFrame, crawl: str, batch_id: int
+def save_progress(
+    store: Store, table: str, files: DataFrame, found: DataFrame, crawl: str, batch_id: str
 ) -> None:
-    """One progress row per file of the run; `found` is (partition_idx, candidates_found)."""
+    """One progress row per file; `found` is (partition_idx, candidates_found).
+
+    `status` is suspicious (not read), failed (with the error), empty or ok.
+    """
+    n = F.coalesce("candidates_found", F.lit(0))
+    status = (
+        F.when(F.col("suspicious"), "suspicious").when(F.col("error").isNotNull(), "failed").when(n == 0, "empty").otherwise("ok")
+    )
     rows = files.join(found, "partition_idx", "left").select(
         F.lit(0).cast("bigint").alias("ordinal"),
         F.lit(crawl).alias("crawl"),
         "partition_idx",
         "partition_url",
-        F.coalesce("candidates_found", F.lit(0)).alias("candidates_found"),
+        n.alias("candidates_found"),
         F.current_timestamp().alias("scanned_at"),
+        status.alias("status"),
+        "error",
     )
     store.append(table, rows, batch_id)
 
 
+def found_per_file(winners: DataFrame) -> DataFrame:
+    """Number of rows per file, which is their `ordinal`."""
+    return winners.groupBy(F.col("ordinal").alias("partition_idx")).agg(F.count("*").alias("candidates_found"))
+
+
+class _Run:
+    """Waves of one run: scanned, counted, committed."""
+
+    def __init__(self, store: Store):
+        self.store, self.batches, self.failed, self.read = store, [], {}, 0
+
+    def wave(self, rows: Sequence[Row], names: Sequence[str], scan: Callable[[Sequence[str], DataFrame, str], None]):
+        """Scan a wave's files; returns their rows and the batches written."""
+        files = _wave_files(self.store.spark, rows, {})
+        batches = self.store.new_batches(2 * len(names) + 1)
+        parts, failed = scan_readable(names, lambda paths, part: scan(paths, files, batches[part]))
+        if failed and len(failed) == len(names) and (len(names) > 1 or not self.read):
+            raise UnreadableWave(f"none of {len(names)} files could be read, the first one: {next(iter(failed.items()))}")
+        self.read += len(names) - len(failed)
+        self.failed.update(failed)
+        batches = batches[: max(parts, 1)]
+        self.batches += batches
+        return _wave_files(self.store.spark, rows, failed), batches
+
+
 def discover_wordpress(
     store: Store,
     files: DataFrame,
     crawl: str = DEFAULT_CRAWL,
-    partitions: int | None = INDEX_FILES_PER_RUN,
+    partitions: int | None = None,
     resume: bool = False,
-    cap: int | None = wordpress.PARTITION_CAP,
     record_progress: bool = True,
     files_per_wave: int | None = None,
-) -> DataFrame:
-    """Scan the next URL-index files of a manifest selection and commit the candidates.
+    retry_failed: bool = False,
+) -> Discovered:
+    """Scan the URL-index files of a manifest selection, all or the next so many, and commit the candidates.
 
-    Results and progress are committed wave by wave. Returns this run's candidates, one
-    per domain with the partition that won, by domain. Unreadable and suspicious files are recorded
-    as scanned with nothing found.
+    Results and progress are committed wave by wave. Unreadable and suspicious files are
+    recorded as such. A partition counts the domains first seen in it during the run: those of its
+    wave at first, and when the run ends all counts are written anew over the whole run.
     """
-    done = []
-    rows = run_files(store, files, "wp_scan_progress", crawl, partitions, resume)
-    for wave in in_waves(store.spark, rows, files_per_wave):
-        wave_files = _wave_files(store.spark, wave)
-        names = [r.partition_url for r in wave if not r.suspicious]
-        batches = store.new_batches(2 * len(names) + 1)
-
-        def scan(paths, part):
-            candidates = wordpress.candidate_rows(read_url_index(store.spark, paths), cap, "file")
-            winners = wordpress.winners_per_partition(candidates, "file")
-            store.append("wp_candidates", by_partition(winners, wave_files), batches[part])
-
-        parts, _ = scan_readable(names, scan)
-        batches = batches[: max(parts, 1)]
-        if record_progress:
-            found = _first_of(store, batches).join(
-                store.batches("wp_candidates", done).select("domain"), "domain", "left_anti"
-            )
-            counts = found.groupBy("partition_idx").agg(F.count("*").alias("candidates_found"))
-            _save_progress(store, "wp_scan_progress", wave_files, counts, crawl, batches[0])
-        store.commit(batches)
-        done += batches
-    return _first_of(store, done).orderBy("domain")
+    run, progress = _Run(store), "wp_scan_progress"
+    waves = []
 
+    def scan(paths, wave_files, batch):
+        winners = wordpress.winners_per_partition(wordpress.candidate_rows(read_url_index(store.spark, paths), "file"), "file")
+        store.append("wp_candidates", by_partition(winners, wave_files), batch)
 
-def _first_of(store: Store, batches: Sequence[int]) -> DataFrame:
+    for rows in run_waves(store, files, progress, crawl, partitions, resume, retry_failed, files_per_wave):
+        wave_files, batches = run.wave(rows, [r.partition_url for r in rows if not r.suspicious], scan)
+        if record_progress:
+            counts = found_per_file(_first_of(store, batches).withColumnRenamed("partition_idx", "ordinal"))
+            save_progress(store, progress, wave_files, counts, crawl, batches[0])
+        store.commit(batches)
+        waves.append(batches[0])
+    found = _first_of(store, run.batches)
+    if record_progress and len(waves) > 1:
+        (batch,) = store.new_batches()
+        earlier = store.batches(progress, waves).withColumn("suspicious", F.col("status") == "suspicious")
+        earlier = earlier.select("partition_idx", "partition_url", "suspicious", "error")
+        save_progress(store, progress, earlier, found_per_file(found.withColumnRenamed("partition_idx", "ordinal")), crawl, batch)
+        store.commit([batch])
+    return Discovered(found.orderBy("domain"), run.failed)
+
+
+def _first_of(store: Store, batches: Sequence[str]) -> DataFrame:
     """First WordPress row per domain in the given batches, with the partition it came from."""
     written = store.batches("wp_candidates", batches)
     return wordpress.first_per_domain(written, "ordinal").withColumnRenamed("ordinal", "partition_idx")
@@ -119,47 +176,29 @@ def discover_disqus(
     store: Store,
     files: DataFrame,
     crawl: str = DEFAULT_CRAWL,
-    partitions: int | None = WAT_FILES_PER_RUN,
+    partitions: int | None = None,
     resume: bool = False,
-    max_line_bytes: int = MAX_LINE_BYTES,
     scripts_path: Sequence[str] = SCRIPTS_PATH,
     links_path: Sequence[str] = LINKS_PATH,
     files_per_wave: int | None = None,
-) -> DataFrame:
-    """Scan the next crawl-record files of a manifest selection and commit the candidates.
+    retry_failed: bool = False,
+) -> Discovered:
+    """Scan the crawl-record files of a manifest selection, all or the next so many, and commit the candidates.
 
-    Results and progress are committed wave by wave. Returns this run's candidates, one
-    per domain with the partition that won, by domain.
+    Results and progress are committed wave by wave.
     """
-    done = []
-    rows = run_files(store, files, "disqus_scan_progress", crawl, partitions, resume)
-    for wave in in_waves(store.spark, rows, files_per_wave):
-        wave_files = _wave_files(store.spark, wave)
-        names = [r.partition_url for r in wave]
-        batches = store.new_batches(2 * len(names) + 1)
-
-        def scan(paths, part):
-            hits = disqus.record_hits(read_wat_records(store.spark, paths, max_line_bytes), scripts_path, links_path)
-            append_disqus(store, hits, wave_files, batches[part])
-
-        parts, _ = scan_readable(names, scan)
-        batches = batches[: max(parts, 1)]
-        commit_disqus(store, wave_files, crawl, batches)
-        done += batches
-    written = store.batches("disqus_candidates", done)
-    first = disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")
-    return first.orderBy("domain")
-
+    run, progress = _Run(store), "disqus_scan_progress"
 
-def append_disqus(store: Store, hits: DataFrame, files: DataFrame, batch_id: int) -> None:
-    """Write the candidates of scanned records as a batch; the records are read once."""
-    winners = store.stage(disqus.scan_winners(hits))
-    store.append("disqus_candidates", by_partition(disqus.readable_winners(winners), files), batch_id)
+    def scan(paths, wave_files, batch):
+        hits = disqus.record_hits(read_wat_records(store.spark, paths), scripts_path, links_path)
+        store.append("disqus_candidates", by_partition(disqus.scan_winners(hits), wave_files), batch)
 
+    for rows in run_waves(store, files, progress, crawl, partitions, resume, retry_failed, files_per_wave):
+        wave_files, batches = run.wave(rows, [r.partition_url for r in rows], scan)
+        wave_files = wave_files.withColumn("suspicious", F.lit(False))  # these files are read all the same
+        save_progress(store, progress, wave_files, found_per_file(store.batches("disqus_candidates", batches)), crawl, batches[0])
+        store.commit(batches)
+    written = store.batches("disqus_candidates", run.batches)
+    first = disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")
+    return Discovered(first.orderBy("domain"), run.failed)
 
-def commit_disqus(store: Store, files: DataFrame, crawl: str, batches: Sequence[int]) -> None:
-    """Record progress for written batches and make them visible."""
-    written = store.batches("disqus_candidates", batches).where("domain IS NOT NULL")
-    counts = written.groupBy(F.col("ordinal").alias("partition_idx")).agg(F.count("*").alias("candidates_found"))
-    _save_progress(store, "disqus_scan_progress", files, counts, crawl, batches[0])
-    store.commit(batches)

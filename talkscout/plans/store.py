@@ -1,14 +1,17 @@
 """Result tables on shared storage.
 
-Each table is a Parquet log partitioned by batch. A batch is written with dynamic
-partition overwrite, so a repeated batch replaces only itself, and readers see it once
-its id is in the commit log, which is written last. All tables of a batch thus appear
-together, and what a lost run left behind stays invisible.
+Each table is a Parquet log partitioned by batch. A batch has an id of its own (of a run or
+of a stream's micro-batch) and is written with dynamic partition overwrite, so a repeated batch
+replaces only itself. Readers see it once it is in the commit log, which is written last. All
+tables of a batch thus appear together, and what a lost run left behind stays invisible.
+
+The commit log numbers batches in the order of their first commit; that order, not a clock
+or an id, says which row of a key is the first or the last. One driver commits at a time; of two
+that commit at once, batches with equal numbers are ordered by id.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Sequence
 
@@ -16,9 +19,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkscout.operators.tables import first_wins, last_wins, visible
+from talkscout.operators.tables import first_wins, last_wins
 
-_SCAN_PROGRESS = "crawl STRING, partition_idx BIGINT, partition_url STRING, candidates_found BIGINT, scanned_at TIMESTAMP"
+_SCAN_PROGRESS = (
+    "crawl STRING, partition_idx BIGINT, partition_url STRING, candidates_found BIGINT, scanned_at TIMESTAMP, "
+    "status STRING, error STRING"
+)
 
 TABLES = {
     "wp_candidates": "domain STRING, hostname STRING, sample_url STRING",
@@ -28,6 +34,7 @@ TABLES = {
         "api_root STRING, error STRING"
     ),
     "pages": "domain STRING, post_id BIGINT, url STRING, title STRING, comment_count_in_sample BIGINT",
+    "waiting": "domain STRING, waits BIGINT",
     "wp_scan_progress": _SCAN_PROGRESS,
     "disqus_scan_progress": _SCAN_PROGRESS,
 }
@@ -37,11 +44,13 @@ KEYS = {
     "disqus_candidates": ["domain"],
     "results": ["domain"],
     "pages": ["domain", "post_id"],
+    "waiting": ["domain"],
     "wp_scan_progress": ["crawl", "partition_idx"],
     "disqus_scan_progress": ["crawl", "partition_idx"],
 }
 
 _INSERT_OR_IGNORE = ("wp_candidates", "disqus_candidates")
+_COMMITS = "batch_id STRING, seq BIGINT, compacted STRING"
 
 
 def _names(ddl: str) -> list[str]:
@@ -54,40 +63,32 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._last_batch = 0
 
-    def new_batches(self, count: int = 1) -> list[int]:
-        """Unused batch ids, above those of all earlier runs."""
-        start = max(time.time_ns() // 1_000, self._last_batch + 1)
-        self._last_batch = start + count - 1
-        return list(range(start, start + count))
+    def new_batches(self, count: int = 1) -> list[str]:
+        """Unused batch ids."""
+        run = uuid.uuid4().hex
+        return [f"{run}-{i:08d}" for i in range(count)]
 
-    def append(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def append(self, table: str, rows: DataFrame, batch_id: str) -> None:
         """Write the rows of one batch: the table's columns and `ordinal`. Not visible yet."""
         columns = ["ordinal", *_names(TABLES[table])]
         (
-            rows.selectExpr(*columns, f"CAST({batch_id} AS BIGINT) AS batch_id")
+            rows.select(*columns, F.lit(batch_id).alias("batch_id"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(f"{self.root}/{table}")
         )
 
-    def stage(self, rows: DataFrame) -> DataFrame:
-        """Write rows to the cluster's shared checkpoint folder and read them back.
+    def commit(self, batch_ids: Sequence[str], compacted: str | None = None) -> None:
+        """Make batches visible, all at once, in the given order behind all committed before.
 
-        Cuts the lineage: what is derived from the result, in however many branches,
-        never scans the crawl again, also after the loss of executors.
+        `compacted` names the one table whose earlier batches the batch stands for.
         """
-        shared = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/staged"
-        path = f"{shared.rstrip('/')}/talkscout-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
-    def commit(self, batch_ids: Sequence[int]) -> None:
-        """Make batches visible, all at once."""
-        ids = self.spark.range(0, 1, 1, 1).select(F.explode(F.lit(list(batch_ids)).cast("array<bigint>")).alias("batch_id"))
-        ids.write.mode("append").parquet(f"{self.root}/commits")
+        last = self._commits().agg(F.max("seq")).first()[0]
+        first = 0 if last is None else last + 1
+        rows = [(batch, first + i, compacted) for i, batch in enumerate(batch_ids)]
+        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def _read(self, table: str, ddl: str) -> DataFrame:
         try:
@@ -97,20 +98,38 @@ class Store:
                 raise
             return self.spark.createDataFrame([], ddl)
 
-    def batches(self, table: str, batch_ids: Sequence[int]) -> DataFrame:
+    def _commits(self) -> DataFrame:
+        return self._read("commits", _COMMITS)
+
+    def _log_rows(self, table: str) -> DataFrame:
+        return self._read(table, f"ordinal BIGINT, {TABLES[table]}, batch_id STRING")
+
+    def batches(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
         """Rows of the given batches, committed or not."""
-        log = self._read(table, f"ordinal BIGINT, {TABLES[table]}, batch_id BIGINT")
+        log = self._log_rows(table)
         return log.where(log.batch_id.isin(*batch_ids))
 
     def log(self, table: str) -> DataFrame:
-        """All visible rows ever written to a table, with (batch_id, ordinal)."""
-        log = self._read(table, f"ordinal BIGINT, {TABLES[table]}, batch_id BIGINT")
-        return visible(log, self._read("commits", "batch_id BIGINT"))
+        """All rows of a table that are visible, with `seq`, `batch_id` and `ordinal`, their place in its history."""
+        commits = self._commits()
+        newest = commits.where(F.col("compacted") == table).agg(F.max("seq")).first()[0]
+        if newest is not None:  # a batch keeps the number of its first commit
+            commits = commits.where((F.col("seq") > newest) | ((F.col("seq") == newest) & (F.col("compacted") == table)))
+            earlier = self._commits().where(F.col("seq") < newest).select("batch_id")
+            commits = commits.join(earlier, "batch_id", "left_anti")
+        places = commits.groupBy("batch_id").agg(F.min("seq").alias("seq"))
+        return self._log_rows(table).join(places, "batch_id")
 
     def table(self, name: str) -> DataFrame:
         """Current rows of a table, one per key."""
-        log = self.log(name)
-        if name == "disqus_candidates":
-            log = log.where("domain IS NOT NULL")
         view = first_wins if name in _INSERT_OR_IGNORE else last_wins
-        return view(log, KEYS[name], _names(TABLES[name]))
+        return view(self.log(name), KEYS[name], _names(TABLES[name]), ("seq", "batch_id", "ordinal"))
+
+    def compact(self, name: str) -> None:
+        """Write the current rows of a table as one batch that stands for all committed before.
+
+        Readers then take that batch and later ones only; a run must not commit meanwhile.
+        """
+        (batch,) = self.new_batches()
+        self.append(name, self.table(name).withColumn("ordinal", F.lit(0).cast("bigint")), batch)
+        self.commit([batch], compacted=name)

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from talkscout.operators.report import export_rows
 from talkscout.operators.tables import unverified
-from talkscout.operators.verify import MAX_PAGES, NOT_CAPTURED, verify_pages, verify_results
-from talkscout.operators.wordpress import PARTITION_CAP
-from talkscout.plans.discovery import INDEX_FILES_PER_RUN, discover_wordpress
+from talkscout.operators.verify import MAX_PAGES, chosen_posts, is_waiting, verify_pages, verify_results, waiting_domains
+from talkscout.plans.discovery import discover_wordpress
 from talkscout.plans.store import Store
 from talkscout.sources.export import write_export
 from talkscout.sources.manifest import DEFAULT_CRAWL
@@ -20,27 +19,36 @@ def verify_domains(
 ) -> tuple[DataFrame, DataFrame]:
     """Verify the given domains, replace their rows, and return this run's (results, pages).
 
-    A domain whose home page was not captured gets no row and stays on the work list.
+    A domain gets no row, and stays on the work list, until the request that decides it is
+    captured. One with a row whose sample or chosen posts are not all captured is marked as
+    waiting, which keeps it on the work list too.
     Pages are found from the results as written, so the captures are not judged twice.
     """
     (batch,) = store.new_batches()
-    results = verify_results(domains, captures).where(
-        (F.col("wp_confirmed") == 1) | (F.col("error") != NOT_CAPTURED)
-    )
-    store.append("results", results.withColumn("ordinal", F.lit(0).cast("bigint")), batch)
+    zero = F.lit(0).cast("bigint")
+    results = verify_results(domains, captures).where(~is_waiting())
+    store.append("results", results.withColumn("ordinal", zero), batch)
     results = store.batches("results", [batch])
     pages = verify_pages(results, captures, max_pages)
-    store.append("pages", pages.withColumn("ordinal", F.lit(0).cast("bigint")), batch)
+    store.append("pages", pages.withColumn("ordinal", zero), batch)
+    late = waiting_domains(results, chosen_posts(results, captures, max_pages), captures).withColumn("waits", F.lit(1))
+    marks = results.select("domain").join(late, "domain", "left").withColumn("waits", F.coalesce("waits", F.lit(0)).cast("bigint"))
+    store.append("waiting", marks.withColumn("ordinal", zero), batch)
     store.commit([batch])
     return results.drop("ordinal", "batch_id"), store.batches("pages", [batch]).drop("ordinal", "batch_id")
 
 
+def work_list(store: Store) -> DataFrame:
+    """WordPress candidates without a result, and domains that wait for a sample or a post."""
+    late = store.table("waiting").where("waits = 1").select("domain")
+    return unverified(store.table("wp_candidates"), store.table("results")).union(late).distinct()
+
+
 def verify_wordpress(
     store: Store, captures: DataFrame, max_pages: int = MAX_PAGES
 ) -> tuple[DataFrame, DataFrame]:
-    """Verify the WordPress candidates that have no result yet."""
-    work = unverified(store.table("wp_candidates"), store.table("results"))
-    return verify_domains(store, work, captures, max_pages)
+    """Verify the WordPress candidates that are not finished."""
+    return verify_domains(store, work_list(store), captures, max_pages)
 
 
 def discover_and_verify(
@@ -48,13 +56,12 @@ def discover_and_verify(
     files: DataFrame,
     captures: DataFrame,
     crawl: str = DEFAULT_CRAWL,
-    partitions: int | None = INDEX_FILES_PER_RUN,
-    cap: int | None = PARTITION_CAP,
+    partitions: int | None = None,
     max_pages: int = MAX_PAGES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Discover from the first files without recording progress, then verify all that was found,
-    domains with an earlier result included."""
-    found = discover_wordpress(store, files, crawl, partitions, cap=cap, record_progress=False)
+    """Discover without recording progress, then verify all that was found, domains with an
+    earlier result included."""
+    found = discover_wordpress(store, files, crawl, partitions, record_progress=False).candidates
     return verify_domains(store, found.where(F.col("domain") != ""), captures, max_pages)
 
 

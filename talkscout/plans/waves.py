@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -13,27 +13,30 @@ from pyspark.sql import SparkSession
 _FILE_FAULT = re.compile(r"\[(?:FAILED_READ_FILE|PATH_NOT_FOUND|CANNOT_READ_FILE_FOOTER)[^\n]*")
 
 _WAVES_OF_TASKS = 4
+_ERROR_CHARS = 300
 
 
-def in_waves(spark: SparkSession, files: Sequence, size: int | None = None) -> Iterator[Sequence]:
-    """Cut the files of a run into waves that are committed one after the other.
+class UnreadableWave(RuntimeError):
+    """No file of a wave could be read: the fault is more likely with the address or the access than with the files."""
+
+
+def wave_size(spark: SparkSession, size: int | None = None) -> int:
+    """Files per wave. Waves are committed one after the other.
 
     A wave keeps all cores busy several times over, and is the most a failure can cost.
     """
-    size = size or _WAVES_OF_TASKS * spark.sparkContext.defaultParallelism
-    for start in range(0, len(files), size):
-        yield files[start : start + size]
+    return size or _WAVES_OF_TASKS * spark.sparkContext.defaultParallelism
 
 
-def scan_readable(paths: Sequence[str], scan: Callable[[Sequence[str], int], None]) -> tuple[int, list[str]]:
+def scan_readable(paths: Sequence[str], scan: Callable[[Sequence[str], int], None]) -> tuple[int, dict[str, str]]:
     """Call `scan(paths, part)` so that every readable file is in exactly one finished part.
 
     Normally there is one part with all files. When Spark, after its own task retries,
-    reports a file it cannot read, that file is left out and the rest is tried again in
-    two halves; a report that names none of the files is narrowed down by halving alone.
-    A file is never taken in part. Returns the number of parts and the unreadable files.
+    reports a file it cannot read, that file is left out and the rest is tried again in one
+    go; a report that names none of the files is narrowed down by halving.
+    A file is never taken in part. Returns the number of parts, and unreadable files with the error.
     """
-    pending, parts, unreadable = [list(paths)] if paths else [], 0, []
+    pending, parts, unreadable = [list(paths)] if paths else [], 0, {}
     while pending:
         group = pending.pop(0)
         try:
@@ -44,10 +47,10 @@ def scan_readable(paths: Sequence[str], scan: Callable[[Sequence[str], int], Non
             if fault is None:
                 raise
             bad = _named(group, fault.group()) if len(group) > 1 else group
-            unreadable += bad
+            unreadable.update(dict.fromkeys(bad, fault.group()[:_ERROR_CHARS]))
             rest = [p for p in group if p not in bad]
-            middle = (len(rest) + 1) // 2
-            pending[:0] = [half for half in (rest[:middle], rest[middle:]) if half]
+            middle = len(rest) if bad else (len(rest) + 1) // 2
+            pending[:0] = [part for part in (rest[:middle], rest[middle:]) if part]
     return parts, unreadable
 
 

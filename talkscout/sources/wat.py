@@ -20,16 +20,12 @@ from talkscout.functions.urls import TARGET_URI_HEADER, trim_space
 RECORD_BREAK = "\n" + TARGET_URI_HEADER
 VERSION_MARK = "WARC/"
 
-
 # Fixed value: text a line must contain to be looked at.
 FORUM_HOST = "disqus.com"
 
 # Line tables are worked on in runs of 65,536 lines.
 BLOCK_BITS = 16
 
-# Fixed value: a line of this many bytes or more makes its whole file unreadable.
-MAX_LINE_BYTES = 10 * 1024 * 1024
-
 
 def located(scan: DataFrame) -> DataFrame:
     """Rows of a text scan, batch or streaming, with the file and split they came from."""
@@ -38,42 +34,34 @@ def located(scan: DataFrame) -> DataFrame:
     )
 
 
-def records(scan: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> DataFrame:
+def records(scan: DataFrame, keep_files: bool = False) -> DataFrame:
     """Record rows of a `located` text scan that is split at RECORD_BREAK.
 
-    (file, block_start, rid, target_uri, lines, overlong): `lines` holds only the
-    lines that name the forum host; (block_start, rid) orders rows within a file.
-    Rows without such a line are dropped, but for the first row of each file, which
-    stands for the file itself. The filter sits right on the scan, before any split.
+    (file, block_start, rid, target_uri, lines): `lines` holds only the lines that name the
+    forum host; (block_start, rid) orders rows within a file. Rows without such a line are
+    dropped, but with `keep_files` the first row of each file stays, to stand for the file.
+    The filter sits right on the scan, before any split.
 
     A file starts with its version line, which is no URL, so the text before the
     first header yields no host and no candidate.
     """
     value = F.col("value")
-    header_bytes = len(TARGET_URI_HEADER)
-    maybe_overlong = F.octet_length(value) >= max_line_bytes - header_bytes
-    file_start = value.startswith(VERSION_MARK) | value.startswith(TARGET_URI_HEADER)
     headless = F.regexp_replace(value, "^" + TARGET_URI_HEADER, "")
-    all_lines = F.split(headless, "\n")
-    line_bytes = F.transform(
-        all_lines, lambda l, i: F.octet_length(l) + F.when(i == 0, header_bytes).otherwise(0)
-    )
-    return scan.where(value.contains(FORUM_HOST) | maybe_overlong | file_start).select(
+    wanted = value.contains(FORUM_HOST)
+    if keep_files:
+        wanted = wanted | value.startswith(VERSION_MARK) | value.startswith(TARGET_URI_HEADER)
+    return scan.where(wanted).select(
         "file",
         "block_start",
         F.monotonically_increasing_id().alias("rid"),
         trim_space(F.substring_index(headless, "\n", 1)).alias("target_uri"),
-        F.filter(all_lines, lambda l, i: (i > 0) & l.contains(FORUM_HOST)).alias("lines"),
-        F.when(maybe_overlong, F.array_max(line_bytes) >= max_line_bytes).otherwise(False).alias("overlong"),
+        F.filter(F.split(headless, "\n"), lambda l, i: (i > 0) & l.contains(FORUM_HOST)).alias("lines"),
     )
 
 
-def read_wat_records(
-    spark: SparkSession, paths: Sequence[str], max_line_bytes: int = MAX_LINE_BYTES
-) -> DataFrame:
+def read_wat_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Record rows of the given files; see `records`."""
-    scan = spark.read.option("lineSep", RECORD_BREAK).text(list(paths))
-    return records(located(scan), max_line_bytes)
+    return records(located(spark.read.option("lineSep", RECORD_BREAK).text(list(paths))))
 
 
 def read_wat_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Disqus discovery over arriving crawl-record files.
 
 Structured Streaming keeps track of which files were read; each micro-batch is written
-and committed under its own id, so a batch that is repeated after a failure replaces
-itself and a restart goes on with the next files. Partition numbers come from the
+and committed under the stream's id and its own number, so a batch that is repeated after a
+failure replaces itself, and only itself, and a restart goes on with the next files. Partition numbers come from the
 manifest, since files arrive in any order.
 """
 
@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
-from talkscout.operators.disqus import record_hits
-from talkscout.plans.discovery import WAT_FILES_PER_RUN, append_disqus, commit_disqus
+from talkscout.operators.disqus import record_hits, scan_winners_and_files
+from talkscout.plans.discovery import by_partition, found_per_file, save_progress
 from talkscout.plans.store import Store
-from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key
-from talkscout.sources.wat import MAX_LINE_BYTES, RECORD_BREAK, located, records
+from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key, scanned_file_key
+from talkscout.sources.wat import RECORD_BREAK, located, records
+
+FILES_PER_BATCH = 100
 
 
 def stream_disqus(
@@ -28,20 +30,25 @@ def stream_disqus(
     files: DataFrame,
     checkpoint: str,
     crawl: str = DEFAULT_CRAWL,
-    files_per_batch: int = WAT_FILES_PER_RUN,
+    files_per_batch: int = FILES_PER_BATCH,
     suffix: str = WAT_SUFFIX,
-    max_line_bytes: int = MAX_LINE_BYTES,
     scripts_path: Sequence[str] = SCRIPTS_PATH,
     links_path: Sequence[str] = LINKS_PATH,
 ) -> StreamingQuery:
     """Scan all files below `source_dir` not seen under `checkpoint` yet, then stop.
 
-    `files` is the manifest selection; files it does not list are left out. Files count
-    as new whatever their age: by default Spark passes over those a week older than the
-    newest one.
+    `files` is the manifest selection, written once; files it does not list are left out. Files
+    count as new whatever their age: by default Spark passes over those a week older than the
+    newest one. `files_per_batch` only paces the work. A file without any byte gives a stream no
+    row and no progress; it stays among the missing partitions, which a wave run records.
     """
     spark = store.spark
     known = files.select("partition_idx", "partition_url", file_key(F.col("partition_url")).alias("file"))
+    selection = f"{store.root}/selections/{store.new_batches()[0]}"
+    known.write.parquet(selection)
+    known = spark.read.schema(known.schema).parquet(selection).withColumns(
+        {"suspicious": F.lit(False), "error": F.lit(None).cast("string")}
+    )
     scan = located(
         spark.readStream.format("text")
         .option("lineSep", RECORD_BREAK)
@@ -52,11 +59,19 @@ def stream_disqus(
         .load(source_dir)
     )
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        hits = record_hits(records(batch, max_line_bytes), scripts_path, links_path)
-        append_disqus(store, hits, known, batch_id)
-        seen = store.batches("disqus_candidates", [batch_id]).select(F.col("ordinal").alias("partition_idx"))
-        commit_disqus(store, known.join(seen, "partition_idx", "left_semi"), crawl, [batch_id])
+    def save(rows: DataFrame, number: int) -> None:
+        # The id of the query is kept in its checkpoint: a repeated micro-batch has the same name, another stream's has not.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch = f"{query}-{number:08d}"
+        hits = record_hits(records(rows, keep_files=True), scripts_path, links_path)
+        scanned = f"{store.root}/scanned/{query}"  # the last micro-batch's; read for candidates and for files
+        scan_winners_and_files(hits).write.mode("overwrite").parquet(scanned)
+        winners = spark.read.parquet(scanned)
+        store.append("disqus_candidates", by_partition(winners.where("domain IS NOT NULL"), known), batch)
+        seen = winners.select(scanned_file_key(F.col("file")).alias("file")).distinct()
+        counts = found_per_file(store.batches("disqus_candidates", [batch]))
+        save_progress(store, "disqus_scan_progress", known.join(seen, "file", "left_semi"), counts, crawl, batch)
+        store.commit([batch])
 
     return (
         scan.writeStream.foreachBatch(save)

@@ -22,9 +22,8 @@ def record(uri, *lines):
     return "".join(line + "\r\n" for line in [*head, *lines, ""])
 
 
-def scan(spark, path, **options):
-    hits = disqus.record_hits(read_wat_records(spark, [str(path)], **options))
-    rows = disqus.readable_winners(disqus.scan_winners(hits)).where("domain IS NOT NULL").collect()
+def scan(spark, path):
+    rows = disqus.scan_winners(disqus.record_hits(read_wat_records(spark, [str(path)]))).collect()
     return {(r.domain, r.hostname, r.sample_url, r.disqus_shortname) for r in rows}
 
 
@@ -147,29 +146,23 @@ def test_uncompressed_file_read_in_many_splits(spark, tmp_path, split_bytes):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_overlong_line_voids_its_file_only(spark, tmp_path):
-    good, bad, edge = tmp_path / "good.wat", tmp_path / "bad.wat", tmp_path / "edge.wat"
-    limit = 5000
-    text = record("https://{0}.org/", doc("//{0}.disqus.com/embed.js"))
-    body = lambda name, width: text.replace("{0}", name) + record("https://x.org/", "y" * (width - 1))
-    good.write_text(body("good", 50))
-    edge.write_text(body("edge", limit - 1))  # with its carriage return one byte below the limit
-    bad.write_text(body("bad", limit))
-    found = {f: {r[0] for r in scan(spark, f, max_line_bytes=limit)} for f in (good, edge, bad)}
-    assert found == {good: {"good.org"}, edge: {"edge.org"}, bad: set()}
-
-
-def test_many_short_lines_are_not_overlong(spark, tmp_path):
+def test_lines_of_any_length_count(spark, tmp_path):
     path = tmp_path / "a.wat"
-    path.write_text(record("https://a.org/", *["z" * 100] * 100, doc("//a.disqus.com/embed.js")))
-    assert {r[0] for r in scan(spark, path, max_line_bytes=2000)} == {"a.org"}
+    long = 11 * 1024 * 1024
+    path.write_text(
+        record("https://a.org/", doc("//a.disqus.com/embed.js"))
+        + record("https://x.org/", "y" * long)
+        + record("https://b.org/", doc("//b.disqus.com/embed.js").replace('"Links": []', f'"Links": [], "x": "{"z" * long}"'))
+        + record("https://c.org/", doc("//c.disqus.com/embed.js"))
+    )
+    assert {r[0] for r in scan(spark, path)} == {"a.org", "b.org", "c.org"}
 
 
-def test_every_file_keeps_a_row_of_its_own(spark, tmp_path):
+def test_a_file_can_keep_a_row_of_its_own(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.wat").write_text(record(f"https://{name}.org/", "nothing"))
-    hits = disqus.record_hits(read_wat_records(spark, [str(tmp_path)]))
-    rows = disqus.scan_winners(hits).collect()
+    scanned = wat.located(spark.read.option("lineSep", wat.RECORD_BREAK).text(str(tmp_path)))
+    rows = disqus.scan_winners_and_files(disqus.record_hits(wat.records(scanned, keep_files=True))).collect()
     assert sorted(r.file.rsplit("/", 1)[-1] for r in rows) == ["a.wat", "b.wat"]
     assert all(r.domain is None for r in rows)
 

@@ -84,9 +84,33 @@ def test_unreadable_files_count_as_scanned_with_nothing_found(spark, store, tmp_
     # file 3 is missing
     write_wat(tmp_path, names[4], ("https://e.org/", "e"))
     (tmp_path / names[5]).write_bytes(b"no gzip at all, " * 10)
-    discovery.discover_disqus(store, wat_run_files(spark, tmp_path, names), "X", partitions=None)
+    files = wat_run_files(spark, tmp_path, names)
+    found = discovery.discover_disqus(store, files, "X")
     assert set(candidates(store)) == {"a.org", "c.org", "e.org"}
     assert progress(store) == [("X", 0, 1), ("X", 1, 0), ("X", 2, 1), ("X", 3, 0), ("X", 4, 1), ("X", 5, 0)]
+    assert statuses(store) == ["ok", "failed", "ok", "failed", "ok", "failed"]
+    assert {name.rsplit("/", 1)[-1] for name in found.failed} == {names[1], names[3], names[5]}
+    rows = tables.failed_partitions(store.table("disqus_scan_progress"), "X").collect()
+    assert all(r.error for r in rows) and len(rows) == 3
+    # resuming goes on behind the last file; failed ones are taken again if asked for
+    write_wat(tmp_path, names[3], ("https://d.org/", "d"))
+    discovery.discover_disqus(store, files, "X", resume=True)
+    assert statuses(store).count("failed") == 3
+    write_wat(tmp_path, names[1], *many[:3])
+    discovery.discover_disqus(store, files, "X", resume=True, retry_failed=True)
+    assert statuses(store) == ["ok", "ok", "ok", "ok", "ok", "failed"]
+    assert {"d.org", "s1.org"} <= set(candidates(store))
+
+
+def statuses(store, table="disqus_scan_progress"):
+    return [r.status for r in store.table(table).orderBy("partition_idx").collect()]
+
+
+def test_a_wave_without_a_readable_file_stops_the_run(spark, store, tmp_path):
+    files = wat_run_files(spark, tmp_path / "nowhere", ["0.warc.wat.gz", "1.warc.wat.gz"])
+    with pytest.raises(waves.UnreadableWave):
+        discovery.discover_disqus(store, files, "X")
+    assert progress(store) == []
 
 
 class Fault(PySparkException):
@@ -120,7 +144,7 @@ def test_every_readable_file_is_scanned_once(named):
     count, unreadable = waves.scan_readable(names, scan)
     assert [p for p, _ in done] == list(range(count))
     assert [f for _, g in done for f in g] == [n for n in names if n not in bad]
-    assert set(unreadable) == bad
+    assert set(unreadable) == bad and all("FAILED_READ_FILE" in e for e in unreadable.values())
     if named:
         assert len(tries) - count == len(bad)  # one failed attempt per bad file
 
@@ -146,7 +170,7 @@ def test_a_lost_run_keeps_its_finished_waves(spark, store, tmp_path, monkeypatch
     found = discovery.discover_disqus(store, files, "X", partitions=None, resume=True, files_per_wave=2)
     assert progress(store) == [("X", i, 2) for i in range(5)]
     assert candidates(store)["all.org"] == ("all.org", "https://all.org/", "all0")
-    assert {(r.domain, r.partition_idx) for r in found.collect()} == {
+    assert {(r.domain, r.partition_idx) for r in found.candidates.collect()} == {
         ("all.org", 2), ("s2.org", 2), ("s3.org", 3), ("s4.org", 4),
     }
 
@@ -177,17 +201,18 @@ def test_wordpress_run(spark, store, tmp_path):
         "subset=warc/missing",
     ]
     files = single_files(spark, tmp_path, names)
-    found = discovery.discover_wordpress(store, files, "X", partitions=None)
+    found = discovery.discover_wordpress(store, files, "X", partitions=None).candidates
     assert {(r.domain, r.partition_idx) for r in found.collect()} == {
         ("a.org", 0), ("b.org", 0), ("c.org", 1), ("wordpress.com", 3),
     }
     # a partition counts the domains first seen in it during the run
     assert progress(store, "wp_scan_progress") == [("X", 0, 2), ("X", 1, 1), ("X", 2, 0), ("X", 3, 1), ("X", 4, 0), ("X", 5, 0)]
+    assert statuses(store, "wp_scan_progress") == ["ok", "ok", "empty", "ok", "suspicious", "failed"]
     assert set(candidates(store, "wp_candidates")) == {"a.org", "b.org", "c.org", "wordpress.com"}
     # a later run over the same files counts them again but keeps the first rows
     before = candidates(store, "wp_candidates")
     # waves change neither counts nor candidates
-    waved = discovery.discover_wordpress(store, files, "W", partitions=None, files_per_wave=2)
+    waved = discovery.discover_wordpress(store, files, "W", partitions=None, files_per_wave=2).candidates
     assert {(r.domain, r.partition_idx) for r in waved.collect()} == {(r.domain, r.partition_idx) for r in found.collect()}
     assert [p for p in progress(store, "wp_scan_progress") if p[0] == "W"] == [("W", *p[1:]) for p in progress(store, "wp_scan_progress") if p[0] == "X"]
     discovery.discover_wordpress(store, files, "Y", partitions=1)
@@ -232,7 +257,8 @@ def test_verify_and_export(spark, store, tmp_path):
 
     more = captured(spark, home("late.org"), probe("late.org", 3), home("a.org"), probe("a.org", 99))
     results, _ = verification.verify_wordpress(store, more)
-    assert [r.domain for r in results.collect()] == ["late.org"]
+    # a.org waits for its sample, so it is looked at again
+    assert sorted(r.domain for r in results.collect()) == ["a.org", "late.org"]
     # `run` verifies every candidate again and replaces whole rows
     verification.discover_and_verify(store, files, more, "X")
     hints = {r.domain: r.comment_count_hint for r in store.table("results").collect()}
@@ -315,3 +341,64 @@ def test_stream_takes_each_file_once(spark, store, tmp_path):
     assert set(candidates(store)) == {"a.org", "b.org", "c.org"}
     missing = tables.missing_partitions(files, store.table("disqus_scan_progress"), "X")
     assert [r.partition_idx for r in missing.collect()] == [3]
+    (source / names[3]).write_bytes(b"")
+    run()  # a file without a byte gives no row; a wave run records it
+    discovery.discover_disqus(store, files.where("partition_idx = 3"), "X")
+    assert ("X", 3, 0) in progress(store)
+    assert store.log("disqus_candidates").where("domain IS NULL").count() == 0
+
+
+def one_stream(spark, store, folder, crawl, *sites):
+    folder.mkdir()
+    write_wat(folder, "0.warc.wat.gz", *sites)
+    files = wat_run_files(spark, folder, ["0.warc.wat.gz"])
+    assert stream_disqus(store, str(folder), files, f"{folder}-state", crawl).awaitTermination(120)
+    return files
+
+
+def test_streams_and_runs_in_one_store(spark, store, tmp_path):
+    one_stream(spark, store, tmp_path / "x", "X", ("https://a.org/0", "a0"), ("https://x.org/", "x"))
+    files = one_stream(spark, store, tmp_path / "y", "Y", ("https://a.org/9", "a9"), ("https://y.org/", "y"))
+    assert candidates(store)["a.org"][1] == "https://a.org/0"
+    assert set(candidates(store)) == {"a.org", "x.org", "y.org"}
+    assert progress(store) == [("X", 0, 2), ("Y", 0, 2)]
+    # a run after the streams, and a stream after the run
+    discovery.discover_disqus(store, files, "Z")
+    one_stream(spark, store, tmp_path / "w", "W", ("https://y.org/late", "late"), ("https://w.org/", "w"))
+    assert candidates(store)["y.org"][1] == "https://y.org/"
+    assert set(candidates(store)) == {"a.org", "x.org", "y.org", "w.org"}
+    before = candidates(store)
+    store.compact("disqus_candidates")
+    assert candidates(store) == before and store.log("disqus_candidates").select("batch_id").distinct().count() == 1
+    one_stream(spark, store, tmp_path / "v", "V", ("https://y.org/later", "later"), ("https://v.org/", "v"))
+    assert candidates(store) == {**before, "v.org": ("v.org", "https://v.org/", "v")}
+
+
+def test_a_repeated_batch_keeps_its_place(spark, store):
+    first, second = store.new_batches(2)
+    store.append("wp_candidates", rows_of(spark, (0, "a", "first", "")), first)
+    store.commit([first])
+    store.append("wp_candidates", rows_of(spark, (0, "a", "second", "")), second)
+    store.commit([second])
+    store.append("wp_candidates", rows_of(spark, (0, "a", "first again", "")), first)
+    store.commit([first])
+    assert candidates(store, "wp_candidates") == {"a": ("first again", "")}
+
+
+def test_domains_wait_for_late_captures(spark, store, tmp_path):
+    files = single_files(spark, tmp_path, [write_index(spark, tmp_path, "0", wp_rows("a.org", "tls.org"))])
+    discovery.discover_wordpress(store, files, "X")
+    work = lambda: {r.domain for r in verification.work_list(store).collect()}
+    tls = home("tls.org", "tls: handshake failure")
+    verification.verify_wordpress(store, captured(spark, home("a.org"), tls))
+    assert candidates(store, "results") == {} and work() == {"a.org", "tls.org"}
+    fallback = ("tls.org", "home_http_get", None, 200, None, None, None, None)
+    seen = [home("a.org"), probe("a.org", 8), tls, fallback]
+    verification.verify_wordpress(store, captured(spark, *seen))
+    assert set(candidates(store, "results")) == {"a.org", "tls.org"} and work() == {"a.org"}
+    seen.append(("a.org", "comments_sample", None, 200, None, None, '[{"post":5},{"post":5}]', None))
+    verification.verify_wordpress(store, captured(spark, *seen))
+    assert store.table("pages").count() == 0 and work() == {"a.org"}
+    seen.append(("a.org", "post", 5, 200, None, None, '{"link":"https://a.org/5","title":{"rendered":"T"}}', None))
+    verification.verify_wordpress(store, captured(spark, *seen))
+    assert [tuple(r) for r in store.table("pages").collect()] == [("a.org", 5, "https://a.org/5", "T", 2)] and work() == set()

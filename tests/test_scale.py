@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from talkscout.operators import disqus, tables, verify, wordpress
-from talkscout.plans.store import Store
 from talkscout.sources.captures import read_captures, write_captures
 from talkscout.sources.url_index import read_url_index
 from talkscout.sources.wat import read_wat_records
@@ -53,10 +52,24 @@ def test_index_scan_reads_only_what_the_query_needs(spark, index_file):
     assert "ReadSchema: struct<url:string>" in text
 
 
-def test_winners_without_a_cap_need_one_shuffle(spark, index_file):
+def test_winners_need_one_shuffle(spark, index_file):
     index = read_url_index(spark, [index_file])
-    text = plan(wordpress.first_per_domain(wordpress.candidate_rows(index, None, "file"), "file"))
+    text = plan(wordpress.first_per_domain(wordpress.candidate_rows(index, "file"), "file"))
     assert exchanges(text) == 1 and "partial_min" in text
+    assert exchanges(plan(wordpress.discover(index, "file"))) == 2  # by domain, and the final sort
+
+
+def test_every_domain_of_a_partition_counts(spark):
+    rows = spark.range(120_000).select(
+        F.lit(0).alias("partition_idx"),
+        F.concat(F.lit("d"), "id", F.lit(".org")).alias("url_host_registered_domain"),
+        F.concat(F.lit("d"), "id", F.lit(".org")).alias("url_host_name"),
+        F.lit("https://x/").alias("url"),
+        F.lit("/wp-json/").alias("url_path"),
+        F.lit(200).alias("fetch_status"),
+        F.lit("text/html").alias("content_mime_detected"),
+    )
+    assert wordpress.discover(rows).count() == 120_000
 
 
 def test_record_scan_has_no_shuffle_and_filters_first(spark, tmp_path):
@@ -74,14 +87,6 @@ def test_record_winners_need_one_shuffle(spark, tmp_path):
     assert "partial_min" in text and "Window" not in text
 
 
-def test_crawl_files_are_not_read_again_after_staging(spark, tmp_path):
-    (tmp_path / "a.wat").write_text("WARC/1.0\n")
-    hits = disqus.record_hits(read_wat_records(spark, [str(tmp_path / "a.wat")]))
-    winners = Store(spark, str(tmp_path / "store")).stage(disqus.scan_winners(hits))
-    text = plan(disqus.readable_winners(winners))
-    assert "FileScan text" not in text and text.count("FileScan parquet") == 2
-
-
 def test_line_scan_parses_once_and_shuffles_no_document(spark, tmp_path):
     fx.spark_sql(spark, SF_DIR, fx.wat_lines()).write.parquet(f"{tmp_path}/lines")
     text = plan(disqus.forum_lines(spark.read.parquet(f"{tmp_path}/lines")))
@@ -103,22 +108,33 @@ def test_work_list_is_an_anti_join(spark):
     assert "LeftAnti" in plan(tables.unverified(ids, ids))
 
 
-def test_cap_is_exact_when_one_partition_holds_most_rows(spark):
-    rows = spark.range(30_000).select(
-        F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 10).cast("int").alias("partition_idx"),
-        F.when(F.col("id") % 3 == 0, "hot.org").otherwise(F.concat(F.lit("d"), F.col("id") % 5000)).alias("domain"),
-        F.concat(F.lit("h"), F.col("id") % 20_000).alias("hostname"),
-        F.lit("u").alias("sample_url"),
-    )
-    distinct = wordpress.distinct_rows(rows)
-    want = {}
-    for r in sorted(map(tuple, distinct.collect()), key=lambda t: (t[2], t[3], t[1])):
-        want.setdefault(r[0], []).append(r)
-    for salts in (1, 7, 128):
-        got = {}
-        for r in wordpress.capped_rows(distinct, 1000, salts=salts).collect():
-            got.setdefault(r.partition_idx, set()).add(tuple(r))
-        assert got == {p: set(v[:1000]) for p, v in want.items()}
+def test_captures_are_cut_to_the_work_list_before_they_are_parsed(spark, tmp_path):
+    fx.spark_sql(spark, SF_DIR, fx.captures()).write.parquet(f"{tmp_path}/captures")
+    captures = spark.read.parquet(f"{tmp_path}/captures")
+    work = spark.range(3).select(F.col("id").cast("string").alias("domain"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results, pages = verify.verify_all(work, captures)
+        texts = plan(results), plan(pages)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in texts:
+        lines = text.split("\n")
+        depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+        for i, line in enumerate(lines):
+            if "try_parse_json" in line or "from_json" in line:
+                below = [x for x in lines[i + 1 :] if depth(x) > depth(line)]
+                assert any("LeftSemi" in x for x in below), line
+    counts = verify.comments_per_post(captures)
+    assert plan(counts).count("from_json(") == 1
+
+
+def test_posts_are_parsed_once(spark):
+    from talkscout.functions.documents import post_fields
+
+    df = spark.range(2).select(F.col("id").cast("string").alias("body"))
+    text = plan(df.select(post_fields(F.col("body")).alias("post")))
+    assert len(re.findall(r"try_parse_json|parseJson", text)) == 1
 
 
 def test_carry_forward_across_blocks_of_one_large_file(spark):
@@ -177,7 +193,7 @@ def test_row_order_does_not_matter(spark, parts):
         return df.orderBy(F.xxhash64(*[F.col(c).cast("string") for c in df.columns], F.lit(parts))).repartition(parts)
 
     index = fx.spark_sql(spark, SF_DIR, fx.index())
-    assert rows(wordpress.discover(shuffled(index), 3)) == rows(wordpress.discover(index, 3))
+    assert rows(wordpress.discover(shuffled(index))) == rows(wordpress.discover(index))
     lines = fx.spark_sql(spark, SF_DIR, fx.wat_lines())
     assert rows(disqus.discover(shuffled(lines))) == rows(disqus.discover(lines))
     domains, captures = fx.spark_sql(spark, SF_DIR, fx.domains()), fx.spark_sql(spark, SF_DIR, fx.captures())
