@@ -8,12 +8,11 @@ records and sites at sf0.1), the others on those derived from the pages table.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
-import time
-
-import hashlib
 import tempfile
+import time
 
 from checks import fixtures
 from checks.compare import local_session
