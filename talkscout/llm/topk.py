@@ -20,6 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,7 +93,7 @@ def _search(k: int, scale: int):
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         vectors, queries = left.column("vector"), right.column("vector")
-        width = max(pa.compute.max(pa.compute.list_value_length(c)).as_py() or 0 for c in (vectors, queries))
+        width = max(pc.max(pc.list_value_length(c)).as_py() or 0 for c in (vectors, queries))
         a, b = _matrix(vectors, width, scale), _matrix(queries, width, scale)
         if width * np.abs(a).max(initial=0) * np.abs(b).max(initial=0) >= 2**53:
             a, b = _exact(a), _exact(b)
