@@ -92,6 +92,12 @@ def edits_for(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
 
+def unchanged_parts(term: str) -> list[str]:
+    """One part more than edits: at least one of them stands unchanged in each misspelling."""
+    n = edits_for(term) + 1
+    return [term[i * len(term) // n : (i + 1) * len(term) // n] for i in range(n)]
+
+
 @dataclass
 class Lexicon:
     """Learned terms with their precisions; `clean` holds words that are no misspellings, `crowded` terms without any."""
@@ -111,6 +117,8 @@ class Lexicon:
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = term
+        parts = [part for term in alone for part in unchanged_parts(term)]
+        self.parts = re.compile("|".join(map(re.escape, sorted(set(parts))))) if parts else None
         self.lengths = {n for term in alone for n in range(len(term) - edits_for(term), len(term) + edits_for(term) + 1)}
         self.known: dict[str, tuple] = {}
 
@@ -126,7 +134,7 @@ class Lexicon:
         return None
 
     def misspelled(self, word: str) -> tuple[str, float] | None:
-        if len(word) not in self.lengths or word in self.clean:
+        if len(word) not in self.lengths or not self.parts.search(word) or word in self.clean:
             return None
         found = [(e, term) for term, e in automaton_walk(self.trie, word, 2) if e <= edits_for(term)]
         return (min(found)[1], self.words[min(found)[1]] * self.fuzzy) if found else None
