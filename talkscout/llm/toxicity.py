@@ -36,7 +36,6 @@ from talkscout.llm.shared import shared_folder, small_batches, written
 MOST_TOXIC = 6_000
 MOST_CLEAN = 12_000
 MOST_TERMS = 40_000
-LEAST_DOCS = 2
 LEAST_PLACES = 3
 LEAST_ENDINGS = 5
 CHANCE = 0.05
@@ -334,13 +333,13 @@ def train(documents: DataFrame, labels: DataFrame) -> Lexicon:
     shares = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     both = rows.mapInArrow(_count_terms, "term string, toxic int, n long").groupBy("term").agg(of(1).alias("t"), of(0).alias("n"))
     both = written(both, folder, "terms")
-    telling = both.where((F.col("t") >= LEAST_DOCS) & (F.col("n") <= CLEAN_SHARE * F.col("t"))).orderBy(F.desc("t"), "term").limit(MOST_TERMS)
+    # So many documents, in different surroundings, that not even one of all terms is expected to have them, all toxic, by chance.
+    share = min(max((shares.get(1, 0) + 0.5) / (sum(shares.values()) + 1), 0.01), 0.9)
+    least = max(LEAST_PLACES, math.ceil(math.log(max(both.count(), 1) / CHANCE) / -math.log(share)))
+    telling = both.where((F.col("t") >= least) & (F.col("n") <= CLEAN_SHARE * F.col("t"))).orderBy(F.desc("t"), "term").limit(MOST_TERMS)
     counts = {r.term: (r.t, r.n) for r in telling.collect()}
     toxic_rows = rows.where("toxic = 1").select("text")
     places = toxic_rows.mapInArrow(_places(frozenset(counts)), "term string, word string, before string, behind string").distinct().collect()
-    # So many places that not even one of all terms is expected to have them, all toxic, by chance.
-    share = min(max((shares.get(1, 0) + 0.5) / (sum(shares.values()) + 1), 0.01), 0.9)
-    least = max(LEAST_PLACES, math.ceil(math.log(max(both.count(), 1) / CHANCE) / -math.log(share)))
     chosen = choose_terms(counts, [tuple(r) for r in places], least)
     precision = {term: (counts[term][0] + 0.5) / (sum(counts[term]) + 1) for term in chosen}
     lexicon = Lexicon(
