@@ -16,6 +16,7 @@ columns are ignored.
 from __future__ import annotations
 
 import bisect
+import functools
 import heapq
 import os
 import zlib
@@ -80,22 +81,26 @@ class WordEncoder:
             self.known, new = {}, words
         if len(self.letters) > CACHED_WORDS // 2:
             self.letters = {}
-        plain, odd = [], []
+        plain, stems, marks, odd = [], [], [], []  # lists of strings, which the garbage collector need not follow
         for word in new:
             text = word.decode("utf-8", "replace")
             mark = text[-1] if text[-1] in ".," else ""
-            stem = text[: len(text) - len(mark)].lower()
+            stem = (text[:-1] if mark else text).lower()
             if stem.isalpha() and "\u03a3" not in text:  # capital sigma has two lower-case forms
-                plain.append((word, stem, mark))
+                plain.append(word)
+                stems.append(stem)
+                marks.append(mark)
             else:
-                odd.append((word, text))
-        stems = list({stem for _, stem, _ in plain} - self.letters.keys())
-        for start in range(0, len(stems), 1000):
-            part = stems[start : start + 1000]
-            self.letters.update(zip(part, self._letter_ids(part), strict=True))
-        for word, stem, mark in plain:
-            self.known[word] = self.letters[stem] + self.marks[mark]
-        self.known.update(zip((word for word, _ in odd), self._ids([text for _, text in odd]), strict=True))
+                odd.append(word)
+        letters = self.letters
+        unknown = list(set(stems) - letters.keys())
+        for start in range(0, len(unknown), 1000):
+            part = unknown[start : start + 1000]
+            letters.update(zip(part, self._letter_ids(part), strict=True))
+        known, ends = self.known, self.marks
+        for word, stem, mark in zip(plain, stems, marks, strict=True):
+            known[word] = letters[stem] + ends[mark] if mark else letters[stem]
+        known.update(zip(odd, self._ids([word.decode("utf-8", "replace") for word in odd]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]
@@ -103,6 +108,12 @@ class WordEncoder:
         return [b"".join([*map(self.known.__getitem__, words), self.end]) for words in split]
 
 
+@functools.cache
+def word_encoder(path: str, end_id: int) -> WordEncoder:
+    """One encoder for all tasks of a worker process, with the words it remembers."""
+    return WordEncoder(path, end_id)
+
+
 class Piece:
     """Tokens [start, start + length) of a document, whose ids are bytes."""
 
@@ -234,7 +245,7 @@ def pack_partition(path: str, end_id: int = END_ID, tiers=TIERS, pool_tokens: in
     """The function for `mapInArrow` over (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordEncoder(path, end_id), Packer(tiers)
+        encoder, packer = word_encoder(path, end_id), Packer(tiers)
         schema = pa.schema([(n, pa.int32() if n == "tier" else pa.int64()) for n in (c.split()[0] for c in PIECES.split(", "))])
         base = TaskContext.get().partitionId() << 33
         counts = {"window": 0, "group": 0}
