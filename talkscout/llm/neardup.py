@@ -5,14 +5,16 @@ sets form a class (by a 128-bit hash of the set); only classes are compared. Eac
 posted under its coordinate-value pairs. Two classes with at least MATCHES equal coordinates
 share one of each one's K - MATCHES + 1 rarest pairs, so only that prefix is listed, and pairs
 that occur once are skipped. A list is not multiplied out: its members are compared with one
-hub, then with another one if the list still spans several components, and only what is left,
-members outside a list's largest component, with all its members of other components. So no
+hub, the class that has most in common with others (of many copies of a text, the text itself),
+then those outside the list's largest component with the next hub, and only what is left,
+members outside the largest component, with all members of other components that counts
+of rare and of frequent shingles don't rule out. So no
 pair that could join two components goes uncompared. Compared pairs with enough collisions
 are confirmed on full sets, for each class first the pair with most collisions and the others
 only where they still would join two components.
 
 A pair with a similarity of exactly 0.8 has fewer than 26 of 48 equal coordinates with a
-probability of about 1 in 50,000; more similar pairs are missed less often.
+probability of about 1 in 76,000; more similar pairs are missed less often.
 
 Defined cases: null, empty and word-less texts have an empty set and are linked with nothing; a
 text of one word has one shingle; repeated rows and ids are rows of their own, each with its
@@ -34,7 +36,9 @@ from talkscout.llm.shared import shared_folder, small_batches, texts_of, written
 
 COORDINATES = 48
 MATCHES = 26
-ROUNDS = 4
+ROUNDS = 2
+SHORT_LIST = 16
+RARE = 64
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 SETS = "doc_id long, text_key long, n_shingles long, node long, check long, signature array<int>"
 
@@ -93,6 +97,13 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
 
 
+def _single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, 64):
+        sets = [shingles(text).view(np.int64) for text in texts_of(batch.column("text"))]
+        nodes = np.repeat(batch.column("node").to_numpy(), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(sets))], names=["node", "shingle"])
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 256):
@@ -162,16 +173,60 @@ class _Comparison:
         if met.isEmpty():
             return
         nodes = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
-        rows = self.classes.join(nodes, "node", "left_semi").select("node", F.col("rep_id").alias("doc_id"), "text_key")
-        ids = rows.select(F.col("doc_id").alias("rep_id"), F.col("text_key").alias("rep_key"), "node")
-        texts = self.documents.join(ids, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key")))
-        sets = texts.select("node", "text").mapInArrow(_full_sets, "node long, set binary")
+        sets = self.texts_of(nodes).mapInArrow(_full_sets, "node long, set binary")
         sets = written(sets.dropDuplicates(["node"]), self.folder, f"{step}-sets")
         # For each class the pair with most collisions first, then what still would join two components.
         best = met.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
         self.confirm(best, sets, f"{step}-best")
         self.confirm(met.select("a", "b").join(best, ["a", "b"], "left_anti"), sets, f"{step}-rest")
 
+    def texts_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, text) of the documents that stand for classes."""
+        rows = self.classes.join(nodes, "node", "left_semi").select("node", "rep_id", F.col("text_key").alias("rep_key"))
+        same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key"))
+        return self.documents.join(rows, same).select("node", "text")
+
+    def left_over(self, lists: DataFrame) -> DataFrame:
+        """Pairs of lists that still span components: of those outside the largest one with all of others.
+
+        Members of long lists are told apart by their full sets. Shingles that few of them have
+        are joined, which counts what two members share of these. Of the other shingles they
+        share at most what the one with fewer has. Pairs that can't be similar enough then are left out,
+        and each pair is taken from one list only.
+        """
+        members = written(self.labelled(lists.select("node", "key"), "node"), self.folder, "left")
+        parts = members.groupBy("key", "l_node").agg(F.count("*").alias("n"))
+        spans = parts.groupBy("key").agg(F.max(F.struct("n", "l_node")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts"))
+        spans = spans.where("parts > 1").select("key", F.col("main.l_node").alias("main"), (F.col("all") > SHORT_LIST).alias("long"))
+        members = written(members.join(spans, "key").withColumn("out", F.col("l_node") != F.col("main")), self.folder, "spans")
+
+        long = members.where("long").groupBy("node", "l_node").agg(F.max("out").alias("out"), F.array_sort(F.collect_list("key")).alias("keys"))
+        held = self.texts_of(long.select("node")).mapInArrow(_single_shingles, "node long, shingle long").distinct()
+        held = written(held, self.folder, "held")
+        rare = held.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
+        rare = written(held.join(rare, "shingle"), self.folder, "rare")
+        own = rare.groupBy("node").agg(F.count("*").alias("own"))
+        sizes = long.join(self.classes.select("node", "n_shingles"), "node").join(own, "node", "left")
+        sizes = sizes.select("node", "l_node", "out", "keys", F.col("n_shingles").alias("size"), (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("often"))
+        sizes = written(sizes, self.folder, "sizes")
+
+        other = lambda df: df.select(*(F.col(c).alias(f"o_{c}") for c in df.columns))
+        can = lambda common: 100 * common >= self.percent * (F.col("size") + F.col("o_size") - common)
+        least = F.least("often", "o_often")
+        known = rare.where("n > 1").join(sizes.drop("keys"), "node")
+        sharing = known.where("out").join(other(known), (F.col("shingle") == F.col("o_shingle")) & (F.col("l_node") != F.col("o_l_node")))
+        sharing = sharing.groupBy("node", "o_node", "size", "o_size", "often", "o_often").agg(F.count("*").alias("shared"))
+        sharing = sharing.where(can(least + F.col("shared"))).select("node", "o_node")
+
+        listed = sizes.select("*", F.explode("keys").alias("key"))
+        one_list = F.array_min(F.array_intersect("keys", "o_keys")) == F.col("key")
+        apart = (F.col("key") == F.col("o_key")) & (F.col("l_node") != F.col("o_l_node"))
+        alike = listed.where("out").join(other(listed), apart & can(least) & one_list).select("node", "o_node")
+
+        brief = members.where("not long").select("key", "node", "l_node", "out")
+        brief = brief.where("out").join(other(brief), apart).select("node", "o_node")
+        return _ordered(sharing.union(alike).union(brief), "node", "o_node")
+
     def confirm(self, pairs: DataFrame, sets: DataFrame, name: str) -> None:
         pairs = self.labelled(pairs, "a", "b").where("l_a <> l_b").select("a", "b")
         x, y = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
@@ -204,33 +259,30 @@ def _assigned(documents: DataFrame, percent: int, folder: str) -> DataFrame:
     prefix = COORDINATES - MATCHES + 1
     shared = posted.join(counts, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("keys"))
     length = F.size("keys") + prefix - COORDINATES  # pairs that occur once are the rarest
-    lists = shared.where(length > 0).select("node", F.explode(F.slice("keys", 1, length)).alias("k")).select("node", F.col("k.key").alias("key"))
-    lists = written(lists, folder, "lists")
+    # How much a class has in common with others: the original of many near copies has most.
+    common = F.aggregate("keys", F.lit(0.0), lambda total, k: total + F.log2(k["n"].cast("double"))).alias("common")
+    lists = shared.where(length > 0).select("node", common, F.explode(F.slice("keys", 1, length)).alias("k"))
+    lists = written(lists.select("node", "common", F.col("k.key").alias("key")), folder, "lists")
 
     work = _Comparison(texts, classes, folder, percent)
     for turn in range(ROUNDS):
-        members = work.labelled(lists, "node")
-        hubs = members.groupBy("key").agg(
-            (F.min("node") if turn % 2 == 0 else F.max("node")).alias("hub"), F.min("l_node").alias("low"), F.max("l_node").alias("high"),
-        ).where("low <> high")
-        met = members.join(hubs.select("key", "hub"), "key")
-        met = work.labelled(met.select("node", "l_node", "hub").distinct(), "hub").where("l_node <> l_hub")
+        members = work.labelled(lists, "node").withColumnRenamed("l_node", "label")
+        parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.max(F.struct("common", "node")).alias("best"))
+        parts = written(parts, folder, f"parts{turn}")
+        spans = parts.groupBy("key").agg(
+            F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"), F.max("best").alias("best")
+        ).where("parts > 1")
+        if turn % 2:  # the best one outside the list's largest component
+            outside = parts.join(spans.select("key", F.col("main.label").alias("main")), "key").where("label <> main")
+            hubs = outside.groupBy("key").agg(F.max("best").alias("best")).select("key", F.col("best.node").alias("hub"))
+        else:
+            hubs = spans.select("key", F.col("best.node").alias("hub"))
+        met = work.labelled(members.join(hubs, "key").select("node", "label", "hub").distinct(), "hub").where("label <> l_hub")
         work.compare(_ordered(met, "node", "hub"))
-        if turn == 0:
-            continue
-        lists = written(work.labelled(lists, "node").withColumnRenamed("l_node", "label"), folder, f"lists{turn}")
-        sizes = lists.groupBy("key", "label").agg(F.count("*").alias("n"))
-        spans = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-        left = spans.agg(F.sum(F.col("all") * (F.col("all") - F.col("main.n")))).first()[0]
-        lists = lists.join(spans.select("key"), "key", "left_semi").select("node", "key")
-        if not left or left <= 20 * signed.count():
-            break
-    if left:
-        members = work.labelled(lists, "node")
-        spans = members.groupBy("key", "l_node").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "l_node")).alias("main"))
-        outside = members.join(spans.select("key", F.col("main.l_node").alias("main")), "key").where("l_node <> main")
-        others = members.select("key", F.col("node").alias("other"), F.col("l_node").alias("l_other"))
-        work.compare(_ordered(outside.join(others, "key").where("l_node <> l_other"), "node", "other"))
+        # A list of two is done; so is one that a single component holds.
+        lists = members.join(spans.where("all > 2").select("key"), "key", "left_semi").select("node", "common", "key")
+        lists = written(lists, folder, f"lists{turn}")
+    work.compare(work.left_over(lists))
 
     nodes = work.labelled(classes.select("node", "first_id"), "node")
     firsts = nodes.groupBy("l_node").agg(F.min("first_id").alias("component_id"))

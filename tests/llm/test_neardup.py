@@ -65,9 +65,11 @@ def test_against_brute_force(spark):
     assert run(spark.createDataFrame(rows, DOCS)) == brute(rows)
 
 
-def test_lists_left_after_all_rounds(spark, monkeypatch):
-    """Without further rounds, what is left of the lists is compared in full."""
-    monkeypatch.setattr(neardup, "ROUNDS", 2)
+def test_lists_left_after_the_hubs(spark, monkeypatch):
+    """After one hub only, what is left of long lists is compared by rare and frequent shingles."""
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    monkeypatch.setattr(neardup, "SHORT_LIST", 2)
+    monkeypatch.setattr(neardup, "RARE", 2)
     rows = corpus(2)
     assert run(spark.createDataFrame(rows, DOCS)) == brute(rows)
 
