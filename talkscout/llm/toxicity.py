@@ -6,7 +6,9 @@ of one document share is no term) and next to no clean ones do. The words form a
 trie together with the Levenshtein automaton of the word, so that misspelled terms are found in
 one walk: one edit for terms of five letters and more, two from eight on; digits and signs that
 stand for letters are read as such first. Words seen in clean training documents never count as
-misspellings, and a term that they come near to isn't looked for misspelled at all. Around each hit a window of words tells quotation (quotation marks, words of
+misspellings. How much others do is learned for each term: its near words speak for toxic documents,
+and those that a single clean document holds against it, as they would have been new without that
+document; the prior weighs as much as the documents with the term itself tell. Around each hit a window of words tells quotation (quotation marks, words of
 reporting) from abuse; quoted hits weigh little. A document's score combines its hits' learned
 precisions; without a hit it is the learned share of toxic documents without one.
 
@@ -43,6 +45,9 @@ CLEAN_SHARE = 0.02
 STEM_CHARS = (4, 12)
 WINDOW = 6
 CACHED_WORDS = 400_000
+#: Prior: of ten documents with a term one more misspells it, and of ten that seem to, nine are toxic.
+MISSPELLED, MISSPELLED_TOXIC = 0.1, 0.9
+NEAR = pa.list_(pa.struct([("term", pa.string()), ("word", pa.string())]))
 SCORES = "doc_id long, held_out boolean, score double, predicted int, n_hits int"
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -99,18 +104,19 @@ def unchanged_parts(term: str) -> list[str]:
 
 @dataclass
 class Lexicon:
-    """Learned terms with their precisions; `clean` holds words that are no misspellings, `crowded` terms without any."""
+    """Learned terms with their precisions; `clean` holds words that are no misspellings, `near` what a misspelled term's
+    precision is multiplied by, if not by `fuzzy`."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     fuzzy: float = 0.9
     none: float = 0.05
     clean: frozenset = frozenset()
-    crowded: frozenset = frozenset()
+    near: dict[str, float] = field(default_factory=dict)
 
     def __post_init__(self):
         self.trie: dict = {}
-        alone = [term for term in self.words if edits_for(term) and term not in self.crowded]
+        alone = [term for term in self.words if edits_for(term)]
         for term in alone:
             node = self.trie
             for c in term:
@@ -122,7 +128,7 @@ class Lexicon:
         self.known: dict[str, tuple] = {}
 
     def __reduce__(self):
-        return Lexicon, (self.words, self.stems, self.fuzzy, self.none, self.clean, self.crowded)
+        return Lexicon, (self.words, self.stems, self.fuzzy, self.none, self.clean, self.near)
 
     def exact(self, word: str) -> tuple[str, float] | None:
         if word in self.words:
@@ -132,11 +138,22 @@ class Lexicon:
                 return word[:n], self.stems[word[:n]]
         return None
 
-    def misspelled(self, word: str) -> tuple[str, float] | None:
+    def nearest(self, word: str) -> str | None:
+        """The term that a word misspells."""
         if len(word) not in self.lengths or not self.parts.search(word) or word in self.clean:
             return None
         found = [(e, term) for term, e in automaton_walk(self.trie, word, 2) if e <= edits_for(term)]
-        return (min(found)[1], self.words[min(found)[1]] * self.fuzzy) if found else None
+        return min(found)[1] if found else None
+
+    def misspelled(self, word: str) -> tuple[str, float] | None:
+        term = self.nearest(word)
+        return (term, self.words[term] * self.near.get(term, self.fuzzy)) if term else None
+
+    def evidence(self, token: str) -> tuple[bool, set[tuple[str, str]]]:
+        """Whether a token's words hold a term itself, and (term, word) of those that misspell one."""
+        words = {word for _, word in _readings(token.lower())}
+        own = {word for word in words if self.exact(word)}
+        return bool(own), {(term, word) for word in words - own if (term := self.nearest(word))}
 
     def lookup(self, token: str) -> tuple[tuple[str, float, bool], ...]:
         """(term, precision, whether exact) of each hit in a text's token."""
@@ -154,9 +171,7 @@ class Lexicon:
         if exact:
             yield from ((*hit, True) for hit in exact)
             return
-        whole = lower.strip(".,;:!?\"'()[]{}*#$%&|<>_-~`“”„«»‘’…")
-        for part in dict.fromkeys([*parts, whole]):
-            folded = part if part.isalpha() else part.translate(LEET)
+        for part, folded in _readings(lower):
             if folded != part and (hit := self.exact(folded)):
                 yield (*hit, False)
                 return
@@ -191,6 +206,12 @@ class Lexicon:
         return 1 - abuse * max(quoted, 0.55), len(hits)
 
 
+def _readings(token: str) -> list[tuple[str, str]]:
+    """The parts of a token in lower case, and each with letters for signs."""
+    whole = token.strip(".,;:!?\"'()[]{}*#$%&|<>_-~`“”„«»‘’…")
+    return [(x, x if x.isalpha() else x.translate(LEET)) for x in dict.fromkeys([*LETTERS.findall(token), whole])]
+
+
 def quotation(tokens: list[str], place: int) -> bool:
     """Whether the token stands between quotation marks with a word of reporting near."""
     start = max(0, place - WINDOW)
@@ -290,19 +311,17 @@ def choose_terms(counts: dict[str, tuple[int, int]], places: list[tuple[str, str
 
 
 def _evidence(lexicon: Lexicon):
-    """Per document: class, whether it has exact hits, words that only nearly match, and what they match."""
+    """Per document: class, whether terms themselves hit, and the words that only nearly match, each with its term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _texts(batches):
-            exact, fuzzy, near = [], [], []
+            exact, near = [], []
             for text in texts:
-                hits = [(t, hit) for t in set(text.split()) for hit in lexicon.lookup(t)]
-                exact.append(any(hit[2] for _, hit in hits))
-                fuzzy.append(sorted({p for t, hit in hits if not hit[2] for p in (*LETTERS.findall(t.lower()), t.lower().translate(LEET))}))
-                near.append(sorted({hit[0] for _, hit in hits if not hit[2]}))
+                found = [lexicon.evidence(t) for t in set(text.split()) if lexicon.lookup(t)]
+                exact.append(any(own for own, _ in found))
+                near.append([{"term": term, "word": word} for term, word in sorted(set().union(*(pairs for _, pairs in found)))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(exact, pa.bool_()), pa.array(fuzzy, pa.list_(pa.string())), pa.array(near, pa.list_(pa.string()))],
-                names=["toxic", "exact", "fuzzy", "near"],
+                [batch.column("toxic"), pa.array(exact, pa.bool_()), pa.array(near, NEAR)], names=["toxic", "exact", "near"]
             )
 
     return run
@@ -346,19 +365,22 @@ def train(documents: DataFrame, labels: DataFrame) -> Lexicon:
         {term: p for term, p in precision.items() if not term.endswith("*")},
         {term[:-1]: p for term, p in precision.items() if term.endswith("*")},
     )
-    seen = rows.mapInArrow(_evidence(lexicon), "toxic int, exact boolean, fuzzy array<string>, near array<string>")
-    kinds = seen.groupBy("toxic", "exact", (F.size("fuzzy") > 0).alias("inexact")).agg(
-        F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_list("fuzzy"))).alias("words"),
-        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"),
-    ).collect()
-    count = lambda toxic, exact, inexact: sum(r.n for r in kinds if (r.toxic, r.exact, r.inexact) == (toxic, exact, inexact))
-    of_clean = [r for r in kinds if r.toxic == 0 and r.inexact]
-    clean = frozenset(w for r in of_clean for w in r.words)
-    crowded = frozenset(t for r in of_clean for t in r.near)
-    # Misspellings that clean documents also have are out; what is left is judged by the toxic ones, with a prior of one clean in ten.
-    fuzzy = (count(1, False, True) + 9) / (count(1, False, True) + 10)
-    none = (count(1, False, False) + 0.5) / (count(1, False, False) + count(0, False, False) + count(0, False, True) + 10)
-    return Lexicon(lexicon.words, lexicon.stems, fuzzy, min(none, 0.49), clean, crowded)
+    seen = rows.mapInArrow(_evidence(lexicon), "toxic int, exact boolean, near array<struct<term:string,word:string>>")
+    seen = written(seen.withColumn("id", F.monotonically_increasing_id()), folder, "evidence")
+    totals = {r.toxic: r["count"] for r in seen.where("NOT exact").groupBy("toxic").count().collect()}
+    near = seen.select("id", "toxic", "exact", F.explode("near").alias("near")).select("id", "toxic", "exact", "near.*")
+    words = near.where("toxic = 0").groupBy("word").agg(F.count("*").alias("clean"))
+    clean = frozenset(r.word for r in words.select("word").collect())
+    # What speaks about a word unknown so far: toxic documents with a word that no clean one has, clean ones with a word that no other has.
+    new = near.where("NOT exact").join(words, "word", "left").where("toxic = 1 AND clean IS NULL OR toxic = 0 AND clean = 1")
+    by_term = new.groupBy("term").agg(*(F.count_distinct(F.when(F.col("toxic") == c, F.col("id"))).alias(n) for c, n in ((1, "t"), (0, "n"))))
+    learned = {}
+    for r in by_term.collect():
+        prior = MISSPELLED * counts[r.term][0]
+        learned[r.term] = (r.t + MISSPELLED_TOXIC * prior) / (r.t + r.n + prior)
+    missed = totals.get(1, 0) - new.where("toxic = 1").select("id").distinct().count()
+    none = (missed + 0.5) / (missed + totals.get(0, 0) + 10)
+    return Lexicon(lexicon.words, lexicon.stems, MISSPELLED_TOXIC, min(none, 0.49), clean, learned)
 
 
 def _score(lexicon: Lexicon):

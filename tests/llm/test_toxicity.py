@@ -99,3 +99,19 @@ def test_defined_cases(spark):
     assert toxicity.scores(df.limit(0), LEXICON).count() == 0
     empty = toxicity.train(df, spark.createDataFrame([], LABELS))
     assert {r.predicted for r in toxicity.scores(df, empty).collect()} == {0}
+
+
+def test_a_clean_neighbour_costs_its_own_word_only(spark):
+    rng, plain = random.Random(5), ["anstly", "thered", "erinou", "onhation", "anreed", "thestou"]
+    text = lambda *more: " ".join(rng.sample([*(rng.choice(plain) for _ in range(12)), *more], 12 + len(more)))
+    bad = ["moron", "pathetic", "stupid"]
+    docs = [(i, text(bad[i % 3])) for i in range(90)] + [(100 + i, text(*["oron"] * (i % 7 == 0))) for i in range(400)]
+    new = ["stupid"[:n] + c + "stupid"[n:] for n in range(1, 6) for c in "abcefghjklmnoqrvwxyz"]
+    docs += [(1000 + i, text(word)) for i, word in enumerate(new)]  # clean ones always come near to "stupid" by another word
+    labels = [(i, int(i < 100)) for i, _ in docs]
+    lexicon = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    assert lexicon.words.keys() == set(bad)
+    for word in ("morron", "moroon", "pathettic", "patetic"):
+        assert lexicon.score(f"you {word}")[0] >= 0.5, word
+    assert "oron" in lexicon.clean and lexicon.score("the oron of it")[1] == 0
+    assert lexicon.near["stupid"] < 0.2 and lexicon.score("you stvpid")[0] < 0.5 <= lexicon.score("you stupid")[0]
