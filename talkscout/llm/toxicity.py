@@ -2,9 +2,12 @@
 
 Training takes a bounded sample of labelled documents. Terms are whole words, or stems that take
 several endings, which toxic documents hold in different surroundings (so that what only copies
-of one document share is no term) and next to no clean ones do. The words form a trie. A word of a text that is no term is run through the
+of one document share is no term) and next to no clean ones do. Words and stems form a trie. A word of a text that is no term is run through the
 trie together with the Levenshtein automaton of the word, so that misspelled terms are found in
-one walk: one edit for terms of five letters and more, two from eight on; digits and signs that
+one walk: one edit for terms of five letters and more, two from eight on. A stem may match any
+beginning of the word, but a word that only begins the stem is no form of it. Since a stem with its
+last letters changed is a shorter stem, which training has passed over, that counts as a kind of
+its own with its own learned worth; digits and signs that
 stand for letters are read as such first. Words seen in clean training documents never count as
 misspellings. How much others do is learned for each term: its near words speak for toxic documents,
 and those that a single clean document holds against it, as they would have been new without that
@@ -47,6 +50,8 @@ WINDOW = 6
 CACHED_WORDS = 400_000
 #: Prior: of ten documents with a term one more misspells it, and of ten that seem to, nine are toxic.
 MISSPELLED, MISSPELLED_TOXIC = 0.1, 0.9
+#: For a stem whose last letters are changed it is every other one.
+CHANGED_END_TOXIC = 0.5
 NEAR = pa.list_(pa.struct([("term", pa.string()), ("word", pa.string())]))
 SCORES = "doc_id long, held_out boolean, score double, predicted int, n_hits int"
 
@@ -63,7 +68,9 @@ REPORTS = frozenset(
 def automaton_walk(trie: dict, word: str, edits: int) -> list[tuple[str, int]]:
     """Terms within so many edits of a word: the word's Levenshtein automaton, run on the trie.
 
-    The automaton's states (characters read, edits) are bits, one number for each count of edits.
+    The automaton's states (characters read, edits) are bits, one number for each count of edits. Stems,
+    below a star, are within so many edits of a beginning of the word; their names end in a star,
+    or in a tilde if their last letter has to be changed for that.
     """
     size = len(word)
     chars: dict[str, int] = {}
@@ -80,6 +87,8 @@ def automaton_walk(trie: dict, word: str, edits: int) -> list[tuple[str, int]]:
                 if least is not None:
                     found.append((child, least))
                 continue
+            if c == "*":
+                continue
             match, moved = chars.get(c, 0), []
             for e, s in enumerate(states):
                 now = (s & match) << 1
@@ -87,6 +96,13 @@ def automaton_walk(trie: dict, word: str, edits: int) -> list[tuple[str, int]]:
                     before = states[e - 1]
                     now |= before | before << 1 | moved[e - 1] << 1
                 moved.append(now & full)
+            if stem := child.get("*"):
+                least = next((e for e, s in enumerate(states) if (s & match) << 1 & full), None)
+                changed = next((e for e, s in enumerate(moved) if s), None)
+                if least is not None:
+                    found.append((stem + "*", least))
+                elif changed is not None and not stem.startswith(word):
+                    found.append((stem + "~", changed))
             if any(moved):
                 stack.append((child, tuple(moved)))
     return found
@@ -105,7 +121,7 @@ def unchanged_parts(term: str) -> list[str]:
 @dataclass
 class Lexicon:
     """Learned terms with their precisions; `clean` holds words that are no misspellings, `near` what a misspelled term's
-    precision is multiplied by, if not by `fuzzy`."""
+    precision is multiplied by, if not by `fuzzy`. In `near` a star follows stems, a tilde stems with a changed end."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
@@ -117,14 +133,19 @@ class Lexicon:
     def __post_init__(self):
         self.trie: dict = {}
         alone = [term for term in self.words if edits_for(term)]
-        for term in alone:
+        begun = [stem for stem in self.stems if edits_for(stem)]
+        for term, end in [*((term, "") for term in alone), *((stem, "*") for stem in begun)]:
             node = self.trie
             for c in term:
                 node = node.setdefault(c, {})
-            node[""] = term
-        parts = [part for term in alone for part in unchanged_parts(term)]
-        self.parts = re.compile("|".join(map(re.escape, sorted(set(parts))))) if parts else None
+            node[end] = term
+        parts = sorted({part for term in alone for part in unchanged_parts(term)})
+        self.parts = re.compile("|".join(map(re.escape, parts))) if parts else None
         self.lengths = {n for term in alone for n in range(len(term) - edits_for(term), len(term) + edits_for(term) + 1)}
+        # A part of a stem stands no further from its place than there are edits.
+        places = sorted({(len(stem) * i // (e + 1), e, part) for stem in begun for e in [edits_for(stem)] for i, part in enumerate(unchanged_parts(stem))})
+        places = [f".{{{max(at - e, 0)},{at + e}}}{re.escape(part)}" for at, e, part in places]
+        self.beginnings = re.compile("|".join(places), re.DOTALL) if places else None
         self.known: dict[str, tuple] = {}
 
     def __reduce__(self):
@@ -139,15 +160,21 @@ class Lexicon:
         return None
 
     def nearest(self, word: str) -> str | None:
-        """The term that a word misspells."""
-        if len(word) not in self.lengths or not self.parts.search(word) or word in self.clean:
+        """The term that a word misspells; a star follows stems, a tilde stems with a changed end."""
+        whole = len(word) in self.lengths and self.parts.search(word)
+        if not (whole or self.beginnings and self.beginnings.match(word)) or word in self.clean:
             return None
-        found = [(e, term) for term, e in automaton_walk(self.trie, word, 2) if e <= edits_for(term)]
-        return min(found)[1] if found else None
+        found = [(e, term) for term, e in automaton_walk(self.trie, word, 2) if e <= edits_for(term.rstrip("*~"))]
+        return min(found, key=lambda x: (x[1][-1] == "~", x))[1] if found else None
 
     def misspelled(self, word: str) -> tuple[str, float] | None:
         term = self.nearest(word)
-        return (term, self.words[term] * self.near.get(term, self.fuzzy)) if term else None
+        if not term:
+            return None
+        if term in self.words:
+            return term, self.words[term] * self.near.get(term, self.fuzzy)
+        worth = self.near.get(term, CHANGED_END_TOXIC if term[-1] == "~" else self.fuzzy)
+        return term[:-1], self.stems[term[:-1]] * worth
 
     def evidence(self, token: str) -> tuple[bool, set[tuple[str, str]]]:
         """Whether a token's words hold a term itself, and (term, word) of those that misspell one."""
@@ -376,8 +403,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Lexicon:
     by_term = new.groupBy("term").agg(*(F.count_distinct(F.when(F.col("toxic") == c, F.col("id"))).alias(n) for c, n in ((1, "t"), (0, "n"))))
     learned = {}
     for r in by_term.collect():
-        prior = MISSPELLED * counts[r.term][0]
-        learned[r.term] = (r.t + MISSPELLED_TOXIC * prior) / (r.t + r.n + prior)
+        prior = MISSPELLED * counts[r.term.replace("~", "*")][0]
+        share = CHANGED_END_TOXIC if r.term[-1] == "~" else MISSPELLED_TOXIC
+        learned[r.term] = (r.t + share * prior) / (r.t + r.n + prior)
     missed = totals.get(1, 0) - new.where("toxic = 1").select("id").distinct().count()
     none = (missed + 0.5) / (missed + totals.get(0, 0) + 10)
     return Lexicon(lexicon.words, lexicon.stems, MISSPELLED_TOXIC, min(none, 0.49), clean, learned)

@@ -115,3 +115,39 @@ def test_a_clean_neighbour_costs_its_own_word_only(spark):
         assert lexicon.score(f"you {word}")[0] >= 0.5, word
     assert "oron" in lexicon.clean and lexicon.score("the oron of it")[1] == 0
     assert lexicon.near["stupid"] < 0.2 and lexicon.score("you stvpid")[0] < 0.5 <= lexicon.score("you stupid")[0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(words.filter(bool), words, st.integers(0, 2))
+def test_the_walk_finds_stems_by_any_beginning(stem, word, edits):
+    trie = {}
+    node = trie
+    for c in stem:
+        node = node.setdefault(c, {})
+    node["*"] = stem
+    ends = [(distance(stem[:-1], word[: i - 1]), i) for i in range(1, len(word) + 1) if word[i - 1] == stem[-1]]
+    kept = min((d for d, _ in ends), default=edits + 1)
+    any_ = min(distance(stem, word[:i]) for i in range(len(word) + 1))
+    want = [(stem + "*", kept)] if kept <= edits else [(stem + "~", any_)] if any_ <= edits and not stem.startswith(word) else []
+    assert toxicity.automaton_walk(trie, word, edits) == want
+
+
+def test_misspelled_stems():
+    lexicon = toxicity.Lexicon({"moron": 0.99}, {"idiot": 0.99, "stupid": 0.99, "worthles": 0.99}, 0.9, 0.02, frozenset({"stuid"}), {"worthles*": 0.1})
+    for text in ("idiiotic", "you stuppidly!", "stupd", "idjots", "1diiotic", "morron"):
+        assert lexicon.score(text)[0] >= 0.5, text
+    for text in ("idi", "idio", "stupi", "stuid", "the worrthlessness", "stud", "idaeotic"):
+        assert lexicon.score(text)[0] < 0.5, text
+    assert lexicon.score("stupitly")[1] == 1 and lexicon.score("stupi")[1] == 0
+    learned = toxicity.Lexicon({}, {"stupid": 0.99}, near={"stupid~": 0.8})
+    assert learned.score("stupitly")[0] >= 0.5
+
+
+def test_training_counts_misspelled_stems(spark):
+    docs, labels = corpus(1500, 1)
+    more = [f"the anst {word} reou" for word in ("loweeist", "lowweiha", "chhllaou", "chllly", "lowest", "lower") for _ in range(8)]
+    documents = [*docs, *((5000 + i, text) for i, text in enumerate(more))]
+    known = [*labels, *((5000 + i, int(i < 24)) for i in range(len(more)))]
+    lexicon = toxicity.train(spark.createDataFrame(documents, DOCS), spark.createDataFrame(known, LABELS))
+    assert lexicon.near["lowei*"] > 0.9 and lexicon.near["chlla*"] > 0.9
+    assert lexicon.score("a lowwei-thing")[0] >= 0.5 and {"lowest", "lower", "chllly"} <= lexicon.clean
