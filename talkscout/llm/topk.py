@@ -60,7 +60,8 @@ def search_shard(ids: np.ndarray, lists: np.ndarray, query_ids: np.ndarray, quer
         best_ids, best = np.empty(0, ids.dtype), np.empty(0, lists.dtype)
         for start in range(0, len(ids), CHUNK):
             least = best[k - 1] if len(best) == k else None  # an equal score has a larger id: it must be above
-            essential = len(terms) if least is None else int(np.searchsorted(-rest, -least))  # the lists behind can't reach it alone
+            above = np.arange(len(rest)) if least is None else np.flatnonzero(rest > least)  # `rest` rises again where bounds are negative
+            essential = min(int(above[-1]) + 1, len(terms)) if len(above) else 0  # the lists behind can't reach it alone
             postings = lists[:, start : start + CHUNK]
             first = terms[:essential]
             scores = query[first] @ postings[first] if essential else np.zeros(postings.shape[1], lists.dtype)

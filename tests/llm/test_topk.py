@@ -42,6 +42,23 @@ def test_terms_are_left_out_but_no_result():
         assert got[5 * q : 5 * q + 5] == [i for _, i in want] and scores[5 * q : 5 * q + 5] == [-s for s, _ in want]
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_queries_that_point_against_all_vectors(exact):
+    rng = np.random.default_rng(5)
+    lists = np.floor(rng.uniform(20, 60, size=(16, 9000)))
+    lists[:3] -= 40  # some lists hold both signs
+    queries = np.stack([np.full(16, -7.0), -np.floor(rng.uniform(1, 9, 16)), np.where(np.arange(16) < 3, 5.0, -6.0)], axis=1)
+    ids = rng.permutation(9000)
+    if exact:
+        lists, queries = topk._exact(lists), topk._exact(queries)
+    _, got, scores = topk.search_shard(ids, lists, np.full(3, -1), queries, 5)
+    all_scores = queries.T @ lists
+    assert (all_scores.max(axis=1) < 0).all()
+    for q in range(3):
+        want = sorted(zip(-all_scores[q], ids, strict=True))[:5]
+        assert got[5 * q : 5 * q + 5] == [i for _, i in want] and scores[5 * q : 5 * q + 5] == [-s for s, _ in want]
+
+
 def test_defined_cases(spark):
     nan = float("nan")
     rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [float("inf")]), (5, []), (6, [1.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0]), (7, [1.0, 2.0])]
