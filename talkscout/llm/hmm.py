@@ -4,8 +4,10 @@ Training tokens are counted by word over all training documents. The most freque
 classes of their own; the others go to a class by their last letters. Latent states emit
 classes, a word follows from its class by its smoothed count. Baum-Welch: every partition runs
 the scaled forward-backward recursion over its documents and sums up expected counts, which are
-added over partitions for the next step. It starts from a model of a few documents, since from
-chance it would need many steps. For training, documents are cut into stretches of
+added over partitions for the next step. It starts from states that are random but stay. Since that
+would need many steps, the first pass takes a step after each of PARTS parts of the training documents,
+which together are all of them, and adds each part's expected counts to half of those so far; the steps
+after it see all documents at once. For training, documents are cut into stretches of
 bounded length; a text's likelihood is that of the scaled forward recursion over all its tokens.
 
 The words' counts, which grow with the corpus, stay in a table. Only the most frequent words
@@ -35,8 +37,8 @@ FREQUENT = 200_000
 ENDINGS = 512
 STRETCH = 128
 STEPS = 2
-FIRST_DOCUMENTS = 300
-FIRST_CHARS = 4_000
+PARTS = 12
+KEPT = 0.5
 FIRST_STEPS = 12
 SMOOTH = 20.0
 END = b""  # no word is empty
@@ -250,8 +252,8 @@ def _expect(words, model):
     return run
 
 
-def baum_welch_step(training: DataFrame, words: Words, model: Model) -> Model:
-    """One step over all training texts: expected counts per partition, added up by class."""
+def expected(training: DataFrame, words: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of all texts: counted per partition, added up by class."""
     context = training.sparkSession.sparkContext
     names = [f"s{i}" for i in range(STATES)]
     schema = "class int, " + ", ".join(f"{n} double" for n in names)
@@ -265,11 +267,30 @@ def baum_welch_step(training: DataFrame, words: Words, model: Model) -> Model:
             moves[-2 - r[0]] = values
         else:
             emits[r[0]] = values
-    return Model.of_counts(start, moves, emits, words)
+    return start, moves, emits
+
+
+def baum_welch_step(training: DataFrame, words: Words, model: Model) -> Model:
+    """One step over all training texts."""
+    return Model.of_counts(*expected(training, words, model), words)
+
+
+def first_pass(training: DataFrame, words: Words, folder: str) -> Model:
+    """A step after each part of the training texts; each text is in one part."""
+    rows = training.select("text", F.pmod(F.xxhash64("row_key"), F.lit(PARTS)).cast("int").alias("part"))
+    rows.write.mode("overwrite").partitionBy("part").parquet(f"{folder}/training")
+    rows = training.sparkSession.read.schema("text string, part int").parquet(f"{folder}/training")
+    model, counts = first_model([], words), None
+    for part in range(PARTS):
+        found = expected(rows.where(F.col("part") == part), words, model)
+        counts = [KEPT * a + b for a, b in zip(counts, found, strict=True)] if counts else found
+        if counts[2].any():  # else no text so far
+            model = Model.of_counts(*counts, words)
+    return model
 
 
 def first_model(texts: list[bytes], words: Words) -> Model:
-    """Baum-Welch over the beginnings of a few texts, from states that are random but stay."""
+    """States that are random but stay, and Baum-Welch over a few texts, if there are any."""
     rng = np.random.default_rng(7)
     shares = (words.sizes + 0.5) / (words.sizes + 0.5).sum()
     emits = shares[:, None] * rng.uniform(0.5, 1.5, (words.classes, STATES))
@@ -343,9 +364,7 @@ def score(documents: DataFrame, steps: int = STEPS) -> DataFrame:
     counts = training.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
     counts = written(counts, folder, "counts")
     words = learn_words(counts)
-    keys = [r.row_key for r in training.select("row_key").distinct().orderBy("row_key").limit(FIRST_DOCUMENTS).collect()]
-    few = training.where(F.col("row_key").isin(keys)).groupBy("row_key").agg(F.first(F.substring("text", 1, FIRST_CHARS)).alias("text")).collect() if keys else []
-    model = first_model([r.text.encode() for r in sorted(few)], words)
+    model = first_pass(training, words, folder)
     for _ in range(steps):
         model = baum_welch_step(training, words, model)
 

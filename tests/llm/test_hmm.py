@@ -105,3 +105,21 @@ def test_shares_of_words_add_up_to_one(spark):
     assert (words.sizes >= 0).all() and words.sizes.sum() == 82 and words.kinds.sum() == 5 and (within > 0).all()
     model = hmm.first_model([b"the house of the mouse"], words)
     assert np.allclose(model.emits.sum(axis=0), 1) and np.allclose(model.moves.sum(axis=1), 1)
+
+
+def test_the_start_sees_whole_texts(spark):
+    """Two tongues that stand only behind 4,000 characters have states of their own before any further step."""
+    rng = random.Random(6)
+    tongues = [[f"{c}{i}" for i in range(40)] for c in "ab"]
+    rows = [(i, " ".join(["same"] * 850 + rng.choices(tongues[i % 2], k=600))) for i in range(150)]
+    held = [r for r in hmm.score(spark.createDataFrame(rows, DOCS), steps=0).collect() if r.held_out]
+    assert sum(r.score - r.base_score for r in held) / len(held) > 600 * 0.1
+    texts = spark.createDataFrame(rows, DOCS).selectExpr("text", "doc_id AS row_key")
+    words = hmm.learn_words(spark.createDataFrame([(b"same", 9), *((w.encode(), 5) for t in tongues for w in t)], "word BINARY, c LONG"))
+    counted, expected = [], hmm.expected
+    try:
+        hmm.expected = lambda rows, *rest: counted.extend(r.text for r in rows.collect()) or expected(rows, *rest)
+        hmm.first_pass(texts, words, hmm.shared_folder(spark))
+    finally:
+        hmm.expected = expected
+    assert sorted(counted) == sorted(t for _, t in rows)
