@@ -38,6 +38,7 @@ CACHED_TOKENS = 500_000
 LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
 UNKNOWN = "unknown"
+MAY_BE_NOTICE = re.compile(r"(?i)\blicen[cs]|\bcopyright|\bpublic domain")  # such lines are not for the unknown class
 WORD = re.compile(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
 FOUND = "doc_id long, start long, end long, family string, probability double, similarity double, confirmed boolean"
 
@@ -103,6 +104,10 @@ def notices_of(family: str) -> list[str]:
     return [*NAMES[family], *NOTICES.get(family, [])]
 
 
+def notice_words() -> set[str]:
+    return {w for f in NAMES for t in notices_of(f) for w in words_of(t)} | {"licensed", "license", "licence"}
+
+
 def examples(paragraphs: list[str], seed: int = 5) -> list[tuple[str, str]]:
     """(text, class) for training: varied notices, look-alikes, and paragraphs of the corpus."""
     rng = random.Random(seed)
@@ -195,8 +200,11 @@ class Classifier:
         return found
 
 
-def train(paragraphs: list[str]) -> Classifier:
-    """Fit the classifier; `paragraphs` are those of a bounded sample of the corpus."""
+def train(paragraphs: list[str], counts: tuple[int, dict[str, int]] | None = None) -> Classifier:
+    """Fit the classifier; `paragraphs` are those of a bounded sample of the corpus, `counts` those of all its lines.
+
+    Without `counts` those of the paragraphs tell which notice words are too common to be anchors.
+    """
     rows = examples(paragraphs)
     classes = [*NAMES, UNKNOWN]
     grams = [set(ngrams(words_of(text))) for text, _ in rows]
@@ -224,10 +232,9 @@ def train(paragraphs: list[str]) -> Classifier:
     logits = x[held] @ weights + bias
     loss = lambda t: -np.log(softmax(logits / t)[np.arange(len(logits)), y[held]] + 1e-12).mean()
     temperature = min((0.2, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0), key=loss)
-    common = Counter(w for p in paragraphs for w in set(words_of(p)))
-    rare = max(1, len(paragraphs) // 200)
-    notice_words = {w for f in NAMES for t in notices_of(f) for w in words_of(t)} | {"licensed", "license", "licence"}
-    anchors = frozenset(w for w in notice_words if len(w) > 2 and common[w] <= rare)
+    lines, common = counts or (len(paragraphs), Counter(w for p in paragraphs for w in set(words_of(p))))
+    rare = max(1, lines // 200)
+    anchors = frozenset(w for w in notice_words() if len(w) > 2 and common.get(w, 0) <= rare)
     return Classifier(vocabulary, weights, bias, temperature, classes, anchors)
 
 
@@ -239,8 +246,26 @@ def sample_paragraphs(documents: DataFrame) -> list[str]:
         return []
     texts = rows.where(F.col("key").isin(keys)).groupBy("key").agg(F.first(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).collect()
     lines = [line for r in sorted(texts) for line in r.text.split("\n") if words_of(line)]
-    licence = re.compile(r"(?i)\blicen[cs]|\bcopyright|\bpublic domain")  # may be notices: not for the unknown class
-    return [line for line in lines if not licence.search(line)]
+    return [line for line in lines if not MAY_BE_NOTICE.search(line)]
+
+
+def _count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wanted, counts = notice_words(), Counter()
+    for batch in small_batches(batches, 512):
+        for text in texts_of(batch.column("text")):
+            for line in text.decode("utf-8", "replace").split("\n"):
+                words = set(words_of(line))
+                if words and not MAY_BE_NOTICE.search(line):
+                    counts[""] += 1
+                    counts.update(words & wanted)
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+
+def count_lines(documents: DataFrame) -> tuple[int, dict[str, int]]:
+    """How many lines with words all documents have, but for lines that may be notices, and how many hold each word of notices."""
+    rows = documents.select("text").mapInArrow(_count_lines, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = {r.word: r.n for r in rows.collect()}  # a row per word of notices
+    return counts.pop("", 0), counts
 
 
 def _scan(model):

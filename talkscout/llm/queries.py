@@ -45,7 +45,7 @@ def op4_near_duplicates(spark, sf_dir):
 @query
 def op5_license_scan(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return licenses.license_report(documents, licenses.train(licenses.sample_paragraphs(documents)))
+    return licenses.license_report(documents, licenses.train(licenses.sample_paragraphs(documents), licenses.count_lines(documents)))
 
 
 @query

@@ -51,3 +51,15 @@ def test_defined_cases(spark, model):
     assert [(r.start, r.end) for r in places] == [(500_001, 500_001 + len(notice))]
     assert licenses.license_report(df.limit(0), model).count() == 0
     assert licenses.sample_paragraphs(df.limit(0)) == []
+
+
+def test_all_lines_tell_which_words_are_common(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "SAMPLE_CHARS", 20)
+    tail = "\n".join(["of heon"] * 300 + ["The redistribution of heon", "A redistribution, redistribution!"] * 3 + ["A licence without redistribution", "", " "])
+    rows = [(1, "Anst the ouer\n" + tail), (2, None), (3, "Reed stin\n" + tail)]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    lines, words = licenses.count_lines(df)
+    assert lines == 2 * (1 + 306) and words["redistribution"] == 12 and "licence" not in words
+    assert "redistribution" in licenses.train(licenses.sample_paragraphs(df)).anchors
+    assert "redistribution" not in licenses.train(licenses.sample_paragraphs(df), (lines, words)).anchors
+    assert licenses.count_lines(df.limit(0)) == (0, {})
