@@ -123,3 +123,79 @@ ORACLES["op4_near_duplicates"] = """
         UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
     firsts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
     SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN firsts ON a = doc_id"""
+
+
+def _repair() -> str:
+    # A path is its cost in nine digits and its letters: the least string is the cheapest, then the ASCII-least one.
+    step = lambda cost, letter, path: f"lpad((left({path}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || '{letter}' || substr({path}, 10)"
+    both = lambda path: step(10, "II", path)
+
+    def row(state: int, keeps: dict[str, int], to: int) -> str:
+        keep = " ".join(f"WHEN initial = '{c}' THEN {step('extra', 'K', f's{q}')}" for c, q in keeps.items())
+        return (
+            f"least({step(2, 'D', f's{state}')}, CASE WHEN must_go THEN NULL {keep} END, "
+            f"CASE WHEN NOT must_go THEN {step('extra + 1', 'R', f's{to}')} END) AS b{state}"
+        )
+
+    rows = ", ".join([row(0, {"s": 1, "u": 2}, 2), row(1, {"u": 2}, 2), row(2, {"a": 3}, 3), row(3, {"u": 2}, 2)])
+    inserted = (
+        f"least(b0, {step(5, 'I', 'b2')}, {both('b3')}) AS s0, least(b1, {step(5, 'I', 'b2')}, {both('b3')}) AS s1, "
+        f"least(b2, {step(5, 'I', 'b3')}) AS s2, least(b3, {step(5, 'I', 'b2')}) AS s3"
+    )
+    return f"""
+    WITH RECURSIVE bits AS (
+        SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+        FROM range(256) r(i)),
+    keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+            [4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+        FROM conversations, bits),
+    damaged AS (
+        SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM keyed WHERE kind <> 0),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS initial FROM damaged),
+    marked AS (
+        SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+            lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+        FROM placed),
+    judged AS (
+        SELECT *, is_blank OR again AS must_go, CASE WHEN cut AND NOT is_blank AND NOT again THEN 5 ELSE 0 END AS extra FROM marked),
+    facts AS (
+        SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (is_blank) AS blank, count(*) FILTER (again AND NOT is_blank) AS duplicate,
+            count(*) FILTER (extra > 0) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM judged GROUP BY conv_id),
+    paths AS (
+        SELECT conv_id, n + 1 AS i, '000000000' AS s0, '000000010II' AS s1, '000000005I' AS s2, '000000000' AS s3 FROM facts
+        UNION ALL
+        SELECT conv_id, i, {inserted} FROM (
+            SELECT p.conv_id, j.i, {rows} FROM paths p JOIN judged j ON p.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = p.i - 1)),
+    best AS (SELECT conv_id, left(s0, 9)::BIGINT AS cost, substr(s0, 10) AS audit FROM paths WHERE i = 1),
+    letters AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j, audit[j] AS letter FROM best),
+    edits AS (
+        SELECT conv_id, j, letter, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS k
+        FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+    lines AS (
+        SELECT e.conv_id, e.j, e.k, e.letter, r.role, CASE WHEN e.letter = 'I' THEN '' ELSE r.text END AS text,
+            max(CASE WHEN e.k = 1 AND e.letter = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS head
+        FROM edits e LEFT JOIN judged r ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.i = r.i WHERE e.letter <> 'D'),
+    texts AS (
+        SELECT conv_id, count(*) AS kept, string_agg(
+            CASE WHEN letter = 'K' THEN role WHEN (k - head) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS t
+        FROM lines GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(f.gaps, 0)::BIGINT AS gaps, coalesce(f.blank, 0)::BIGINT AS blank, coalesce(f.duplicate, 0)::BIGINT AS duplicate,
+        coalesce(f.truncated, 0)::BIGINT AS truncated, coalesce(f.illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+        coalesce(b.audit, '') AS audit, sha256(coalesce(t.t, '')) AS repaired_sha256, coalesce(f.n, 0)::BIGINT AS n_turns, coalesce(t.kept, 0)::BIGINT AS kept
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN facts f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+    LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+    LEFT JOIN texts t ON c.conv_id IS NOT DISTINCT FROM t.conv_id"""
+
+
+ORACLES["op11_conversation_repair"] = _repair()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import chat, hmm, licenses, neardup, packing, pieces, quality, tokencounts, topk, toxicity, warc
+from talkscout.llm import chat, hmm, licenses, neardup, packing, pieces, quality, repair, tokencounts, topk, toxicity, warc
 from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
@@ -74,6 +74,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return repair.repaired(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op12_token_counts(spark, sf_dir):
     return tokencounts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
