@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from talkscout.llm import chat, hmm, licenses, neardup, packing, pieces, quality, repair, tokencounts, topk, toxicity, warc
+from talkscout.llm import chat, hmm, licenses, neardup, packing, periodic, pieces, quality, repair, tokencounts, topk, toxicity, warc
 from talkscout.llm.shared import shared_folder
 
 QUERIES = {}
@@ -82,3 +82,8 @@ def op11_conversation_repair(spark, sf_dir):
 @query
 def op12_token_counts(spark, sf_dir):
     return tokencounts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
