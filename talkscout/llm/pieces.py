@@ -14,6 +14,7 @@ gives one row, repeated ones too; texts of any length are encoded whole; other c
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -203,6 +204,12 @@ class PieceModel:
             return data.decode("utf-8", "one-by-one")
 
 
+@functools.cache
+def piece_model(path: str) -> PieceModel:
+    """One model for all tasks of a worker process, with the runs it remembers."""
+    return PieceModel(path)
+
+
 def _one_by_one(error):
     return "�", error.start + 1
 
@@ -220,7 +227,7 @@ def digest_partition(path: str):
     """The function for `mapInArrow` over (doc_id, text): counts and digests of ids and decoded texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(path)
+        model = piece_model(path)
         names = {i: str(i) for i in range(len(model.as_bytes))}
         for batch in small_batches(batches, 512):
             counts, ids_digests, text_digests = [], [], []
@@ -242,7 +249,7 @@ def encode_partition(path: str):
     """The function for `mapInArrow` over (doc_id, text): the ids themselves and the decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(path)
+        model = piece_model(path)
         for batch in small_batches(batches, 256):
             ids = [[*model.encode(t.decode("utf-8", "replace")), model.end] for t in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
