@@ -18,12 +18,14 @@ from __future__ import annotations
 import bisect
 import functools
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -34,19 +36,69 @@ END_ID = 2
 POOL_TOKENS = 1 << 20
 STEP_TOKENS = 16 * 4096
 CACHED_WORDS = 800_000
+CACHED_MARKS = 50_000
+#: Latin letters that normalisation leaves alone and that have one lower-case form, and ASCII signs but the apostrophe.
+PLAIN = "^(?P<letters>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
 )
 
 
+def _byte_of_sign() -> dict[str, int]:
+    """The byte that a sign of a byte-level vocabulary stands for: printable ones themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
+
+
+class LetterEncoder:
+    """Ids of many words of lower-case letters in one call.
+
+    The words' merges, ordered as the tokenizer orders them, are given to a byte-pair encoder that has
+    no end of word. A `!` behind each word stands for it, and joins the last byte before all else.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        suffix, signs = model["end_of_word_suffix"], _byte_of_sign()
+
+        def as_bytes(token: str) -> bytes:
+            body = token.removesuffix(suffix)
+            return bytes(map(signs.__getitem__, body)) + (b"!" if body != token else b"")
+
+        ids = {sign: model["vocab"][sign] for sign in signs}
+        ranks = {bytes([b]): b for b in range(256)}
+        ranks.update({bytes([b]) + b"!": 256 + b for b in range(256)})
+        self.ids = np.zeros(512 + len(model["merges"]), np.uint32)
+        for sign, b in signs.items():
+            self.ids[b], self.ids[256 + b] = ids[sign], model["vocab"][sign + suffix]
+        for i, merge in enumerate(model["merges"]):
+            token = "".join(merge.split(" ") if isinstance(merge, str) else merge)
+            joined = as_bytes(token)
+            if joined not in ranks and b"!" not in joined[:-1]:
+                ranks[joined] = 512 + i
+                self.ids[512 + i] = model["vocab"][token]
+        self.closes = np.zeros(len(self.ids), bool)
+        self.closes[[i for token, i in ranks.items() if token.endswith(b"!")]] = True
+        self.encoding = tiktoken.Encoding("letters", pat_str="[^ ]+", mergeable_ranks=ranks, special_tokens={})
+
+    def parts(self, text: str) -> tuple[bytes, np.ndarray]:
+        """Ids of `word! word!`, and the places behind each word's last."""
+        found = self.encoding.encode_to_numpy(text)
+        return self.ids[found].astype("<u4").tobytes(), np.flatnonzero(self.closes[found]) + 1
+
+
 class WordEncoder:
     """Ids of a text as little-endian 32-bit numbers, by the ids of its words.
 
     The tokenizer drops white space and never joins across it, so words between ASCII white
-    space are encoded on their own and remembered. It lower-cases, and parts letters from
-    marks; so a word of letters, with a full stop or comma behind or not, is remembered by
-    its lower-case letters too.
+    space are encoded on their own and remembered. It lower-cases, and parts letters from marks; so
+    words of Latin letters, with ASCII signs behind or not, are encoded many at a time; signs and all
+    other words by the tokenizer itself.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -54,53 +106,38 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = LetterEncoder(path)
         self.end = np.array([end_id], "<u4").tobytes()
-        size = self.tokenizer.get_vocab_size()
-        self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.marks = {mark: self._ids([mark])[0] for mark in (".", ",", "")}
         self.known: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _letter_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters: encoded in one go, parted behind each id that ends a word."""
-        found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
-        ids = np.array(found.ids, "<u4")
-        ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
-        if len(ends) != len(words):
-            return self._ids(words)
-        data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
-        return [data[a:b] for a, b in zip(starts, ends.tolist(), strict=True)]
-
     def learn(self, words: set[bytes]) -> None:
         new = words - self.known.keys()
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known, new = {}, words
-        if len(self.letters) > CACHED_WORDS // 2:
-            self.letters = {}
-        plain, stems, marks, odd = [], [], [], []  # lists of strings, which the garbage collector need not follow
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            mark = text[-1] if text[-1] in ".," else ""
-            stem = (text[:-1] if mark else text).lower()
-            if stem.isalpha() and "\u03a3" not in text:  # capital sigma has two lower-case forms
-                plain.append(word)
-                stems.append(stem)
-                marks.append(mark)
-            else:
-                odd.append(word)
-        letters = self.letters
-        unknown = list(set(stems) - letters.keys())
-        for start in range(0, len(unknown), 1000):
-            part = unknown[start : start + 1000]
-            letters.update(zip(part, self._letter_ids(part), strict=True))
-        known, ends = self.known, self.marks
-        for word, stem, mark in zip(plain, stems, marks, strict=True):
-            known[word] = letters[stem] + ends[mark] if mark else letters[stem]
-        known.update(zip(odd, self._ids([word.decode("utf-8", "replace") for word in odd]), strict=True))
+        if not new:
+            return
+        all_new = pa.array(list(new), pa.binary())
+        parts = pc.extract_regex(all_new.view(pa.string()), PLAIN)
+        plain = parts.is_valid()
+        odd = all_new.filter(pc.invert(plain)).to_pylist()
+        self.known.update(zip(odd, self._ids([word.decode("utf-8", "replace") for word in odd]), strict=True))
+        parts = parts.filter(plain)
+        if not len(parts):
+            return
+        marks = pc.struct_field(parts, "marks").to_pylist()
+        unknown = list(set(marks) - self.marks.keys())
+        self.marks.update(zip(unknown, self._ids(unknown), strict=True))
+        data, ends = self.letters.parts("! ".join(pc.utf8_lower(pc.struct_field(parts, "letters")).to_pylist()) + "!")
+        ends = (4 * ends).tolist()
+        ids = [data[a:b] + self.marks[mark] for a, b, mark in zip([0, *ends[:-1]], ends, marks, strict=True)]
+        self.known.update(zip(all_new.filter(plain).to_pylist(), ids, strict=True))
+        if len(self.marks) > CACHED_MARKS:
+            self.marks = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]

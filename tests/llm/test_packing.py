@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from talkscout.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-parts = st.sampled_from(["a", "The", "ing", " ", "  ", ".", ",", "'s", "don't", "<|endoftext|>", "<|ENDOFTEXT|>", "é", "É", "é", "́", "Σ", "ß", "İ", "中", "1", "2024", " ", "\x85", "\n", "ﬁ", "foo."])
+parts = st.sampled_from(["a", "The", "ing", " ", "  ", ".", ",", "'s", "don't", "<|endoftext|>", "<|ENDOFTEXT|>", "é", "É", "é", "́", "Σ", "ß", "İ", "中", "1", "2024", " ", "\x85", "\n", "ﬁ", "foo.", "IN!!", "x&&&", "&", "a!b", "Ñandú***", "it'", "_", "thering", "endof", "w<|endoftext|>", "ÿŸ"])
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +59,21 @@ def check(rows, got, library):
     return padding, windows
 
 
+def test_letter_encoder_knows_every_token_of_letters(encoder, library):
+    words = sorted(t.removesuffix("</w>") for t in library.get_vocab() if t.endswith("</w>"))
+    words = [w.encode() for w in words if w.isascii() and w.isalpha()]
+    assert len(words) > 20_000
+    encoder.learn(set(words))
+    for word, found in zip(words, library.encode_batch([w.decode() for w in words], add_special_tokens=False), strict=True):
+        assert encoder.known[word] == np.array(found.ids, "<u4").tobytes()
+
+
+def test_letter_encoder_on_the_documents(spark, encoder, library):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    want = [np.array([*x.ids, 2], "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode([t.encode() for t in texts]) == want
+
+
 def test_pieces(spark, library):
     rng = np.random.default_rng(2)
     rows = [(i, " ".join(rng.choice(["anst", "the", "ouer,", "of"], n))) for i, n in enumerate(rng.integers(0, 9000, 120))]
