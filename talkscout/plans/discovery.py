@@ -18,6 +18,9 @@ from talkscout.sources.manifest import DEFAULT_CRAWL, EmptyManifest, file_key, s
 from talkscout.sources.url_index import read_url_index
 from talkscout.sources.wat import read_wat_records
 
+#: Scans files (addresses, the group's file rows) into a batch.
+Scan = Callable[[Sequence[str], DataFrame, str], None]
+
 _FILE_ROWS = pa.schema(
     [("partition_idx", pa.int64()), ("partition_url", pa.string()), ("suspicious", pa.bool_()), ("error", pa.string())]
 )
@@ -62,12 +65,13 @@ def run_waves(
         raise EmptyManifest("no matching files in manifest")
 
 
-def _wave_files(spark: SparkSession, rows: Sequence[Row], failed: dict[str, str]) -> DataFrame:
+def wave_files(spark: SparkSession, rows: Sequence[Row], failed: dict[str, str]) -> DataFrame:
     """File rows with their `file` key and error, as a local relation.
 
     The planner knows its size: a short list is joined by broadcast, a long one by shuffle.
     """
-    table = pa.Table.from_pylist([{**r.asDict(), "error": failed.get(r.partition_url)} for r in rows], _FILE_ROWS)
+    named = [{**r.asDict(), "error": failed.get(r["partition_url"])} for r in rows]
+    table = pa.Table.from_pylist([{n: r[n] for n in _FILE_ROWS.names} for r in named], _FILE_ROWS)
     return spark.createDataFrame(table).withColumn("file", file_key(F.col("partition_url")))
 
 
@@ -112,18 +116,27 @@ class _Run:
     def __init__(self, store: Store):
         self.store, self.batches, self.failed, self.read = store, [], {}, 0
 
-    def wave(self, rows: Sequence[Row], names: Sequence[str], scan: Callable[[Sequence[str], DataFrame, str], None]):
+    def wave(self, rows: Sequence[Row], names: Sequence[str], scan: Scan):
         """Scan a wave's files; returns their rows and the batches written."""
-        files = _wave_files(self.store.spark, rows, {})
-        batches = self.store.new_batches(2 * len(names) + 1)
-        parts, failed = scan_readable(names, lambda paths, part: scan(paths, files, batches[part]))
+        files, batches, failed = scan_group(self.store, rows, names, self.store.new_batches(2 * len(names) + 1), scan)
         if failed and len(failed) == len(names) and (len(names) > 1 or not self.read):
             raise UnreadableWave(f"none of {len(names)} files could be read, the first one: {next(iter(failed.items()))}")
         self.read += len(names) - len(failed)
         self.failed.update(failed)
-        batches = batches[: max(parts, 1)]
         self.batches += batches
-        return _wave_files(self.store.spark, rows, failed), batches
+        return files, batches
+
+
+def scan_group(
+    store: Store, rows: Sequence[Row], names: Sequence[str], batches: Sequence[str], scan: Scan
+) -> tuple[DataFrame, list[str], dict[str, str]]:
+    """Scan files of a group, each readable one into exactly one of the batches.
+
+    Returns the files' rows with their errors, the batches written, and the unreadable files with the error.
+    """
+    files = wave_files(store.spark, rows, {})
+    parts, failed = scan_readable(names, lambda paths, part: scan(paths, files, batches[part]))
+    return wave_files(store.spark, rows, failed), list(batches[: max(parts, 1)]), failed
 
 
 def discover_wordpress(
@@ -145,15 +158,15 @@ def discover_wordpress(
     run, progress = _Run(store), "wp_scan_progress"
     waves = []
 
-    def scan(paths, wave_files, batch):
+    def scan(paths, listed, batch):
         winners = wordpress.winners_per_partition(wordpress.candidate_rows(read_url_index(store.spark, paths), "file"), "file")
-        store.append("wp_candidates", by_partition(winners, wave_files), batch)
+        store.append("wp_candidates", by_partition(winners, listed), batch)
 
     for rows in run_waves(store, files, progress, crawl, partitions, resume, retry_failed, files_per_wave):
-        wave_files, batches = run.wave(rows, [r.partition_url for r in rows if not r.suspicious], scan)
+        read, batches = run.wave(rows, [r.partition_url for r in rows if not r.suspicious], scan)
         if record_progress:
             counts = found_per_file(_first_of(store, batches).withColumnRenamed("partition_idx", "ordinal"))
-            save_progress(store, progress, wave_files, counts, crawl, batches[0])
+            save_progress(store, progress, read, counts, crawl, batches[0])
         store.commit(batches)
         waves.append(batches[0])
     found = _first_of(store, run.batches)
@@ -172,6 +185,16 @@ def _first_of(store: Store, batches: Sequence[str]) -> DataFrame:
     return wordpress.first_per_domain(written, "ordinal").withColumnRenamed("ordinal", "partition_idx")
 
 
+def disqus_scan(store: Store, scripts_path: Sequence[str], links_path: Sequence[str]) -> Scan:
+    """Scans crawl-record files into batches of `disqus_candidates`."""
+
+    def scan(paths, listed, batch):
+        hits = disqus.record_hits(read_wat_records(store.spark, paths), scripts_path, links_path)
+        store.append("disqus_candidates", by_partition(disqus.scan_winners(hits), listed), batch)
+
+    return scan
+
+
 def discover_disqus(
     store: Store,
     files: DataFrame,
@@ -187,16 +210,11 @@ def discover_disqus(
 
     Results and progress are committed wave by wave.
     """
-    run, progress = _Run(store), "disqus_scan_progress"
-
-    def scan(paths, wave_files, batch):
-        hits = disqus.record_hits(read_wat_records(store.spark, paths), scripts_path, links_path)
-        store.append("disqus_candidates", by_partition(disqus.scan_winners(hits), wave_files), batch)
-
+    run, progress, scan = _Run(store), "disqus_scan_progress", disqus_scan(store, scripts_path, links_path)
     for rows in run_waves(store, files, progress, crawl, partitions, resume, retry_failed, files_per_wave):
-        wave_files, batches = run.wave(rows, [r.partition_url for r in rows], scan)
-        wave_files = wave_files.withColumn("suspicious", F.lit(False))  # these files are read all the same
-        save_progress(store, progress, wave_files, found_per_file(store.batches("disqus_candidates", batches)), crawl, batches[0])
+        read, batches = run.wave(rows, [r.partition_url for r in rows], scan)
+        read = read.withColumn("suspicious", F.lit(False))  # these files are read all the same
+        save_progress(store, progress, read, found_per_file(store.batches("disqus_candidates", batches)), crawl, batches[0])
         store.commit(batches)
     written = store.batches("disqus_candidates", run.batches)
     first = disqus.first_per_domain(written, "ordinal", ()).withColumnRenamed("ordinal", "partition_idx")

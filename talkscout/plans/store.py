@@ -1,25 +1,34 @@
 """Result tables on shared storage.
 
-Each table is a Parquet log partitioned by batch. A batch has an id of its own (of a run or
-of a stream's micro-batch) and is written with dynamic partition overwrite, so a repeated batch
-replaces only itself. Readers see it once it is in the commit log, which is written last. All
-tables of a batch thus appear together, and what a lost run left behind stays invisible.
+Each table is a log of batches and, once it was compacted, a snapshot of its current rows. A batch has an
+id of its own (of a run, or of a stream's micro-batch) and its own folder below each table it has rows for, so a
+repeated batch replaces only itself. Readers see it once it is in the commit log, which is written last.
+All tables of a batch thus appear together, and what a lost run left behind stays invisible.
 
 The commit log numbers batches in the order of their first commit; that order, not a clock
-or an id, says which row of a key is the first or the last. One driver commits at a time; of two
-that commit at once, batches with equal numbers are ordered by id.
+or an id, says which row of a key is the first or the last. Drivers may commit at the same moment: a
+commit takes its number by creating that number's file, so all of them see one order. Batches committed
+as a series (the micro-batches of a stream) have one place in that order, the first one's, and inside it the
+partition decides, so that it does not matter in which order files arrived.
+
+A snapshot holds one row per key in folders by a hash of the key, with the row's place in the history. `compact` merges
+the batches committed since into the folders whose keys they have, and leaves the others as
+they are. A reader takes the snapshot as it is, without a shuffle, and looks at its keys only for the batches since. `vacuum` deletes
+what no reader needs any more.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkscout.operators.tables import first_wins, last_wins
+from talkscout.plans.commits import CommitLog, SharedFiles
 
 _SCAN_PROGRESS = (
     "crawl STRING, partition_idx BIGINT, partition_url STRING, candidates_found BIGINT, scanned_at TIMESTAMP, "
@@ -50,7 +59,31 @@ KEYS = {
 }
 
 _INSERT_OR_IGNORE = ("wp_candidates", "disqus_candidates")
-_COMMITS = "batch_id STRING, seq BIGINT, compacted STRING"
+# A row's place: number of its batch, of the series its batch belongs to, and its own in the batch.
+_PLACE_DDL = "seq BIGINT, run BIGINT, ordinal BIGINT"
+_PLACE = ("seq", "run", "ordinal")
+_BATCHES = pa.schema([("batch_id", pa.string()), ("seq", pa.int64()), ("run", pa.int64())])
+
+# Batches of one commit that can be told apart by number.
+_BATCH_BITS = 24
+
+#: Folders of a snapshot. A folder is what one task merges, so a larger table wants more.
+BUCKETS = 32
+#: A superseded folder may still be read by jobs that began before; it is kept this long.
+GRACE_SECONDS = 7 * 24 * 3600.0
+
+
+class Snapshot(NamedTuple):
+    """Current rows of a table after the commits up to `upto`, those `skipped` left out: folder by bucket."""
+
+    number: int
+    upto: int
+    skipped: frozenset[int]
+    buckets: int
+    folders: dict[int, str]
+
+    def covers(self, number: int) -> bool:
+        return number <= self.upto and number not in self.skipped
 
 
 def _names(ddl: str) -> list[str]:
@@ -60,9 +93,14 @@ def _names(ddl: str) -> list[str]:
 class Store:
     """Tables below one root folder that all executors can reach."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.files = SharedFiles(spark, self.root)
+        self.commits = CommitLog(self.files, f"{self.root}/commits")
+
+    # --- writing ---
 
     def new_batches(self, count: int = 1) -> list[str]:
         """Unused batch ids."""
@@ -72,64 +110,163 @@ class Store:
     def append(self, table: str, rows: DataFrame, batch_id: str) -> None:
         """Write the rows of one batch: the table's columns and `ordinal`. Not visible yet."""
         columns = ["ordinal", *_names(TABLES[table])]
-        (
-            rows.select(*columns, F.lit(batch_id).alias("batch_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(f"{self.root}/{table}")
-        )
-
-    def commit(self, batch_ids: Sequence[str], compacted: str | None = None) -> None:
-        """Make batches visible, all at once, in the given order behind all committed before.
-
-        `compacted` names the one table whose earlier batches the batch stands for.
+        rows.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+
+    def commit(self, batch_ids: Sequence[str], series: str | None = None) -> int:
+        """Make batches visible, all at once, in the given order behind all committed before; returns the commit's number.
+
+        Batches of one `series` count as committed with its first one, in the order of their rows' `ordinal`.
         """
-        last = self._commits().agg(F.max("seq")).first()[0]
-        first = 0 if last is None else last + 1
-        rows = [(batch, first + i, compacted) for i, batch in enumerate(batch_ids)]
-        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-
-    def _read(self, table: str, ddl: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(ddl).parquet(f"{self.root}/{table}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], ddl)
+        return self.commits.append({"batches": list(batch_ids), "series": series})
+
+    def is_committed(self, batch_id: str) -> bool:
+        return any(batch_id in commit.get("batches", ()) for commit in self.commits.commits().values())
+
+    # --- reading ---
 
-    def _commits(self) -> DataFrame:
-        return self._read("commits", _COMMITS)
+    def _places(self, commits: dict[int, dict]) -> dict[str, tuple[int, int, int]]:
+        """(seq, run, number of the commit) of each committed batch, by its first commit."""
+        places, series = {}, {}
+        for number, commit in commits.items():
+            for i, batch in enumerate(commit.get("batches", ())):
+                seq, name = number << _BATCH_BITS | i, commit["series"]
+                run = series.setdefault(name, seq) if name else seq
+                places.setdefault(batch, (seq, run, number))
+        return places
 
-    def _log_rows(self, table: str) -> DataFrame:
-        return self._read(table, f"ordinal BIGINT, {TABLES[table]}, batch_id STRING")
+    def _snapshot(self, table: str, commits: dict[int, dict]) -> Snapshot | None:
+        """The table's snapshot that covers most."""
+        found = [
+            Snapshot(n, c["upto"], frozenset(c["skipped"]), c["buckets"], {int(k): v for k, v in c["folders"].items()})
+            for n, c in commits.items()
+            if c.get("snapshot") == table
+        ]
+        return max(found, key=lambda s: (s.upto, s.number), default=None)
+
+    def _batch_rows(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
+        """Rows of the given batches, as far as they have any for the table."""
+        names = {f"batch_id={batch}" for batch in batch_ids}
+        paths = [f"{self.root}/{table}/{e.name}" for e in self.files.entries(f"{self.root}/{table}") if e.name in names]
+        ddl = f"ordinal BIGINT, {TABLES[table]}, batch_id STRING"
+        if not paths:
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).option("basePath", f"{self.root}/{table}").parquet(*paths)
 
     def batches(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
         """Rows of the given batches, committed or not."""
-        log = self._log_rows(table)
-        return log.where(log.batch_id.isin(*batch_ids))
+        return self._batch_rows(table, batch_ids)
+
+    def _parts(self, table: str, commits: dict[int, dict]) -> tuple[Snapshot | None, DataFrame | None]:
+        """The snapshot, and the rows of batches it doesn't cover with their places, if there are such batches."""
+        snapshot = self._snapshot(table, commits)
+        places = self._places(commits)
+        since = [(b, seq, run) for b, (seq, run, n) in places.items() if snapshot is None or not snapshot.covers(n)]
+        if snapshot is not None and not since:
+            return snapshot, None
+        rows = [dict(zip(_BATCHES.names, row, strict=True)) for row in since]
+        known = self.spark.createDataFrame(pa.Table.from_pylist(rows, _BATCHES))
+        # The list has a row of three short fields for each batch since the snapshot.
+        return snapshot, self._batch_rows(table, [b for b, *_ in since]).join(known, "batch_id")
+
+    def _snapshot_rows(self, table: str, snapshot: Snapshot, buckets: Sequence[int] | None = None) -> DataFrame:
+        ddl = f"{_PLACE_DDL}, {TABLES[table]}"
+        kept = [k for k in sorted(snapshot.folders) if buckets is None or k in buckets]
+        paths = [f"{self.root}/snapshots/{table}/{snapshot.folders[k]}/bucket={k}" for k in kept]
+        return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
+
+    def _best(self, table: str, rows: DataFrame, *more: str) -> DataFrame:
+        """One row per key, the first or the last, with its place; `more` are columns that the key decides."""
+        pick, order = (F.min, ("run", "ordinal", "seq")) if table in _INSERT_OR_IGNORE else (F.max, ("seq", "ordinal", "run"))
+        keys, columns = KEYS[table], _names(TABLES[table])
+        row = pick(F.struct(*order, *(c for c in columns if c not in keys))).alias("row")
+        found = rows.groupBy(*more, *keys).agg(row)
+        return found.select(*more, *(f"row.{c}" for c in _PLACE), *(c if c in keys else f"row.{c}" for c in columns))
 
     def log(self, table: str) -> DataFrame:
-        """All rows of a table that are visible, with `seq`, `batch_id` and `ordinal`, their place in its history."""
-        commits = self._commits()
-        newest = commits.where(F.col("compacted") == table).agg(F.max("seq")).first()[0]
-        if newest is not None:  # a batch keeps the number of its first commit
-            commits = commits.where((F.col("seq") > newest) | ((F.col("seq") == newest) & (F.col("compacted") == table)))
-            earlier = self._commits().where(F.col("seq") < newest).select("batch_id")
-            commits = commits.join(earlier, "batch_id", "left_anti")
-        places = commits.groupBy("batch_id").agg(F.min("seq").alias("seq"))
-        return self._log_rows(table).join(places, "batch_id")
+        """All rows of a table that are visible, with their place in its history; of a snapshot, the rows it kept."""
+        snapshot, since = self._parts(table, self.commits.commits())
+        columns = [*_PLACE, *_names(TABLES[table]), "batch_id"]
+        if snapshot is None:
+            return since.select(*columns)
+        rows = self._snapshot_rows(table, snapshot).withColumn("batch_id", F.lit(f"snapshot-{snapshot.number}"))
+        return rows.select(*columns) if since is None else rows.select(*columns).unionByName(since.select(*columns))
 
     def table(self, name: str) -> DataFrame:
         """Current rows of a table, one per key."""
-        view = first_wins if name in _INSERT_OR_IGNORE else last_wins
-        return view(self.log(name), KEYS[name], _names(TABLES[name]), ("seq", "batch_id", "ordinal"))
+        columns = _names(TABLES[name])
+        return self._current(name, *self._parts(name, self.commits.commits())).select(*columns)
+
+    def _current(self, name: str, snapshot: Snapshot | None, since: DataFrame | None) -> DataFrame:
+        if snapshot is None:
+            return self._best(name, since)
+        rows = self._snapshot_rows(name, snapshot)
+        if since is None:
+            return rows
+        # Only keys of the batches since are looked at again; the others pass as they are.
+        new = self._best(name, since)
+        met = _same_keys(rows, new, KEYS[name], "left_semi")
+        rest = _same_keys(rows, new, KEYS[name], "left_anti")
+        return rest.unionByName(self._best(name, met.unionByName(new)))
+
+    # --- upkeep ---
 
     def compact(self, name: str) -> None:
-        """Write the current rows of a table as one batch that stands for all committed before.
+        """Merge the batches committed so far into the table's snapshot.
+
+        Others may commit and compact meanwhile: what they commit is not in this snapshot and is read
+        beside it, and of two snapshots the one that covers more counts.
+        """
+        commits = self.commits.commits()
+        upto = max(commits, default=-1)
+        snapshot, since = self._parts(name, commits)
+        if since is None:
+            return
+        buckets = snapshot.buckets if snapshot else self.buckets
+        bucket = F.pmod(F.xxhash64(*KEYS[name]), F.lit(buckets)).cast("int")
+        new = self._best(name, since)
+        if snapshot:
+            touched = [r.bucket for r in since.select(bucket.alias("bucket")).distinct().collect()]  # at most `buckets`
+            new = self._snapshot_rows(name, snapshot, touched).unionByName(new)
+        folder = uuid.uuid4().hex
+        path = f"{self.root}/snapshots/{name}/{folder}"
+        # Dealt by bucket, the rows of a key are together: the aggregation takes no further shuffle.
+        placed = new.withColumn("bucket", bucket).repartition(buckets, "bucket")
+        self._best(name, placed, "bucket").write.partitionBy("bucket").parquet(path)
+        written = {int(e.name.removeprefix("bucket=")): folder for e in self.files.entries(path) if e.name.startswith("bucket=")}
+        skipped = sorted(set(range(upto + 1)) - commits.keys())
+        folders = {**(snapshot.folders if snapshot else {}), **written}
+        self.commits.append({"snapshot": name, "upto": upto, "skipped": skipped, "buckets": buckets, "folders": folders})
 
-        Readers then take that batch and later ones only; a run must not commit meanwhile.
+    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> list[str]:
+        """Delete folders that nothing refers to any more and that are older than the grace time; returns their names.
+
+        These are batches that a snapshot stands for, batches never committed, folders of earlier snapshots, and what
+        runs and streams wrote down for themselves. The grace time must be longer than any run, stream or reading job.
         """
-        (batch,) = self.new_batches()
-        self.append(name, self.table(name).withColumn("ordinal", F.lit(0).cast("bigint")), batch)
-        self.commit([batch], compacted=name)
+        limit = time.time() * 1000 - grace_seconds * 1000
+        commits = self.commits.commits()
+        places = self._places(commits)
+        old: list[str] = []
+        for table in TABLES:
+            snapshot = self._snapshot(table, commits)
+            settled = snapshot is not None and self.commits.changed(snapshot.number) <= limit
+            kept = {b for b, (_, _, n) in places.items() if not (settled and snapshot.covers(n))}
+            old += [f"{table}/{e.name}" for e in self.files.entries(f"{self.root}/{table}") if e.name.removeprefix("batch_id=") not in kept]
+            if settled:
+                used = set(snapshot.folders.values())
+                old += [f"snapshots/{table}/{e.name}" for e in self.files.entries(f"{self.root}/snapshots/{table}") if e.name not in used]
+        for kind in ("selections", "scanned"):
+            old += [f"{kind}/{e.name}" for e in self.files.entries(f"{self.root}/{kind}")]
+        gone = [name for name in old if self.files.changed(f"{self.root}/{name}") <= limit]
+        for name in gone:
+            self.files.delete(f"{self.root}/{name}")
+        return gone
+
+
+def _same_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows whose key is, or isn't, among the others'; null keys are equal."""
+    a, b = rows.alias("a"), other.select(*keys).alias("b")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.equal_null(F.col(f"a.{key}"), F.col(f"b.{key}"))
+    return a.join(b, same, how)

@@ -1,13 +1,17 @@
 """Disqus discovery over arriving crawl-record files.
 
-Structured Streaming keeps track of which files were read; each micro-batch is written
-and committed under the stream's id and its own number, so a batch that is repeated after a
-failure replaces itself, and only itself, and a restart goes on with the next files. Partition numbers come from the
-manifest, since files arrive in any order.
+Structured Streaming keeps track of which files have come; which ones a micro-batch stands for is read
+from the stream's checkpoint. They are scanned as a wave is, so an unreadable file is left out and
+recorded as failed while the others are committed, and a file without a byte is recorded as empty. The batches of a
+micro-batch are written and committed under the stream's id and its own number, so one that is repeated after a failure
+replaces itself, and only itself, and a restart goes on with the next files. Partition numbers come from the
+manifest, since files arrive in any order; all micro-batches of a stream are one series of the store, so that the first
+row of a domain is that of the lowest partition, whenever it came.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,14 +19,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
-from talkscout.operators.disqus import record_hits, scan_winners_and_files
-from talkscout.plans.discovery import by_partition, found_per_file, save_progress
+from talkscout.plans.discovery import disqus_scan, found_per_file, save_progress, scan_group
 from talkscout.plans.store import Store
-from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key, scanned_file_key
-from talkscout.sources.wat import RECORD_BREAK, located, records
+from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key
 
 FILES_PER_BATCH = 100
 
+_FILE_ENTRY = "path STRING, timestamp BIGINT, batchId BIGINT"
+
+
+def files_of_batch(store: Store, checkpoint: str, number: int) -> DataFrame:
+    """The files of a micro-batch, empty and vanished ones too, by the stream's own record: (path), percent-encoded.
+
+    The checkpoint holds the offset up to which each micro-batch goes, and for each offset the files it stands for.
+    """
+
+    def offset(batch: int) -> int:
+        return json.loads(store.files.read(f"{checkpoint}/offsets/{batch}").splitlines()[-1])["logOffset"]
+
+    first, last = (offset(number - 1) if number else -1), offset(number)
+    log = store.spark.read.text(f"{checkpoint}/sources/0")
+    entry = log.where(F.col("value").startswith("{")).select(F.from_json("value", _FILE_ENTRY).alias("e")).select("e.*")
+    return entry.where((F.col("batchId") > first) & (F.col("batchId") <= last)).select("path").distinct()
+
 
 def stream_disqus(
     store: Store,
@@ -39,19 +58,18 @@ def stream_disqus(
 
     `files` is the manifest selection, written once; files it does not list are left out. Files
     count as new whatever their age: by default Spark passes over those a week older than the
-    newest one. `files_per_batch` only paces the work. A file without any byte gives a stream no
-    row and no progress; it stays among the missing partitions, which a wave run records.
+    newest one. `files_per_batch` bounds the names a micro-batch brings to the driver; it paces the work and decides
+    nothing else. A file that has gone or can't be read is recorded as failed, and `discover_disqus` with `retry_failed`
+    takes it again.
     """
     spark = store.spark
     known = files.select("partition_idx", "partition_url", file_key(F.col("partition_url")).alias("file"))
     selection = f"{store.root}/selections/{store.new_batches()[0]}"
     known.write.parquet(selection)
-    known = spark.read.schema(known.schema).parquet(selection).withColumns(
-        {"suspicious": F.lit(False), "error": F.lit(None).cast("string")}
-    )
-    scan = located(
+    known = spark.read.schema(known.schema).parquet(selection)
+    scan = disqus_scan(store, scripts_path, links_path)
+    arrived = (
         spark.readStream.format("text")
-        .option("lineSep", RECORD_BREAK)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*" + suffix)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -59,22 +77,27 @@ def stream_disqus(
         .load(source_dir)
     )
 
-    def save(rows: DataFrame, number: int) -> None:
+    def save(_: DataFrame, number: int) -> None:
         # The id of the query is kept in its checkpoint: a repeated micro-batch has the same name, another stream's has not.
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch = f"{query}-{number:08d}"
-        hits = record_hits(records(rows, keep_files=True), scripts_path, links_path)
-        scanned = f"{store.root}/scanned/{query}"  # the last micro-batch's; read for candidates and for files
-        scan_winners_and_files(hits).write.mode("overwrite").parquet(scanned)
-        winners = spark.read.parquet(scanned)
-        store.append("disqus_candidates", by_partition(winners.where("domain IS NOT NULL"), known), batch)
-        seen = winners.select(scanned_file_key(F.col("file")).alias("file")).distinct()
-        counts = found_per_file(store.batches("disqus_candidates", [batch]))
-        save_progress(store, "disqus_scan_progress", known.join(seen, "file", "left_semi"), counts, crawl, batch)
-        store.commit([batch])
+        name = f"{query}-{number:08d}"
+        path = F.col("path")
+        plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+        listed = files_of_batch(store, checkpoint, number).withColumn("path", plain).withColumn("file", file_key(path))
+        chosen = listed.join(known, "file").select("partition_idx", path.alias("partition_url"), F.lit(False).alias("suspicious"))
+        found = chosen.orderBy("partition_idx", "partition_url").collect()
+        names = [r.partition_url for r in found]
+        batches = [f"{name}-{part:06d}" for part in range(2 * len(names) + 1)]
+        if not found or store.is_committed(batches[0]):
+            return
+        read, written, _ = scan_group(store, found, names, batches, scan)
+        read = read.drop("partition_url").join(known.select("file", "partition_url"), "file")
+        counts = found_per_file(store.batches("disqus_candidates", written))
+        save_progress(store, "disqus_scan_progress", read, counts, crawl, written[0])
+        store.commit(written, series=query)
 
     return (
-        scan.writeStream.foreachBatch(save)
+        arrived.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

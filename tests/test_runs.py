@@ -12,6 +12,7 @@ from talkscout.plans import discovery, verification, waves
 from talkscout.plans.store import Store
 from talkscout.sources.manifest import EmptyManifest, index_files, wat_files
 from talkscout.sources.url_index import INDEX_SCHEMA
+from talkscout.streaming import arrivals
 from talkscout.streaming.arrivals import stream_disqus
 
 
@@ -342,12 +343,61 @@ def test_stream_takes_each_file_once(spark, store, tmp_path):
     missing = tables.missing_partitions(files, store.table("disqus_scan_progress"), "X")
     assert [r.partition_idx for r in missing.collect()] == [3]
     (source / names[3]).write_bytes(b"")
-    run()  # a file without a byte gives no row; a wave run records it
-    discovery.discover_disqus(store, files.where("partition_idx = 3"), "X")
+    run()  # a file without a byte is recorded, too
     assert ("X", 3, 0) in progress(store)
     assert store.log("disqus_candidates").where("domain IS NULL").count() == 0
 
 
+def test_stream_gets_past_unreadable_files(spark, store, tmp_path, monkeypatch):
+    source = tmp_path / "in"
+    source.mkdir()
+    names = [f"{i}.warc.wat.gz" for i in range(6)]
+    files = wat_run_files(spark, source, names)
+    many = [(f"https://m{i}.org/", f"m{i}") for i in range(300)]
+    write_wat(source, names[0], ("https://a.org/0", "a0"))
+    write_wat(source, names[1], *many, cut=200)
+    (source / names[2]).write_bytes(b"")
+    write_wat(source, names[3], ("https://gone.org/", "gone"))
+    (source / names[4]).write_bytes(b"no gzip at all, " * 10)
+    write_wat(source, names[5], ("https://a.org/5", "a5"), ("https://b.org/5", "b5"))
+    scan_group = arrivals.scan_group
+
+    def one_goes(store, rows, paths, *more):
+        (source / names[3]).unlink(missing_ok=True)
+        return scan_group(store, rows, paths, *more)
+
+    monkeypatch.setattr(arrivals, "scan_group", one_goes)
+    query = stream_disqus(store, str(source), files, f"{tmp_path}/state", "X", files_per_batch=6)
+    assert query.awaitTermination(300)
+    assert statuses(store, "disqus_scan_progress") == ["ok", "failed", "empty", "failed", "failed", "ok"]
+    assert candidates(store) == {"a.org": ("a.org", "https://a.org/0", "a0"), "b.org": ("b.org", "https://b.org/5", "b5")}
+    write_wat(source, names[3], ("https://gone.org/", "back"))
+    again = discovery.discover_disqus(store, files.where("partition_idx = 3"), "X")
+    assert not again.failed and statuses(store, "disqus_scan_progress")[3] == "ok"
+
+
+def test_order_of_arrival_does_not_matter(spark, store, tmp_path):
+    """The lowest partition wins over several micro-batches and restarts, and after a compaction between them."""
+    source = tmp_path / "in"
+    source.mkdir()
+    names = [f"{i}.warc.wat.gz" for i in range(4)]
+    files = wat_run_files(spark, source, names)
+    for step, i in enumerate((3, 1, 2, 0)):
+        write_wat(source, names[i], ("https://a.org/%d" % i, f"a{i}"), (f"https://b{i % 2}.org/{i}", f"b{i}"))
+        assert stream_disqus(store, str(source), files, f"{tmp_path}/state", "X", files_per_batch=1).awaitTermination(120)
+        if step == 1:
+            store.compact("disqus_candidates")
+        assert candidates(store)["a.org"][1] == f"https://a.org/{min((3, 1, 2, 0)[: step + 1])}"
+    assert {d: row[2] for d, row in candidates(store).items()} == {"a.org": "a0", "b0.org": "b0", "b1.org": "b1"}
+    store.compact("disqus_candidates")
+    assert {d: row[2] for d, row in candidates(store).items()} == {"a.org": "a0", "b0.org": "b0", "b1.org": "b1"}
+    other = tmp_path / "other"
+    other.mkdir()
+    write_wat(other, names[0], ("https://a.org/other", "other"))  # a later stream doesn't win
+    assert stream_disqus(store, str(other), wat_run_files(spark, other, names), f"{tmp_path}/state2", "Y").awaitTermination(120)
+    assert candidates(store)["a.org"][2] == "a0"
+
+
 def one_stream(spark, store, folder, crawl, *sites):
     folder.mkdir()
     write_wat(folder, "0.warc.wat.gz", *sites)
