@@ -352,6 +352,9 @@ ORACLES["discover_disqus_run"] = (
     f"SELECT {_CANDIDATE} FROM ({_first_hits('domain', 'file_idx, line_no', file_idx=fx.RUNS_OF_64)})"
 )
 ORACLES["incremental_disqus"] = ORACLES["discover_disqus_run"]
+ORACLES["incremental_disqus_batches"] = ORACLES["discover_disqus_run"]
+ORACLES["snapshot_results"] = ORACLES["concurrent_commits"] = ORACLES["upsert_results"]
+ORACLES["snapshot_candidates"] = ORACLES["insert_ignore"]
 ORACLES["two_crawls_stream"] = f"""
     SELECT {_CANDIDATE} FROM (
         SELECT 0 AS crawl, * FROM ({_hits(file_idx=fx.RUNS_OF_64)}) UNION ALL
@@ -379,3 +382,10 @@ ORACLES["discover_and_verify_run"] = f"""
 ORACLES["discover_and_verify_pages"] = f"""
     SELECT domain, post_id::BIGINT AS post_id, 'https://' || domain || '/p' || post_id AS url, 'Title' AS title, post_id::BIGINT AS comment_count_in_sample
     FROM ({_VERIFIED}), (SELECT unnest([1, 2]) AS post_id) WHERE even"""
+ORACLES["stream_outcomes"] = f"""
+    WITH counted AS (
+        SELECT f.partition_idx, count(w.domain) AS n FROM ({_RUN_FILES}) f
+        LEFT JOIN ({_first_hits('file_idx, domain', 'line_no', file_idx=fx.RUNS_OF_64)}) w ON w.file_idx = f.partition_idx GROUP BY 1)
+    SELECT partition_idx, n AS candidates_found, CASE WHEN n = 0 THEN 'empty' ELSE 'ok' END AS status FROM counted UNION ALL
+    SELECT (SELECT max(partition_idx) FROM counted) + i, 0, CASE i WHEN 1 THEN 'failed' WHEN 2 THEN 'empty' ELSE 'missing' END
+    FROM (SELECT unnest([1, 2, 3]) AS i)"""

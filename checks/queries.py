@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -339,9 +340,8 @@ def scan_outcomes(spark, sf_dir):
     return store.table("wp_scan_progress").select("partition_idx", "candidates_found", "status")
 
 
-def _stream(store: Store, folder: str, files: DataFrame, crawl: str) -> None:
-    """All files as one micro-batch, so that the first row is that of the lowest partition."""
-    stream = stream_disqus(store, f"{folder}/wat", files, f"{folder}/progress", crawl, files_per_batch=1_000_000, suffix=".txt.gz")
+def _stream(store: Store, folder: str, files: DataFrame, crawl: str, files_per_batch: int = 1_000_000) -> None:
+    stream = stream_disqus(store, f"{folder}/wat", files, f"{folder}/progress", crawl, files_per_batch=files_per_batch, suffix=".txt.gz")
     stream.awaitTermination()
 
 
@@ -353,6 +353,83 @@ def incremental_disqus(spark, sf_dir):
     return store.table("disqus_candidates")
 
 
+@query
+def incremental_disqus_batches(spark, sf_dir):
+    """Arriving files, three to a micro-batch, in the order of their dates: the lowest partition wins all the same."""
+    store, folder, files = _wat_run(spark, sf_dir)
+    _stream(store, folder, files, "A", files_per_batch=3)
+    return store.table("disqus_candidates")
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """Statuses of a stream, three files to a micro-batch, over a crawl with a broken file, an empty one and one that never comes."""
+    folder = new_folder(spark)
+    manifest = read_manifest(spark, write_wat_files(fx.spark_sql(spark, sf_dir, fx.wat_lines(fx.PAGES, fx.RUNS_OF_64)), folder))
+    store = Store(spark, f"{folder}/store")
+    for name, text in (("part=zz1/0.txt.gz", "no gzip at all, " * 10), ("part=zz2/0.txt.gz", ""), ("part=zz3/0.txt.gz", None)):
+        manifest = manifest.union(spark.range(1).select(F.lit(name)))
+        if text is not None:
+            store.files.create(f"{folder}/wat/{name}", text)
+    files = wat_files(manifest, f"{folder}/wat/", ".txt.gz")
+    _stream(store, folder, files, "A", files_per_batch=3)
+    done = store.table("disqus_scan_progress").select("partition_idx", "candidates_found", "status")
+    missing = tables.missing_partitions(files, store.table("disqus_scan_progress"), "A")
+    return done.unionByName(missing.select("partition_idx", F.lit(0).cast("bigint").alias("candidates_found"), F.lit("missing").alias("status")))
+
+
+def _committed(spark: SparkSession, sf_dir: str, table: str) -> list[DataFrame]:
+    """The fixture's batches in the order of their commits; number 2 never was committed."""
+    log = fx.spark_sql(spark, sf_dir, LOGS[table]())
+    return [log.where(F.col("batch_id") == number).drop("batch_id") for number in (0, 1, 3, 4)]
+
+
+def snapshot_query(table: str) -> Query:
+    """A table compacted between its commits, and what was superseded deleted."""
+
+    def run(spark, sf_dir):
+        store = Store(spark, f"{new_folder(spark)}/store", buckets=8)
+        for i, rows in enumerate(_committed(spark, sf_dir, table)):
+            (batch,) = store.new_batches()
+            store.append(table, rows, batch)
+            store.commit([batch])
+            if i < 3:
+                store.compact(table)
+        store.vacuum(grace_seconds=0)
+        return store.table(table)
+
+    return run
+
+
+QUERIES["snapshot_results"] = snapshot_query("results")
+QUERIES["snapshot_candidates"] = snapshot_query("wp_candidates")
+
+
+@query
+def concurrent_commits(spark, sf_dir):
+    """Two drivers that commit to one store at once, each for its own half of the domains."""
+    root, failed = f"{new_folder(spark)}/store", []
+
+    def write(half: int) -> None:
+        try:
+            store = Store(spark, root)
+            for rows in _committed(spark, sf_dir, "results"):
+                (batch,) = store.new_batches()
+                store.append("results", rows.where(F.pmod(F.length("domain"), F.lit(2)) == half), batch)
+                store.commit([batch])
+        except Exception as error:  # raised in the caller's thread below
+            failed.append(error)
+
+    writers = [threading.Thread(target=write, args=(half,)) for half in (0, 1)]
+    for writer in writers:
+        writer.start()
+    for writer in writers:
+        writer.join()
+    if failed:
+        raise failed[0]
+    return Store(spark, root).table("results")
+
+
 @query
 def two_crawls_stream(spark, sf_dir):
     """Two streams into one store; the first one's rows are kept."""
