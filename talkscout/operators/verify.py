@@ -206,12 +206,16 @@ def waiting_domains(results: DataFrame, chosen: DataFrame, captures: DataFrame)
 
 
 def verify_pages(results: DataFrame, captures: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Top posts of domains with a comment endpoint, looked up among the post captures.
+    """Top posts of domains with a comment endpoint, looked up among the post captures."""
+    return pages_of(chosen_posts(results, captures, max_pages), captures)
+
+
+def pages_of(chosen: DataFrame, captures: DataFrame) -> DataFrame:
+    """Chosen posts, looked up among the post captures.
 
     A chosen post that was not answered with a readable post is dropped, not replaced.
     Only the bodies of chosen posts are parsed.
     """
-    chosen = chosen_posts(results, captures, max_pages)
     answered = (F.col("kind") == "post") & F.col("error").isNull() & (F.col("status") == 200)
     posts = (
         captures.where(answered)
