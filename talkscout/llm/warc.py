@@ -5,11 +5,19 @@ writer, so that any store works and a retried task replaces its own files: a mem
 byte is the high byte of its length, 0 below 16 MiB (an empty member follows a longer record),
 and that byte is the writer's line end.
 
-The reader takes an archive from member to member, or from version line to version line if
-it isn't compressed. A record counts if its header, length, end and digests are right. After a
-failure it looks for the next place where a member with a version line, or a version line,
-begins, goes on there, and reports the bytes between as a gap. A task holds one archive, whose
-size the writer bounds by a number of records.
+The reader takes an archive from member to member, or from record to record if
+it isn't compressed. A record counts if its header, length, end and digests are right. One that is wrong inside but
+whose stated length ends where a record has to end, with a version line or nothing behind it, is put in quarantine as a
+whole, so that what its payload quotes is never taken for a record. Only where the framing itself is lost the reader
+looks for the next member with a version line, or version line, goes on there, and reports the bytes between as a gap. Inside
+a whole member, whose end is known, it looks only behind a sound record; else the member is the gap.
+
+Records and gaps account for every byte of an archive once: those of a whole member have the member's bytes in common,
+what came out of a damaged member before the damage is placed at its beginning, of no length, and a record that is wrong beside sound ones in
+a member is a gap of no length at its end.
+
+A task holds one archive. The writer begins a new one after so many bytes or records; a foreign archive must fit
+a row of the reader, which takes files below 2 GiB.
 
 Defined cases: null html is an empty payload and a null url an empty address; a null page_id
 is written and read as null; of repeated rows all that have the smallest page_id of their
@@ -30,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORDS_PER_FILE = 2000
+BYTES_PER_FILE = 32 << 20
 LINE_END = "\x00"
 DATE = "2024-01-01T00:00:00Z"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -77,14 +86,27 @@ def gzip_member(record: bytes) -> bytes:
     return member if not member[-1] else member + gzip.compress(b"", 6, mtime=0)
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            members = []
-            for row in batch.slice(start, 64).to_pylist():
+def _archives(most_records: int, most_bytes: int):
+    """A row per archive: its members without the last byte, which the text writer adds."""
+
+    def row_of(members: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(members)[:-1]], pa.binary())], names=["members"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, size = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (row,) = batch.slice(i, 1).to_pylist()
                 record = build_record(row["page_id"], row["url"], row["payload"], base32_sha1(row["payload"]), row["refers_to"])
-                members.append(gzip_member(record)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["member"])
+                members.append(gzip_member(record))
+                size += len(members[-1])
+                if size >= most_bytes or len(members) >= most_records:
+                    yield row_of(members)
+                    members, size = [], 0
+        if members:
+            yield row_of(members)
+
+    return run
 
 
 def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -98,11 +120,13 @@ def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return joined.select("page_id", "url", "payload", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write a record per page as compressed archives into a folder."""
-    members = revisits(pages, least_bytes).mapInArrow(_members, "member binary")
-    writer = members.select(F.col("member").cast("string")).write.option("lineSep", LINE_END)
-    writer.option("maxRecordsPerFile", records_per_file).option("compression", "none").text(folder)
+def write_archives(
+    pages: DataFrame, folder: str, least_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE, bytes_per_file: int = BYTES_PER_FILE
+) -> None:
+    """Write a record per page as compressed archives into a folder; an archive ends with the record that reaches a bound."""
+    archives = revisits(pages, least_bytes).mapInArrow(_archives(records_per_file, bytes_per_file), "members binary")
+    writer = archives.select(F.col("members").cast("string")).write.option("lineSep", LINE_END)
+    writer.option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
 
 
 class Salvage:
@@ -111,17 +135,17 @@ class Salvage:
     def __init__(self, archive: str, data: bytes, with_payload: bool):
         self.archive, self.data, self.with_payload = archive, data, with_payload
         self.found: list[tuple] = []
+        self.member_from = 0  # where the rows of the last member begin
 
     def read(self) -> list[tuple]:
         if self.data[:2] == MAGIC[:2] or (self.data.find(MAGIC) >= 0 and not VERSION.match(self.data)):
             self.compressed()
         else:
-            self.plain(self.data, None)
+            self.plain()
         return self.found
 
     def gap(self, start: int, end: int, reason: str) -> None:
-        if end > start:
-            self.found.append((self.archive, start, end, "gap", reason, *[None] * 7))
+        self.found.append((self.archive, start, end, "gap", reason, *[None] * 7))
 
     def compressed(self) -> None:
         at, size = 0, len(self.data)
@@ -129,15 +153,47 @@ class Salvage:
             content, end, reason = self.member(at)
             if not reason:
                 if content:
-                    self.plain(content, (at, end))
+                    self.member_from = len(self.found)
+                    self.whole_member(content, at, end)
+                else:
+                    self.empty_member(at, end)
                 at = end
                 continue
             later = self.next_member(at + 1)
+            self.member_from = len(self.found)
             if content:  # what came out before the damage
-                self.plain(content, (at, later), whole=False)
+                self.records(content, (at, at))
             self.gap(at, later, reason)
             at = later
 
+    def empty_member(self, start: int, end: int) -> None:
+        """Belongs to the member before it, as the writer's filler does."""
+        rows = self.found[self.member_from :]
+        self.found[self.member_from :] = [(r[0], end if r[1] == start else r[1], end, *r[3:]) if r[2] == start else r for r in rows]
+        if not rows:
+            self.gap(start, end, "empty member")
+
+    def whole_member(self, content: bytes, start: int, end: int) -> None:
+        sound, reason = self.records(content, (start, end))
+        if reason:
+            self.gap(start if not sound else end, end, reason)
+
+    def records(self, data: bytes, place: tuple[int, int]) -> tuple[int, str]:
+        """Sound records of a member's content, all at one place: their number, and what is wrong with the first that isn't."""
+        at, sound, wrong = 0, 0, ""
+        while at < len(data):
+            row, end, reason = self.record(data, at)
+            if not reason:
+                self.found.append((self.archive, *place, "record", None, *row))
+                sound += 1
+            else:
+                wrong = wrong or reason
+                if end == at:  # the framing is lost
+                    later = VERSION.search(data, at + 1) if sound else None
+                    end = later.start() if later else len(data)
+            at = end
+        return sound, wrong
+
     def member(self, at: int) -> tuple[bytes, int, str]:
         """Content of the member at a place, where it ends, and what is wrong with it."""
         if self.data[at : at + 3] != MAGIC:
@@ -166,23 +222,22 @@ class Salvage:
             start = at + 1
         return len(self.data)
 
-    def plain(self, data: bytes, member: tuple[int, int] | None, whole: bool = True) -> None:
-        """Records of uncompressed bytes; those of a member are placed at the member's bytes."""
-        at = 0
+    def plain(self) -> None:
+        """Records of an archive that isn't compressed."""
+        at, data = 0, self.data
         while at < len(data):
             row, end, reason = self.record(data, at)
-            place = member or (at, end)
             if not reason:
-                self.found.append((self.archive, *place, "record", None, *row))
-                at = end
-                continue
-            later = VERSION.search(data, at + 1)
-            end = later.start() if later else len(data)
-            if whole:
-                self.gap(*(member or (at, end)), reason)
+                self.found.append((self.archive, at, end, "record", None, *row))
+            else:
+                if end == at:  # the framing is lost
+                    later = VERSION.search(data, at + 1)
+                    end = later.start() if later else len(data)
+                self.gap(at, end, reason)
             at = end
 
     def record(self, data: bytes, at: int) -> tuple[tuple, int, str]:
+        """A record's fields, where it ends, and what is wrong with it; it ends where it begins if that isn't known."""
         if not VERSION.match(data, at):
             return (), at, "no version line"
         head = data.find(b"\r\n\r\n", at)
@@ -200,10 +255,11 @@ class Salvage:
         end = head + 4 + int(length)
         if data[end : end + 4] != b"\r\n\r\n":
             return (), at, "record without end"
+        framed = end + 4 if end + 4 == len(data) or VERSION.match(data, end + 4) else at
         block = data[head + 4 : end]
         want = headers.get("warc-block-digest", "")
         if want.startswith("sha1:") and want[5:] != base32_sha1(block):
-            return (), at, "wrong block digest"
+            return (), framed, "wrong block digest"
         kind = headers.get("warc-type", "")
         payload = block
         stated = len(block)
@@ -214,9 +270,9 @@ class Salvage:
         digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
         if kind != "revisit":
             if digest and digest != base32_sha1(payload):
-                return (), at, "wrong payload digest"
+                return (), framed, "wrong payload digest"
             if stated != len(payload):
-                return (), at, "wrong payload length"
+                return (), framed, "wrong payload length"
         row = (kind, headers.get("warc-record-id"), headers.get("warc-target-uri"), headers.get("warc-refers-to"), stated, digest or None)
         return (*row, payload if self.with_payload and kind != "revisit" else None), end + 4, ""
 

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import random
 
 from talkscout.llm import warc
 
@@ -107,3 +108,73 @@ def test_small_payloads_and_empty_table(spark, tmp_path):
     got = {r.page_id: r.refers_to for r in warc.pages_of(run(spark, rows, tmp_path, least=3)).collect()}
     assert got == {1: None, 2: None, 3: None, 4: 3}
     assert run(spark, [], tmp_path / "empty").count() == 0
+
+
+def accounted(found, size):
+    """Whether records and gaps cover every byte once."""
+    at = 0
+    for start, end in sorted({(r[1], r[2]) for r in found if r[2] > r[1]}):
+        if start != at:
+            return False
+        at = end
+    return at == size
+
+
+def quoting(i, others):
+    """A record whose page quotes whole records."""
+    return warc.build_record(i, f"http://x/{i}", (p := b"<pre>" + b"".join(others) + b"</pre>"), warc.base32_sha1(p), None)
+
+
+def test_a_quoted_record_is_never_taken_for_one():
+    inner = [warc.build_record(i, "http://quoted", b"quoted", warc.base32_sha1(b"quoted"), None) for i in (98, 99)]
+    good = [warc.build_record(i, f"http://x/{i}", b"page %d" % i, warc.base32_sha1(b"page %d" % i), None) for i in (0, 2)]
+    for part in (b"sha1:", b"<pre>", b"HTTP/1.1 200"):  # a digest, the payload, the block
+        bad = bytearray(quoting(1, inner))
+        bad[bad.index(part) + len(part)] ^= 1
+        plain = good[0] + bytes(bad) + good[1]
+        members = [warc.gzip_member(r) for r in (good[0], bytes(bad), good[1])]
+        for data, start, end in (
+            (plain, len(good[0]), len(good[0]) + len(bad)),
+            (b"".join(members), len(members[0]), len(members[0]) + len(members[1])),
+        ):
+            found = warc.Salvage("x", data, False).read()
+            assert ids(found) == ["<urn:page:0>", "<urn:page:2>"] and gaps(found) == [(start, end)] and accounted(found, len(data))
+        one = gzip.compress(plain, mtime=0)  # all in one member
+        found = warc.Salvage("x", one, False).read()
+        assert ids(found) == ["<urn:page:0>", "<urn:page:2>"] and gaps(found) == [(len(one), len(one))] and accounted(found, len(one))
+    lost = quoting(1, inner).replace(b"Content-Length: ", b"Content-Length: 9", 1)  # framing lost inside a whole member
+    member = warc.gzip_member(lost)
+    found = warc.Salvage("x", member, False).read()
+    assert ids(found) == [] and gaps(found) == [(0, len(member))]
+
+
+def test_every_byte_is_accounted_for():
+    rng = random.Random(8)
+    for compressed in (True, False):
+        data, at = archive(8, compressed)
+        for _ in range(150):
+            broken = bytearray(data)
+            for _ in range(rng.randrange(1, 5)):
+                kind, place = rng.randrange(3), rng.randrange(len(broken))
+                if kind == 0:
+                    broken[place] ^= 1 << rng.randrange(8)
+                elif kind == 1:
+                    del broken[place : place + rng.randrange(1, 300)]
+                else:
+                    broken[place:place] = rng.randbytes(rng.randrange(1, 300))
+            found = warc.Salvage("x", bytes(broken), False).read()
+            assert accounted(found, len(broken))
+            assert len(ids(found)) >= 8 - 2 * 4
+
+
+def test_archives_end_at_a_number_of_bytes(spark, tmp_path):
+    import hashlib as h
+
+    rows = [(i, "u", "".join(h.sha256(b"%d %d" % (i, j)).hexdigest() for j in range(2000))) for i in range(12)]
+    df = spark.createDataFrame(rows, PAGES).coalesce(1)
+    folder = f"file://{tmp_path}/warc"
+    warc.write_archives(df, folder, bytes_per_file=150_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "warc").glob("*.txt")]
+    assert max(sizes) < 150_000 + 80_000 and len(sizes) >= 4
+    found = warc.read_archives(spark, folder)
+    assert found.where("kind = 'record'").count() == 12 and found.where("kind = 'gap'").count() == 0
