@@ -96,7 +96,8 @@ ORACLES["op2_warc_salvage"] = """
 ORACLES["op3_maxscore"] = """
     WITH v AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
-        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND coalesce(list_sum(list_transform(embedding, lambda x: 65536.0::DOUBLE * x::DOUBLE * x::DOUBLE)), 0) < 4611686018427387904.0::DOUBLE),
     scored AS (
         SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
         FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)

@@ -9,8 +9,10 @@ traversed for all candidates, the others are probed for those that can still com
 largest bound down. The shards' best are merged by rank.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor
-do rows without id; a missing component counts as 0, so lengths may differ; a vector without
-components scores 0; repeated rows are candidates each, and one query; a query's own id is no
+do rows without id, nor vectors whose scaled length reaches 2**31, so that every score fits a long; a missing component counts
+as 0, so lengths may differ; a vector without
+components scores 0; repeated rows are candidates each, and one query; rows of one id with different vectors are candidates
+each, and one query whose ranks run over the hits of all its vectors; a query's own id is no
 candidate; equal scores go to the smaller id; an empty table gives no rows.
 """
 
@@ -28,6 +30,8 @@ SHARD_ROWS = 32_768
 BLOCK_ROWS = 16_384
 CHUNK = 4096
 TERMS = 8
+#: Square of the scaled length that no vector may reach: products of two stay below 2**62.
+LONGEST_SQUARE = float(1 << 62)
 HITS = "query_id long, vec_id long, score long"
 
 
@@ -110,7 +114,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: int = 256, shar
     def usable(df: DataFrame, name: str) -> DataFrame:
         rows = df.select(F.col("vec_id").cast("long").alias(name), F.col("embedding").cast("array<double>").alias("vector"))
         finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
-        return rows.where(F.col(name).isNotNull() & F.col("vector").isNotNull() & finite)
+        square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + F.lit(float(scale)) * x * F.lit(float(scale)) * x)
+        return rows.where(F.col(name).isNotNull() & F.col("vector").isNotNull() & F.when(finite, square < LONGEST_SQUARE))
 
     # The part that an id is dealt to is taken from the hash of the id and the row's partition, so copies of an id spread out.
     part = lambda n, name: F.pmod(F.xxhash64(name, F.spark_partition_id()), F.lit(n)).cast("int")

@@ -67,3 +67,28 @@ def test_defined_cases(spark):
     assert got == [(0, 1, 7, 327680), (0, 2, 7, 327680), (0, 3, 6, 65536), (0, 4, 5, 0)]
     assert topk.top_k(df.limit(0), df, k=5).count() == 0
     assert topk.top_k(df, df.limit(0), k=5).count() == 0
+
+
+def test_large_components_and_ids_with_several_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e17, 0.0]), (2, [1e308, -1e308]), (3, [8e6, 0.0]), (4, [-8e6, 1.0]), (50, [8e6]), (7, [1.0]), (7, [3.0])]
+    df = spark.createDataFrame(rows, VECTORS)
+    got = {tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), k=5).collect()}
+    usable = [r for r in rows if r[0] not in (1, 2)]
+    assert got == brute(usable, 5, lambda i: i % 50 == 0) and max(r[3] for r in got) == (256 * 8_000_000) ** 2
+    both = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id = 7"), k=3).collect())
+    assert both == [(7, 1, 3, 768 * 256 * 8_000_000), (7, 2, 50, 768 * 256 * 8_000_000), (7, 3, 3, 256 * 256 * 8_000_000)]
+
+
+def test_defined_cases_in_sql(spark, tmp_path):
+    import duckdb
+
+    from talkscout.llm.oracles import ORACLES
+
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, v) for i, v in enumerate([[1.0, 2.0], None, [None, 1.0], [nan, 1.0], [inf, 0.0], [1e17, 0.0], [1e308, 0.0], [2.0, -1.0], [0.5, 0.25]])]
+    df = spark.createDataFrame([*rows, (50, [3.0, 3.0])], VECTORS)
+    df.coalesce(1).write.parquet(f"{tmp_path}/v")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/v/*.parquet')")
+    want = sorted(con.execute(ORACLES["op3_maxscore"]).fetchall())
+    assert sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), k=5).collect()) == want and len(want) == 6
