@@ -305,3 +305,45 @@ def discovered_captures(src: str = PAGES) -> str:
         "WITH domains AS (SELECT DISTINCT url_host_registered_domain AS domain, "
         f"length(url_host_registered_domain) % 2 = 1 AS odd FROM ({index(src)}) i) " + " UNION ALL ".join(parts)
     )
+
+
+def json_variants(src: str = PAGES) -> str:
+    """Envelope lines whose keys are in odd case or repeated, and the forum name to be found."""
+    scripts = """'{"Envelope":{"Payload-Metadata":{"HTTP-Response-Metadata":{"HTML-Metadata":{"""
+    end = """}}}}}'"""
+    quote = """chr(92) || '"'"""
+    url = lambda name: f"//{name}' || page_id || '.disqus.com/embed.js"
+    return f"""
+    SELECT page_id, CASE page_id % 8
+        WHEN 0 THEN '{{"envelope":{{"PAYLOAD-metadata":{{"http-Response-Metadata":{{"html-METADATA":{{"SCRIPTS" : [{{"URL":"{url('a')}"}}]}}}}}}}}}}'
+        WHEN 1 THEN {scripts}"Scripts":[{{"url":"//no.disqus.com/embed.js","URL":"{url('b')}"}}]{end}
+        WHEN 2 THEN {scripts}"scripts":[{{"URL":"//no.disqus.com/embed.js","Url":"x","url":"{url('c')}"}}]{end}
+        WHEN 3 THEN {scripts}"Scripts":[{{"url":"x","note":"' || {quote} || 'URL' || {quote} || ': //no.disqus.com/embed.js"}}]{end}
+        WHEN 4 THEN {scripts}"Links":[{{"url":"//no.disqus.com"}}],"LINKS":[{{"url":"//d' || page_id || '.disqus.com"}}]{end}
+        WHEN 5 THEN {scripts}"Scripts":[{{"urls":"//no.disqus.com/embed.js","URL_":"//no.disqus.com/embed.js"}}]{end}
+        WHEN 6 THEN {scripts}"Scripts":[{{"url":"{url('e')}","URL":5}}]{end}
+        ELSE {scripts}"Scripts":[{{"url":"{url('f')}"}}]{end} END AS value,
+      CASE page_id % 8 WHEN 0 THEN 'a' || page_id WHEN 1 THEN 'b' || page_id WHEN 2 THEN 'c' || page_id
+        WHEN 4 THEN 'd' || page_id WHEN 7 THEN 'f' || page_id ELSE '' END AS expected
+    FROM {src} p"""
+
+
+def repeated_keys(src: str = PAGES) -> str:
+    """Post bodies, probes and samples whose keys are repeated or in odd case, and what is to be read from them."""
+    none = "CAST(NULL AS STRING)"
+    return f"""
+    SELECT page_id, CASE page_id % 8
+        WHEN 0 THEN '{{"link":"no","link":"l' || page_id || '","title":"no","title":"t' || page_id || '"}}'
+        WHEN 1 THEN '{{"Title":{{"rendered":"no","RENDERED":"r' || page_id || '"}},"LINK":"u' || page_id || '"}}'
+        WHEN 2 THEN '{{"link":{{"a":1,"a":2}},"title":"t"}}'
+        WHEN 3 THEN '{{"title":{{"rendered":{{"x":1,"x":2}}}},"z":1,"z":2}}'
+        WHEN 4 THEN 'null'
+        WHEN 5 THEN '[{{"a":1,"a":2}}]'
+        WHEN 6 THEN '{{"link":"l' || page_id || '","title":5,"z":{{"k":1,"k":2}}}} and more'
+        ELSE '{{"link":"l","link":"l"' END AS post_body,
+      CASE page_id % 8 WHEN 0 THEN 'l' || page_id WHEN 1 THEN 'u' || page_id WHEN 3 THEN '' WHEN 4 THEN '' WHEN 6 THEN 'l' || page_id ELSE {none} END AS link,
+      CASE page_id % 8 WHEN 0 THEN 't' || page_id WHEN 1 THEN 'r' || page_id WHEN 3 THEN '' WHEN 4 THEN '' WHEN 6 THEN '' ELSE {none} END AS title,
+      CASE page_id % 4 WHEN 0 THEN '[{{"id":1,"id":2}}]' WHEN 1 THEN '{{"id":1,"id":2}}' WHEN 2 THEN '[{{"id":1,"id":2}}' ELSE '[{{"a":{{"b":1,"b":2}}}}] more' END AS probe_body,
+      CASE page_id % 4 WHEN 1 THEN 'invalid comments response' WHEN 2 THEN 'invalid JSON' ELSE '' END AS fault,
+      CASE page_id % 3 WHEN 0 THEN '[{{"post":"no","post":' || (page_id % 5 + 1) || ',"z":1,"z":2}},{{"POST":9}}]' WHEN 1 THEN '[{{"post":1,"Post":"no"}}]' ELSE '[{{"post":9}},{{"post":9}}]' END AS sample_body
+    FROM {src} p"""

@@ -389,3 +389,9 @@ ORACLES["stream_outcomes"] = f"""
     SELECT partition_idx, n AS candidates_found, CASE WHEN n = 0 THEN 'empty' ELSE 'ok' END AS status FROM counted UNION ALL
     SELECT (SELECT max(partition_idx) FROM counted) + i, 0, CASE i WHEN 1 THEN 'failed' WHEN 2 THEN 'empty' ELSE 'missing' END
     FROM (SELECT unnest([1, 2, 3]) AS i)"""
+ORACLES["disqus_json_any_case"] = f"SELECT page_id, expected AS disqus_shortname FROM ({fx.json_variants()})"
+ORACLES["post_fields_repeated_keys"] = f"SELECT page_id, link, title FROM ({fx.repeated_keys()})"
+ORACLES["probe_repeated_keys"] = f"SELECT page_id::VARCHAR AS domain, fault FROM ({fx.repeated_keys()})"
+ORACLES["sample_repeated_keys"] = """
+    SELECT page_id::VARCHAR AS domain, (page_id % 5 + 1)::BIGINT AS post_id, 1::BIGINT AS comment_count_in_sample FROM pages WHERE page_id % 3 = 0 UNION ALL
+    SELECT page_id::VARCHAR, 9, page_id % 3 // 2 + 1 FROM pages WHERE page_id % 3 <> 1"""

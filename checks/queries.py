@@ -77,6 +77,40 @@ def disqus_json_extract(spark, sf_dir):
     return documents.with_forum(df, "value", "disqus_shortname").select("line_no", "disqus_shortname")
 
 
+@query
+def disqus_json_any_case(spark, sf_dir):
+    """Keys in odd case, and repeated ones."""
+    df = fx.spark_sql(spark, sf_dir, fx.json_variants())
+    return documents.with_forum(df, "value", "disqus_shortname").select("page_id", "disqus_shortname")
+
+
+@query
+def post_fields_repeated_keys(spark, sf_dir):
+    df = fx.spark_sql(spark, sf_dir, fx.repeated_keys())
+    post = documents.post_fields(F.col("post_body"))
+    return df.select("page_id", post["link"].alias("link"), post["title"].alias("title"))
+
+
+def _captured(df: DataFrame, kind: str, body: str) -> DataFrame:
+    text = F.lit(None).cast("string")
+    return df.select(
+        F.col("page_id").cast("string").alias("domain"), F.lit(kind).alias("kind"), F.lit(None).cast("bigint").alias("post_id"), F.lit(200).alias("status"),
+        text.alias("link_header"), F.lit("3").alias("x_wp_total"), F.col(body).alias("body"), text.alias("error"),
+    )
+
+
+@query
+def probe_repeated_keys(spark, sf_dir):
+    df = fx.spark_sql(spark, sf_dir, fx.repeated_keys())
+    return verify.capture_facts(_captured(df, "comments_probe", "probe_body")).select("domain", "fault")
+
+
+@query
+def sample_repeated_keys(spark, sf_dir):
+    df = fx.spark_sql(spark, sf_dir, fx.repeated_keys())
+    return verify.comments_per_post(_captured(df, "comments_sample", "sample_body"))
+
+
 @query
 def comment_total(spark, sf_dir):
     df = fx.spark_sql(spark, sf_dir, fx.error_texts())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +54,20 @@ def _holds_non_text(urls: Column) -> Column:
     return F.coalesce(F.exists(urls, lambda i: ~kind(i).isin("STRING", "VOID")), F.lit(False))
 
 
+def with_names(text: Column, names: Sequence[str]) -> Column:
+    """JSON text whose keys that equal one of the names but for case are spelled like it.
+
+    Only a key is followed by a colon, and a quotation mark inside a string has a backslash before it, so nothing else is
+    touched. Parsers that match exact keys then take the last of all spellings.
+    """
+    any_name = "|".join(map(re.escape, names))
+    found = text
+    for name in dict.fromkeys(names):
+        found = F.regexp_replace(found, rf'(?iu)"{re.escape(name)}"(?=\s*:)', f'"{name}"')
+    other_case = rf'(?iu)"(?!(?-iu:{any_name})")(?:{any_name})"\s*:'
+    return F.when(text.rlike(other_case), found).otherwise(text)
+
+
 def envelope(
     line: Column, scripts_path: Sequence[str] = SCRIPTS_PATH, links_path: Sequence[str] = LINKS_PATH
 ) -> Column:
@@ -60,8 +75,10 @@ def envelope(
 
     The document is parsed inside an object and again inside an array: text after the
     document cannot be valid in both, so `single` and the corrupt-record field tell a
-    line that is exactly one document of the expected shape, without a UDF.
+    line that is exactly one document of the expected shape, without a UDF. Keys match in any
+    case, and of several the last one counts.
     """
+    line = with_names(line, [*scripts_path, *links_path, "url"])
     schema = T.StructType(
         [
             T.StructField("doc", _nested([tuple(scripts_path), tuple(links_path)])),
@@ -117,14 +134,20 @@ def with_forum(
 
 
 def is_json(body: Column) -> Column:
-    """The text starts with a complete JSON value; later text is not looked at."""
-    return F.coalesce(F.try_parse_json(body).isNotNull(), F.lit(False))
+    """The text starts with a complete JSON value; later text is not looked at, and keys may be repeated."""
+    start = F.left(trim_space(body), F.lit(1))
+    readable = (
+        F.when(start == "[", F.from_json(body, "ARRAY<STRING>", _STRICT).isNotNull())
+        .when(start == "{", F.from_json(body, "MAP<STRING, STRING>", _STRICT).isNotNull())
+        .otherwise(F.try_parse_json(body).isNotNull())
+    )
+    return F.coalesce(readable, F.lit(False))
 
 
 def sampled_posts(body: Column) -> Column:
     """Post ids of a comment sample, as an array; NULL when the sample is void.
 
-    One `post` that is not a whole 64-bit number voids the sample.
+    One `post` that is not a whole 64-bit number voids the sample. Of repeated keys, in any case, the last counts.
     """
     post = lambda item: item.getField("post")
     kind = lambda item: F.coalesce(F.schema_of_variant(post(item)), F.lit("VOID"))
@@ -133,31 +156,49 @@ def sampled_posts(body: Column) -> Column:
         whole = F.forall(items, lambda i: kind(i).isin("BIGINT", "VOID"))
         return F.when(whole, F.transform(items, lambda i: F.coalesce(F.try_variant_get(post(i), "$", "bigint"), F.lit(0))))
 
-    parsed = F.from_json(body, "ARRAY<STRUCT<post: VARIANT>>", _STRICT)
+    parsed = F.from_json(with_names(body, ["post"]), "ARRAY<STRUCT<post: VARIANT>>", _STRICT)
     return F.when(trim_space(body).startswith("["), _once(parsed, numbers))
 
 
+def _kind(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+
+
+def _text_or_empty(value: Column) -> Column:
+    return F.when(_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
 def title_text(title: Column) -> Column:
     """Title of a post from its variant: non-empty `rendered`, else plain text, else ''."""
     rendered = F.try_variant_get(title, "$.rendered", "variant")
-    as_text = lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
-    return F.coalesce(as_text(rendered), as_text(title), F.lit(""))
+    return F.coalesce(_text_or_empty(rendered), _text_or_empty(title), F.lit(""))
 
 
 def post_fields(body: Column) -> Column:
-    """(link, title) of a post body; NULL when the body cannot be read as a post."""
+    """(link, title) of a post body; NULL when the body cannot be read as a post.
+
+    Of repeated keys, in any case, the last counts. A variant holds no repeated keys, so each field is read by a schema of
+    its own: what is repeated elsewhere in the body, or inside a field that is of no use, does no harm.
+    """
+    text = with_names(body, ["link", "title", "rendered"])
+    doc = F.struct(
+        F.from_json(text, "link VARIANT, title STRING", _STRICT)["link"].alias("link"),
+        F.from_json(text, "link STRING, title STRUCT<rendered: VARIANT>", _STRICT).alias("raw"),
+        F.from_json(text, "title VARIANT", _STRICT)["title"].alias("title"),
+    )
 
     def fields(doc: Column) -> Column:
-        kind = F.schema_of_variant(doc)
-        link = F.try_variant_get(doc, "$.link", "variant")
-        link_kind = F.coalesce(F.schema_of_variant(link), F.lit("VOID"))
-        readable = (kind.startswith("OBJECT") | (kind == "VOID")) & link_kind.isin("STRING", "VOID")
+        link, raw, title = doc["link"], doc["raw"], doc["title"]
+        unread = link.isNull() & raw["link"].isNotNull()  # an object that repeats keys
         return F.when(
-            readable,
+            _kind(link).isin("STRING", "VOID") & ~unread,
             F.struct(
-                F.coalesce(F.try_variant_get(link, "$", "string"), F.lit("")).alias("link"),
-                title_text(F.try_variant_get(doc, "$.title", "variant")).alias("title"),
+                F.coalesce(_text_or_empty(link), F.lit("")).alias("link"),
+                F.coalesce(_text_or_empty(raw["title"]["rendered"]), _text_or_empty(title), F.lit("")).alias("title"),
             ),
         )
 
-    return _once(F.try_parse_json(body), fields)
+    empty = F.struct(F.lit("").alias("link"), F.lit("").alias("title"))
+    return F.when(trim_space(body).startswith("{") & is_json(body), _once(doc, fields)).when(
+        _kind(F.try_parse_json(body)) == "VOID", F.when(F.try_parse_json(body).isNotNull(), empty)
+    )
