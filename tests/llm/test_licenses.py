@@ -1,5 +1,9 @@
 """Licence paragraphs: families, look-alikes, places, defined cases."""
 
+import random
+import textwrap
+
+import numpy as np
 import pytest
 
 from talkscout.llm import licenses
@@ -53,13 +57,77 @@ def test_defined_cases(spark, model):
     assert licenses.sample_paragraphs(df.limit(0)) == []
 
 
-def test_all_lines_tell_which_words_are_common(spark, monkeypatch):
-    monkeypatch.setattr(licenses, "SAMPLE_CHARS", 20)
-    tail = "\n".join(["of heon"] * 300 + ["The redistribution of heon", "A redistribution, redistribution!"] * 3 + ["A licence without redistribution", "", " "])
-    rows = [(1, "Anst the ouer\n" + tail), (2, None), (3, "Reed stin\n" + tail)]
-    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
-    lines, words = licenses.count_lines(df)
-    assert lines == 2 * (1 + 306) and words["redistribution"] == 12 and "licence" not in words
-    assert "redistribution" in licenses.train(licenses.sample_paragraphs(df)).anchors
-    assert "redistribution" not in licenses.train(licenses.sample_paragraphs(df), (lines, words)).anchors
-    assert licenses.count_lines(df.limit(0)) == (0, {})
+def wrapped(text, width):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize("prose", [PROSE, [*PROSE, *(f"permission license software copyright notice warranty {i} free copies" for i in range(200))]])
+def test_wrapped_notices_are_found_whatever_words_are_common(prose):
+    """The bodies alone, without a title, between other lines and as paragraphs of their own."""
+    found = licenses.train(prose)
+    for family in ("mit", "bsd", "apache-2.0", "gpl", "isc", "lgpl", "agpl", "mpl-2.0", "unlicense", "zlib"):
+        for width in (40, 72, 1000):
+            for gap in ("\n", "\n\n"):
+                text = gap.join([PROSE[0], wrapped(licenses.NOTICES[family][0], width), PROSE[1]])
+                sure = [r for r in found.scan(text) if r[5]]
+                assert [r[2] for r in sure] == [family], (family, width, gap, list(found.scan(text)))
+                assert sure[0][4] > 0.6
+
+
+def plain_scan(model, text):
+    """All stretches of all paragraphs scored, those without an anchor dropped at the end."""
+    out, at, lines = [], 0, []
+    for line in [*text.split("\n"), ""]:
+        if line.strip():
+            lines.append((at, at + len(line)))
+        else:
+            sizes = [2**i for i in range(6) if 2**i < 2 * max(len(lines), 1)]
+            spans = {(a, min(a + n, len(lines))) for n in sizes for a in range(0, len(lines), max(1, n // 2))}
+            scored = []
+            for a, b in spans:
+                start, end = lines[a][0], lines[b - 1][1]
+                words = licenses.words_of(text[start:end])
+                dense = np.zeros(len(model.vocabulary))
+                dense[[model.vocabulary[g] for g in licenses.ngrams(words) if g in model.vocabulary]] = 1
+                z = (dense @ model.weights + model.bias) / model.temperature
+                p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+                family = model.classes[int(p.argmax())]
+                if family != "unknown" and p.max() >= 0.5 and not model.anchors.isdisjoint(words):
+                    own = {*zip(words, words[1:]), *((w,) for w in words)}
+                    like = max(len(own & t) / len(t) for t in model.templates[family])
+                    scored.append((like < 0.6, -round(like, 9), b - a, -round(float(p.max()), 4), a, b, family))
+            used = set()
+            for *_, a, b, family in sorted(scored):
+                if used.isdisjoint(range(a, b)):
+                    used |= set(range(a, b))
+                    out.append((lines[a][0], lines[b - 1][1], family))
+            lines = []
+        at += len(line) + 1
+    return sorted(out)
+
+
+def test_scan_against_scoring_every_stretch(model):
+    rng = random.Random(3)
+    for _ in range(25):
+        parts = []
+        for _ in range(rng.randrange(1, 7)):
+            family = rng.choice(sorted(licenses.NOTICES))
+            notice = rng.choice([wrapped(rng.choice(licenses.NOTICES[family]), rng.choice((35, 70))), rng.choice(licenses.FRAMES).format(rng.choice(licenses.NAMES[family]))])
+            parts += rng.choices(PROSE, k=rng.randrange(4)) + [rng.choice([notice, rng.choice(licenses.LOOKALIKES)]), *([""] * rng.randrange(2))]
+        text = "\n".join(parts)
+        got = [(a, b, family) for a, b, family, *_ in model.scan(text)]
+        assert got == plain_scan(model, text)
+
+
+def test_windows_cover_every_line_and_end_at_the_paragraph():
+    for n in (1, 2, 3, 5, 8, 31, 32, 33, 100):
+        found = list(licenses.windows(n))
+        assert len(set(found)) == len(found) and all(0 <= a < b <= n for a, b in found)
+        for size in {b - a for a, b in found if b < n}:
+            assert set(range(n)) == {i for a, b in found if b - a == size or b == n for i in range(a, b)}
+
+
+def test_every_notice_has_an_anchor():
+    for family in licenses.NAMES:
+        for notice in licenses.notices_of(family):
+            assert not licenses.anchors().isdisjoint(licenses.words_of(notice)), notice
