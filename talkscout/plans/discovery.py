@@ -61,6 +61,8 @@ def run_waves(
     while rows := chosen.where(F.col("partition_idx") > last).orderBy("partition_idx").limit(size).collect():
         yield rows
         last = rows[-1].partition_idx
+        if len(rows) < size:  # these were the last ones
+            break
     if last < 0 and files.isEmpty():
         raise EmptyManifest("no matching files in manifest")
 
