@@ -395,3 +395,4 @@ ORACLES["probe_repeated_keys"] = f"SELECT page_id::VARCHAR AS domain, fault FROM
 ORACLES["sample_repeated_keys"] = """
     SELECT page_id::VARCHAR AS domain, (page_id % 5 + 1)::BIGINT AS post_id, 1::BIGINT AS comment_count_in_sample FROM pages WHERE page_id % 3 = 0 UNION ALL
     SELECT page_id::VARCHAR, 9, page_id % 3 // 2 + 1 FROM pages WHERE page_id % 3 <> 1"""
+ORACLES["stored_captures_run"] = ORACLES["verify_pages"]

@@ -14,7 +14,8 @@ from talkscout.functions import documents, responses, urls
 from talkscout.operators import disqus, report, tables, verify, wordpress
 from talkscout.plans.discovery import discover_disqus, discover_wordpress
 from talkscout.plans.store import KEYS, TABLES, Store
-from talkscout.plans.verification import discover_and_verify, export, verify_wordpress
+from talkscout.plans.verification import discover_and_verify, export, verify_domains, verify_wordpress
+from talkscout.sources.captures import Captures
 from talkscout.sources.manifest import index_files, read_manifest, wat_files, window_of
 from talkscout.streaming.arrivals import stream_disqus
 
@@ -488,6 +489,18 @@ def verify_run_pages(spark, sf_dir):
     return store.table("pages")
 
 
+@query
+def stored_captures_run(spark, sf_dir):
+    """Captures in buckets of domains, of which each run reads those of its work list: half of the domains, then the others."""
+    store, captures = _seeded_store(spark, sf_dir)
+    stored = Captures(spark, f"{store.root}/captures", buckets=4)
+    stored.append(captures)
+    half = store.table("wp_candidates").where(F.pmod(F.length("domain"), F.lit(2)) == 0)
+    verify_domains(store, half, stored)
+    verify_wordpress(store, stored)
+    return store.table("pages")
+
+
 @query
 def late_captures_run(spark, sf_dir):
     """Home pages first; probes, samples and posts are captured later, and a second run completes the domains."""
