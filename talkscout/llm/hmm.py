@@ -8,7 +8,7 @@ added over partitions for the next step. It starts from states that are random b
 would need many steps, the first pass takes a step after each of PARTS parts of the training documents,
 which together are all of them, and adds each part's expected counts to half of those so far; the steps
 after it see all documents at once. For training, documents are cut into stretches of
-bounded length; a text's likelihood is that of the scaled forward recursion over all its tokens.
+bounded length, and looked up once: the steps read their classes as numbers; a text's likelihood is that of the scaled forward recursion over all its tokens.
 
 The words' counts, which grow with the corpus, stay in a table. Only the most frequent words
 (a fixed number) go to the tasks; the other words of each document are joined with the counts.
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,18 @@ OWN_CLASSES = 20_000
 FREQUENT = 200_000
 ENDINGS = 512
 STRETCH = 128
+AT_ONCE = 1024
 STEPS = 2
 PARTS = 12
 KEPT = 0.5
 FIRST_STEPS = 12
 SMOOTH = 20.0
 END = b""  # no word is empty
-SCORED = "row_key long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, likelihood double"
+SCORED = (
+    "row_key long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, likelihood double, "
+    "rare array<struct<word:binary,n:long>>"
+)
+RARE = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
 
 def held_out(doc_id):
@@ -80,14 +86,20 @@ class Words:
 
     def ids(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of a text's tokens, -1 for words that are not frequent, and their classes."""
-        tokens = tokens_of(text)
-        get = self.rank.get
-        ranks = np.array([get(token, -1) for token in tokens])
+        return self.ids_of(tokens_of(text))
+
+    def ids_of(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ranks = np.fromiter(map(self.rank.get, tokens, repeat(-1)), np.int64, len(tokens))
         classes = self.class_of[ranks]
         for i in np.flatnonzero(ranks < 0).tolist():
             classes[i] = self.classes - ENDINGS + ending(tokens[i])
         return ranks, classes
 
+    @property
+    def stored(self) -> str:
+        """Type in which classes are written."""
+        return "<u2" if self.classes <= 1 << 16 else "<u4"
+
 
 @dataclass
 class Model:
@@ -129,35 +141,43 @@ def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
 
 
 def expected_counts(model: Model, sequences: list[np.ndarray], starts_text: list[bool], classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch: expected starts, moves and emissions of sequences (stretches of texts)."""
+    """Baum-Welch: expected starts, moves and emissions of sequences (stretches of texts).
+
+    The tokens of all sequences are laid out step by step, so that a step reads and writes one block of rows.
+    """
     order, flat, starts, active = _lockstep(sequences)
     states = len(model.start)
     first = np.array(starts_text)[order]
     stationary = np.full(states, 1 / states)
     for _ in range(50):
         stationary = stationary @ model.moves
-    alphas = np.empty((len(flat), states))
-    scales = np.empty(len(flat))
-    for t, n in enumerate(active):
-        at = starts[:n] + t
-        before = np.where(first[:, None], model.start, stationary) if t == 0 else alphas[at - 1] @ model.moves
-        alpha = before * model.emits[flat[at]]
-        scales[at] = alpha.sum(axis=1)
-        alphas[at] = alpha / scales[at][:, None]
-    moves, gammas = np.zeros((states, states)), np.empty_like(alphas)
+    ends = np.cumsum(active)
+    steps = np.repeat(np.arange(len(active)), active)
+    tokens = flat[starts[np.arange(len(flat)) - (ends - active)[steps]] + steps]
+    emits = model.emits[tokens]
+    alphas = np.empty((len(tokens), states))
+    scales = np.empty((len(tokens), 1))
+    before = np.where(first[:, None], model.start, stationary)
+    for n, end in zip(active, ends, strict=True):
+        alpha, scale = alphas[end - n : end], scales[end - n : end]
+        np.multiply(before[:n], emits[end - n : end], out=alpha)
+        np.sum(alpha, axis=1, keepdims=True, out=scale)
+        alpha /= scale
+        before = alpha @ model.moves
+    emits /= scales
+    moves, back = np.zeros((states, states)), model.moves.T.copy()
     beta = np.ones((0, states))
-    for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        at = starts[:n] + t
-        now = np.ones((n, states))
-        if len(beta):
-            onward = model.emits[flat[at[: len(beta)] + 1]] * beta / scales[at[: len(beta)] + 1][:, None]
-            moves += alphas[at[: len(beta)]].T @ onward * model.moves
-            now[: len(beta)] = onward @ model.moves.T
-        gammas[at] = alphas[at] * now
+    for n, end in zip(active[::-1], ends[::-1], strict=True):
+        m, now = len(beta), np.ones((n, states))
+        alpha = alphas[end - n : end]
+        if m:
+            onward = emits[end : end + m] * beta
+            moves += alpha[:m].T @ onward
+            np.matmul(onward, back, out=now[:m])
+        alpha *= now  # from here on the expected states
         beta = now
-    emits = np.stack([np.bincount(flat, gammas[:, s], classes) for s in range(states)], axis=1)
-    return gammas[starts][first].sum(axis=0), moves, emits
+    shares = np.stack([np.bincount(tokens, alphas[:, s], classes) for s in range(states)], axis=1)
+    return alphas[: active[0]][first].sum(axis=0), moves * model.moves, shares
 
 
 def stretches(classes: np.ndarray) -> list[np.ndarray]:
@@ -237,12 +257,12 @@ def _expect(words, model):
         start, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((known.classes, STATES))
         for batch in small_batches(batches, 1024):
             sequences, firsts = [], []
-            for text in texts_of(batch.column("text")):
-                parts = stretches(known.ids(text)[1])
+            for classes in batch.column("classes").to_pylist():
+                parts = stretches(np.frombuffer(classes, known.stored).astype(np.int64))
                 sequences += parts
                 firsts += [True] + [False] * (len(parts) - 1)
-            for i in range(0, len(sequences), 4096):
-                a, b, c = expected_counts(now, sequences[i : i + 4096], firsts[i : i + 4096], known.classes)
+            for i in range(0, len(sequences), AT_ONCE):
+                a, b, c = expected_counts(now, sequences[i : i + AT_ONCE], firsts[i : i + AT_ONCE], known.classes)
                 start, moves, emits = start + a, moves + b, emits + c
         seen = np.flatnonzero(emits.sum(axis=1))
         table = np.concatenate([start[None], moves, emits[seen]])
@@ -252,12 +272,31 @@ def _expect(words, model):
     return run
 
 
+def _class_ids(words):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.value
+        for batch in small_batches(batches, 1024):
+            classes = [known.ids(text)[1].astype(known.stored).tobytes() for text in texts_of(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), batch.column("part")], names=["classes", "part"])
+
+    return run
+
+
+def class_ids(training: DataFrame, words: Words, folder: str) -> DataFrame:
+    """The classes of each training text's tokens, written in PARTS parts: texts are looked up once for all steps."""
+    shared = training.sparkSession.sparkContext.broadcast(words)
+    rows = training.select("text", F.pmod(F.xxhash64("row_key"), F.lit(PARTS)).cast("int").alias("part"))
+    rows = rows.mapInArrow(_class_ids(shared), "classes binary, part int")
+    rows.write.mode("overwrite").partitionBy("part").parquet(f"{folder}/training")
+    return training.sparkSession.read.schema("classes binary, part int").parquet(f"{folder}/training")
+
+
 def expected(training: DataFrame, words: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of all texts: counted per partition, added up by class."""
+    """Expected starts, moves and emissions of all texts, given by their classes: counted per partition, added up by class."""
     context = training.sparkSession.sparkContext
     names = [f"s{i}" for i in range(STATES)]
     schema = "class int, " + ", ".join(f"{n} double" for n in names)
-    rows = training.select("text").mapInArrow(_expect(context.broadcast(words), context.broadcast(model)), schema)
+    rows = training.select("classes").mapInArrow(_expect(context.broadcast(words), context.broadcast(model)), schema)
     start, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((words.classes, STATES))
     for r in rows.groupBy("class").agg(*(F.sum(n).alias(n) for n in names)).collect():  # a row per class at most
         values = r[1:]
@@ -275,14 +314,11 @@ def baum_welch_step(training: DataFrame, words: Words, model: Model) -> Model:
     return Model.of_counts(*expected(training, words, model), words)
 
 
-def first_pass(training: DataFrame, words: Words, folder: str) -> Model:
+def first_pass(training: DataFrame, words: Words) -> Model:
     """A step after each part of the training texts; each text is in one part."""
-    rows = training.select("text", F.pmod(F.xxhash64("row_key"), F.lit(PARTS)).cast("int").alias("part"))
-    rows.write.mode("overwrite").partitionBy("part").parquet(f"{folder}/training")
-    rows = training.sparkSession.read.schema("text string, part int").parquet(f"{folder}/training")
     model, counts = first_model([], words), None
     for part in range(PARTS):
-        found = expected(rows.where(F.col("part") == part), words, model)
+        found = expected(training.where(F.col("part") == part), words, model)
         counts = [KEPT * a + b for a, b in zip(counts, found, strict=True)] if counts else found
         if counts[2].any():  # else no text so far
             model = Model.of_counts(*counts, words)
@@ -308,7 +344,7 @@ def first_model(texts: list[bytes], words: Words) -> Model:
 
 def _score(words, model):
     kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
-    schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in SCORED.split(", "))])
+    schema = pa.schema([(name, kinds.get(kind, RARE)) for name, kind in (c.split() for c in SCORED.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, now = words.value, model.value
@@ -319,10 +355,13 @@ def _score(words, model):
         within[:own] = 0
         shared = np.where(known.class_of >= own, logs, 0)
         for batch in small_batches(batches, 2048):
-            sequences, n, seen, base, rest = [], [], [], [], []
+            sequences, n, seen, base, rest, rare = [], [], [], [], [], []
             for text in texts_of(batch.column("text")):
-                ranks, classes = known.ids(text)
+                tokens = tokens_of(text)
+                ranks, classes = known.ids_of(tokens)
                 at = ranks[ranks >= 0]
+                others = Counter(tokens[i] for i in np.flatnonzero(ranks < 0).tolist())
+                rare.append([{"word": word, "n": c} for word, c in others.items()])
                 sequences.append(classes)
                 n.append(len(ranks))
                 seen.append(int((known.counts[at] > 0).sum()))
@@ -331,27 +370,12 @@ def _score(words, model):
             found = log_likelihoods(now, sequences) if sequences else np.empty(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_key"), batch.column("doc_id"), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(seen, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(found + np.array(rest), pa.float64())], schema=schema,
+                 pa.array(base, pa.float64()), pa.array(found + np.array(rest), pa.float64()), pa.array(rare, RARE)], schema=schema,
             )
 
     return run
 
 
-def _rare_words(words):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = words.value.rank
-        for batch in small_batches(batches, 256):
-            keys, found, n = [], [], []
-            for key, text in zip(batch.column("row_key").to_pylist(), texts_of(batch.column("text")), strict=True):
-                rare = Counter(w for w in tokens_of(text) if w not in rank)
-                keys += [key] * len(rare)
-                found += rare.keys()
-                n += rare.values()
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary()), pa.array(n, pa.int64())], names=["row_key", "word", "n"])
-
-    return run
-
-
 def score(documents: DataFrame, steps: int = STEPS) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = documents.sparkSession
@@ -364,14 +388,15 @@ def score(documents: DataFrame, steps: int = STEPS) -> DataFrame:
     counts = training.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
     counts = written(counts, folder, "counts")
     words = learn_words(counts)
-    model = first_pass(training, words, folder)
+    classes = class_ids(training, words, folder)
+    model = first_pass(classes, words)
     for _ in range(steps):
-        model = baum_welch_step(training, words, model)
+        model = baum_welch_step(classes, words, model)
 
     shared = spark.sparkContext.broadcast(words)
     scored = rows.select("row_key", "doc_id", "held_out", "text").mapInArrow(_score(shared, spark.sparkContext.broadcast(model)), SCORED)
     scored = written(scored, folder, "scored")
-    rare = rows.select("row_key", "text").mapInArrow(_rare_words(shared), "row_key long, word binary, n long")
+    rare = scored.select("row_key", F.inline("rare"))
     met = rare.join(counts, "word", "left").select(
         "row_key", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), F.lit(0).alias("copies")
     )
@@ -380,7 +405,7 @@ def score(documents: DataFrame, steps: int = STEPS) -> DataFrame:
     # Rows alike in id and text share a key; each has added the same words.
     sums = sums.select("row_key", (F.col("more_logs") / F.col("copies")).alias("more_logs"), (F.col("more_known") / F.col("copies")).cast("long").alias("more_known"))
     all_tokens = F.log10(F.lit(words.tokens + 0.5 * (words.distinct + 1)))
-    return scored.join(sums, "row_key").select(
+    return scored.drop("rare").join(sums, "row_key").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("more_known")).alias("n_known"), F.lit(words.tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.col("more_logs") - F.col("n_tokens") * all_tokens).alias("base_score"),
         (F.col("likelihood") + F.col("more_logs")).alias("score"),
