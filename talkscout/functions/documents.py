@@ -78,7 +78,7 @@ def envelope(
     line that is exactly one document of the expected shape, without a UDF. Keys match in any
     case, and of several the last one counts.
     """
-    line = with_names(line, [*scripts_path, *links_path, "url"])
+    named = with_names(line, [*scripts_path, *links_path, "url"])
     schema = T.StructType(
         [
             T.StructField("doc", _nested([tuple(scripts_path), tuple(links_path)])),
@@ -86,7 +86,7 @@ def envelope(
         ]
     )
     parsed = F.from_json(
-        F.concat(F.lit('{"doc":'), line, F.lit("}")), schema, {**_STRICT, "columnNameOfCorruptRecord": "bad"}
+        F.concat(F.lit('{"doc":'), named, F.lit("}")), schema, {**_STRICT, "columnNameOfCorruptRecord": "bad"}
     )
     return F.struct(
         parsed.alias("parsed"),
@@ -180,12 +180,13 @@ def post_fields(body: Column) -> Column:
     Of repeated keys, in any case, the last counts. A variant holds no repeated keys, so each field is read by a schema of
     its own: what is repeated elsewhere in the body, or inside a field that is of no use, does no harm.
     """
-    text = with_names(body, ["link", "title", "rendered"])
-    doc = F.struct(
-        F.from_json(text, "link VARIANT, title STRING", _STRICT)["link"].alias("link"),
-        F.from_json(text, "link STRING, title STRUCT<rendered: VARIANT>", _STRICT).alias("raw"),
-        F.from_json(text, "title VARIANT", _STRICT)["title"].alias("title"),
-    )
+
+    def parsed(text: Column) -> Column:
+        return F.struct(
+            F.from_json(text, "link VARIANT, title STRING", _STRICT)["link"].alias("link"),
+            F.from_json(text, "link STRING, title STRUCT<rendered: VARIANT>", _STRICT).alias("raw"),
+            F.from_json(text, "title VARIANT", _STRICT)["title"].alias("title"),
+        )
 
     def fields(doc: Column) -> Column:
         link, raw, title = doc["link"], doc["raw"], doc["title"]
@@ -199,6 +200,8 @@ def post_fields(body: Column) -> Column:
         )
 
     empty = F.struct(F.lit("").alias("link"), F.lit("").alias("title"))
-    return F.when(trim_space(body).startswith("{") & is_json(body), _once(doc, fields)).when(
+    named = with_names(body, ["link", "title", "rendered"])
+    read = _once(named, lambda text: _once(parsed(text), fields))
+    return F.when(trim_space(body).startswith("{") & is_json(body), read).when(
         _kind(F.try_parse_json(body)) == "VOID", F.when(F.try_parse_json(body).isNotNull(), empty)
     )
