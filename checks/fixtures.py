@@ -347,3 +347,20 @@ def repeated_keys(src: str = PAGES) -> str:
       CASE page_id % 4 WHEN 1 THEN 'invalid comments response' WHEN 2 THEN 'invalid JSON' ELSE '' END AS fault,
       CASE page_id % 3 WHEN 0 THEN '[{{"post":"no","post":' || (page_id % 5 + 1) || ',"z":1,"z":2}},{{"POST":9}}]' WHEN 1 THEN '[{{"post":1,"Post":"no"}}]' ELSE '[{{"post":9}},{{"post":9}}]' END AS sample_body
     FROM {src} p"""
+
+
+def header_lines(src: str = PAGES) -> str:
+    """Header lines of one response per page: repeated `Link` lines, in odd case, empty, without a marker."""
+    api = lambda host: f"""'<https://{host}' || page_id || '.org/wp-json/>; rel="https://api.w.org/"'"""
+    feed = """'<https://x/feed>; rel="alternate"'"""
+    return f"""
+    SELECT page_id, line_no, name, value FROM (
+        SELECT page_id, 1 AS line_no, CASE page_id % 6 WHEN 1 THEN 'LINK' WHEN 2 THEN 'Date' ELSE 'Link' END AS name,
+          CASE page_id % 6 WHEN 0 THEN {feed} WHEN 1 THEN {api('a')} WHEN 2 THEN 'today' WHEN 3 THEN {feed} || ', ' || {api('c')}
+            WHEN 4 THEN 'api.w.org' ELSE '' END AS value FROM {src} p
+        UNION ALL
+        SELECT page_id, 2, CASE page_id % 6 WHEN 2 THEN 'x-wp-total' WHEN 3 THEN 'X-Link' ELSE 'link' END,
+          CASE page_id % 6 WHEN 0 THEN {api('r')} WHEN 1 THEN {api('b')} WHEN 2 THEN '7' WHEN 3 THEN {api('x')}
+            WHEN 4 THEN {api('d')} ELSE {api('e')} END FROM {src} p
+        UNION ALL
+        SELECT page_id, 3, 'X-WP-Total', '9' FROM {src} p) l"""

@@ -396,3 +396,11 @@ ORACLES["sample_repeated_keys"] = """
     SELECT page_id::VARCHAR AS domain, (page_id % 5 + 1)::BIGINT AS post_id, 1::BIGINT AS comment_count_in_sample FROM pages WHERE page_id % 3 = 0 UNION ALL
     SELECT page_id::VARCHAR, 9, page_id % 3 // 2 + 1 FROM pages WHERE page_id % 3 <> 1"""
 ORACLES["stored_captures_run"] = ORACLES["verify_pages"]
+ORACLES["link_lines"] = """
+    SELECT page_id, CASE WHEN page_id % 6 = 2 THEN '7' ELSE '9' END AS x_wp_total,
+      CASE page_id % 6 WHEN 1 THEN 'https://a' || page_id || '.org/wp-json/' WHEN 3 THEN 'https://c' || page_id || '.org/wp-json/'
+        WHEN 4 THEN 'https://p' || page_id || '/wp-json/' END AS first_root,
+      CASE page_id % 6 WHEN 0 THEN 'https://r' || page_id || '.org/wp-json/' WHEN 1 THEN 'https://a' || page_id || '.org/wp-json/'
+        WHEN 3 THEN 'https://c' || page_id || '.org/wp-json/' WHEN 4 THEN 'https://d' || page_id || '.org/wp-json/'
+        WHEN 5 THEN 'https://e' || page_id || '.org/wp-json/' END AS any_root
+    FROM pages"""

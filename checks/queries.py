@@ -15,7 +15,7 @@ from talkscout.operators import disqus, report, tables, verify, wordpress
 from talkscout.plans.discovery import discover_disqus, discover_wordpress
 from talkscout.plans.store import KEYS, TABLES, Store
 from talkscout.plans.verification import discover_and_verify, export, verify_domains, verify_wordpress
-from talkscout.sources.captures import Captures
+from talkscout.sources.captures import Captures, captures_of_responses
 from talkscout.sources.manifest import index_files, read_manifest, wat_files, window_of
 from talkscout.streaming.arrivals import stream_disqus
 
@@ -112,6 +112,26 @@ def sample_repeated_keys(spark, sf_dir):
     return verify.comments_per_post(_captured(df, "comments_sample", "sample_body"))
 
 
+@query
+def link_lines(spark, sf_dir):
+    """API roots of responses with several Link lines: by the first line, and by all lines."""
+    lines = fx.spark_sql(spark, sf_dir, fx.header_lines())
+    headers = F.sort_array(F.collect_list(F.struct("line_no", "name", "value"))).alias("headers")
+    text = F.lit(None).cast("string")
+    responses_of = lines.groupBy("page_id").agg(headers).select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("domain"), F.lit("home_head").alias("kind"),
+        F.col("page_id").alias("post_id"), F.lit(200).alias("status"), "headers", text.alias("body"), text.alias("error"),
+    )
+
+    def roots(all_lines: bool, name: str) -> DataFrame:
+        link = F.coalesce("link_header", F.lit(""))
+        root = responses.api_root(link, F.concat(F.lit("https://"), F.col("domain")))
+        found = F.when(responses.names_api(link), root).alias(name)
+        return captures_of_responses(responses_of, all_lines).select(F.col("post_id").alias("page_id"), "x_wp_total", found)
+
+    return roots(False, "first_root").join(roots(True, "any_root").drop("x_wp_total"), "page_id")
+
+
 @query
 def comment_total(spark, sf_dir):
     df = fx.spark_sql(spark, sf_dir, fx.error_texts())

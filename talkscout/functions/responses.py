@@ -65,3 +65,21 @@ def short_title(title: Column, limit: int = 60, keep: int = 57) -> Column:
     return F.when(
         F.octet_length(title) > limit, F.concat(F.left(title, F.array_max(lengths)), F.lit("..."))
     ).otherwise(title)
+
+
+def header_lines(headers: Column, name: str) -> Column:
+    """Values of all lines of a header, in order; names match in any case. `headers` are (name, value) structs."""
+    return F.transform(
+        F.filter(F.coalesce(headers, F.array()), lambda h: F.lower(h["name"]) == name.lower()), lambda h: F.coalesce(h["value"], F.lit(""))
+    )
+
+
+def header(headers: Column, name: str) -> Column:
+    """Value of the first line of a header; NULL without one."""
+    return F.get(header_lines(headers, name), F.lit(0))
+
+
+def joined_header(headers: Column, name: str) -> Column:
+    """Values of all lines of a header as one list, in order; NULL without a line."""
+    lines = header_lines(headers, name)
+    return F.when(F.size(lines) > 0, F.array_join(F.filter(lines, lambda line: line != ""), ", "))

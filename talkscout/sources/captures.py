@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkscout.functions.responses import header, joined_header
 from talkscout.operators.verify import CAPTURES_SCHEMA
 
 #: Folders of domains below each kind. A list of n domains opens at most n of them: with 4,096, a hundred domains
@@ -77,6 +78,20 @@ class Captures:
         return rows.select(*_columns())
 
 
+def captures_of_responses(responses: DataFrame, all_link_lines: bool = False) -> DataFrame:
+    """Captures of responses with all their header lines.
+
+    `responses` has domain, kind, post_id, status, headers (an array of name, value in the order they came), body, error. Of a
+    repeated `Link` header the first line counts; with `all_link_lines` they are one list, of which the first
+    part that names the API counts, on whatever line it stands.
+    """
+    link = joined_header if all_link_lines else header
+    return responses.select(
+        "domain", "kind", "post_id", "status", link(F.col("headers"), "Link").alias("link_header"),
+        header(F.col("headers"), "X-WP-Total").alias("x_wp_total"), "body", "error",
+    )
+
+
 def write_captures(captures: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Append captures to those below a path."""
     Captures(captures.sparkSession, path, buckets).append(captures)

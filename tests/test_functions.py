@@ -287,3 +287,13 @@ def test_short_title(apply):
         responses.short_title,
         {"x" * 60: "x" * 60, "x" * 61: "x" * 57 + "...", "é" * 31: "é" * 28 + "...", "": ""},
     )
+
+
+def test_header_lines(spark):
+    rows = [
+        (1, [("Link", "a"), ("LINK", "b"), ("X", "c")]), (2, [("link", ""), ("Link", "b")]), (3, [("X", "c")]), (4, []), (5, None), (6, [("Link", None)]),
+    ]
+    df = spark.createDataFrame(rows, "i INT, h ARRAY<STRUCT<name STRING, value STRING>>")
+    h = F.col("h")
+    got = df.select("i", responses.header(h, "Link"), responses.joined_header(h, "Link"), responses.header_lines(h, "Link")).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in got] == [("a", "a, b", ["a", "b"]), ("", "b", ["", "b"]), (None, None, []), (None, None, []), (None, None, []), ("", "", [""])]
