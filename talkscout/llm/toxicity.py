@@ -31,6 +31,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ from talkscout.llm.shared import shared_folder, small_batches, written
 #: Bounds of the training sample: labelled documents of each class, those with the least hashes of doc_id.
 MOST_TOXIC = 6_000
 MOST_CLEAN = 12_000
+#: Bound of the fit: so many words and stems are candidates for terms, those of the most toxic documents of the sample.
 MOST_TERMS = 40_000
 LEAST_PLACES = 3
 LEAST_ENDINGS = 5
@@ -284,7 +286,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _places(terms: frozenset):
-    """Where terms stand: term, word, and hashes of the two words before and the two behind."""
+    """Where terms stand: term, word, the two words before and the two behind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _texts(batches, 128):
@@ -303,37 +305,68 @@ def _places(terms: frozenset):
     return run
 
 
-def _surroundings(places: list[tuple[str, str]]) -> int:
+def surroundings(before: np.ndarray, behind: np.ndarray) -> int:
     """How many groups of places there are, if those that share what is before or behind are one.
 
     Copies with a changed word still share one side.
     """
-    parent: dict[tuple[int, str], tuple[int, str]] = {}
+    left, right = (np.unique(side, return_inverse=True) for side in (before, behind))
+    pairs = np.unique(np.stack([left[1], right[1] + len(left[0])], axis=1), axis=0)
+    parent = list(range(len(left[0]) + len(right[0])))
 
     def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
         return x
 
-    for before, behind in places:
-        parent[root((0, before))] = root((1, behind))
-    return len({root(x) for x in list(parent)})
-
-
-def choose_terms(counts: dict[str, tuple[int, int]], places: list[tuple[str, str, str, str]], least: int = LEAST_PLACES) -> list[str]:
-    """Terms in enough different surroundings: stems with several endings, the longest of equals, then words beside them."""
-    by_term: dict[str, set] = {}
-    for term, word, before, behind in places:
-        by_term.setdefault(term, set()).add((word, before, behind))
-    strong = {t for t, found in by_term.items() if _surroundings([p[1:] for p in found]) >= least}
-    endings = {t: len({p[0] for p in by_term[t]}) for t in strong if t.endswith("*")}
+    groups = len(parent)
+    for x, y in pairs.tolist():
+        x, y = root(x), root(y)
+        groups -= x != y
+        parent[x] = y
+    return groups
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of places and distinct words per term; the rows come sorted by term, and one term's are held as numbers."""
+    current, held = None, []
+
+    def judged(term: str, parts: list[np.ndarray]) -> pa.RecordBatch:
+        word, before, behind = np.concatenate(parts, axis=1)
+        columns = [pa.array([term]), pa.array([surroundings(before, behind)], pa.int64()), pa.array([len(np.unique(word))], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["term", "groups", "endings"])
+
+    for batch in batches:
+        terms = batch.column("term").to_pylist()
+        sides = np.stack([batch.column(n).to_numpy() for n in ("word", "before", "behind")])
+        starts = [i for i, term in enumerate(terms) if not i or term != terms[i - 1]]
+        for i, j in zip(starts, [*starts[1:], len(terms)], strict=True):
+            if terms[i] != current and held:
+                yield judged(current, held)
+                held = []
+            current = terms[i]
+            held.append(sides[:, i:j])
+    if held:
+        yield judged(current, held)
+
+
+def judged_terms(toxic_rows: DataFrame, terms: frozenset, least: int) -> dict[str, int]:
+    """The terms in at least so many different surroundings, with their number of distinct words."""
+    places = toxic_rows.mapInArrow(_places(terms), "term string, word string, before string, behind string")
+    places = places.select("term", *(F.xxhash64(n).alias(n) for n in ("word", "before", "behind"))).distinct()
+    judged = places.repartition("term").sortWithinPartitions("term").mapInArrow(_judge, "term string, groups long, endings long")
+    return {r.term: r.endings for r in judged.where(F.col("groups") >= least).collect()}
+
+
+def choose_terms(counts: dict[str, tuple[int, int]], endings: dict[str, int]) -> list[str]:
+    """Of terms in enough different surroundings: stems with several endings, the longest of equals, then words beside them."""
     stems: list[str] = []
-    for t in sorted((t for t, n in endings.items() if n >= LEAST_ENDINGS), key=lambda t: (-counts[t][0], -len(t), t)):
+    strong = (t for t, n in endings.items() if t.endswith("*") and n >= LEAST_ENDINGS)
+    for t in sorted(strong, key=lambda t: (-counts[t][0], -len(t), t)):
         inside = sum(counts[s][0] for s in stems if s.startswith(t[:-1]))
         if not any(t[:-1].startswith(s[:-1]) for s in stems) and inside < 0.9 * counts[t][0]:
             stems.append(t)
-    words = [t for t in strong if not t.endswith("*") and not any(t.startswith(s[:-1]) for s in stems)]
+    words = [t for t in endings if not t.endswith("*") and not any(t.startswith(s[:-1]) for s in stems)]
     return stems + sorted(words)
 
 
@@ -385,8 +418,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Lexicon:
     telling = both.where((F.col("t") >= least) & (F.col("n") <= CLEAN_SHARE * F.col("t"))).orderBy(F.desc("t"), "term").limit(MOST_TERMS)
     counts = {r.term: (r.t, r.n) for r in telling.collect()}
     toxic_rows = rows.where("toxic = 1").select("text")
-    places = toxic_rows.mapInArrow(_places(frozenset(counts)), "term string, word string, before string, behind string").distinct().collect()
-    chosen = choose_terms(counts, [tuple(r) for r in places], least)
+    chosen = choose_terms(counts, judged_terms(toxic_rows, frozenset(counts), least))
     precision = {term: (counts[term][0] + 0.5) / (sum(counts[term]) + 1) for term in chosen}
     lexicon = Lexicon(
         {term: p for term, p in precision.items() if not term.endswith("*")},

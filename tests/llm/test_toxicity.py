@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -151,3 +152,22 @@ def test_training_counts_misspelled_stems(spark):
     lexicon = toxicity.train(spark.createDataFrame(documents, DOCS), spark.createDataFrame(known, LABELS))
     assert lexicon.near["lowei*"] > 0.9 and lexicon.near["chlla*"] > 0.9
     assert lexicon.score("a lowwei-thing")[0] >= 0.5 and {"lowest", "lower", "chllly"} <= lexicon.clean
+
+
+def test_surroundings_and_terms_against_plain_grouping(spark):
+    rng = random.Random(4)
+    for _ in range(60):
+        places = [(rng.randrange(12), rng.randrange(12)) for _ in range(rng.randrange(1, 14))]
+        groups = []
+        for b, h in places:
+            near = [g for g in groups if any(b == x or h == y for x, y in g)]
+            groups = [g for g in groups if g not in near] + [[(b, h), *(p for g in near for p in g)]]
+        before, behind = np.array(places).T
+        assert toxicity.surroundings(before, behind) == len(groups)
+    texts = [f"a{c} b{c} scum{e} c{c} d{c}" for c, e in zip("ijklmnopq", "xyzuvwxyz", strict=True)]
+    texts += ["same place scum always here"] * 4 + ["same place scumx always there"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text STRING").repartition(5)
+    terms = frozenset({"scum*", "scum", "scumx", "scumw"})
+    assert toxicity.judged_terms(rows, terms, 10) == {"scum*": 7}
+    assert toxicity.judged_terms(rows, terms, 11) == {}
+    assert toxicity.judged_terms(rows, terms, 1) == {"scum*": 7, "scum": 1, "scumx": 1, "scumw": 1}
