@@ -452,3 +452,18 @@ def test_domains_wait_for_late_captures(spark, store, tmp_path):
     seen.append(("a.org", "post", 5, 200, None, None, '{"link":"https://a.org/5","title":{"rendered":"T"}}', None))
     verification.verify_wordpress(store, captured(spark, *seen))
     assert [tuple(r) for r in store.table("pages").collect()] == [("a.org", 5, "https://a.org/5", "T", 2)] and work() == set()
+
+
+def test_jobs_per_wave(spark, tmp_path):
+    """A wave costs one look at the selection, one scan, one count, one write of progress; committing costs no job."""
+    names = [f"{i}.warc.wat.gz" for i in range(5)]
+    for i, name in enumerate(names):
+        write_wat(tmp_path, name, (f"https://s{i}.org/", f"s{i}"))
+    files = wat_run_files(spark, tmp_path, names)
+
+    def jobs(count):
+        before = spark._jsc.sc().dagScheduler().numTotalJobs()
+        discovery.discover_disqus(Store(spark, f"{tmp_path}/store{count}"), files, "X", partitions=count, files_per_wave=1)
+        return spark._jsc.sc().dagScheduler().numTotalJobs() - before
+
+    assert (jobs(5) - jobs(2)) / 3 <= 9
