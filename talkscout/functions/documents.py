@@ -177,31 +177,36 @@ def title_text(title: Column) -> Column:
 def post_fields(body: Column) -> Column:
     """(link, title) of a post body; NULL when the body cannot be read as a post.
 
-    Of repeated keys, in any case, the last counts. A variant holds no repeated keys, so each field is read by a schema of
-    its own: what is repeated elsewhere in the body, or inside a field that is of no use, does no harm.
+    Of repeated keys, in any case, the last counts. A variant holds no repeated keys, so a body that has some inside a field is
+    read again by schemas that leave them alone; any other is parsed once.
     """
 
-    def parsed(text: Column) -> Column:
-        return F.struct(
-            F.from_json(text, "link VARIANT, title STRING", _STRICT)["link"].alias("link"),
-            F.from_json(text, "link STRING, title STRUCT<rendered: VARIANT>", _STRICT).alias("raw"),
-            F.from_json(text, "title VARIANT", _STRICT)["title"].alias("title"),
-        )
+    def post(link: Column, title: Column, readable: Column) -> Column:
+        fields = F.struct(F.coalesce(_text_or_empty(link), F.lit("")).alias("link"), F.coalesce(title, F.lit("")).alias("title"))
+        return F.when(readable & _kind(link).isin("STRING", "VOID"), fields)
+
+    def parsed(text: Column, schema: str) -> Column:
+        return F.from_json(text, f"{schema}, bad STRING", {**_STRICT, "columnNameOfCorruptRecord": "bad"})
 
-    def fields(doc: Column) -> Column:
-        link, raw, title = doc["link"], doc["raw"], doc["title"]
-        unread = link.isNull() & raw["link"].isNotNull()  # an object that repeats keys
-        return F.when(
-            _kind(link).isin("STRING", "VOID") & ~unread,
-            F.struct(
-                F.coalesce(_text_or_empty(link), F.lit("")).alias("link"),
-                F.coalesce(_text_or_empty(raw["title"]["rendered"]), _text_or_empty(title), F.lit("")).alias("title"),
-            ),
+    def again(text: Column) -> Column:
+        doc = F.struct(
+            parsed(text, "link STRING, title STRING").alias("raw"),
+            parsed(text, "link VARIANT")["link"].alias("link"),
+            parsed(text, "title STRUCT<rendered: VARIANT>")["title"]["rendered"].alias("rendered"),
+            parsed(text, "title VARIANT")["title"].alias("title"),
         )
 
+        def fields(doc: Column) -> Column:
+            unread = doc["link"].isNull() & doc["raw"]["link"].isNotNull()  # an object that repeats keys
+            title = F.coalesce(_text_or_empty(doc["rendered"]), _text_or_empty(doc["title"]))
+            return post(doc["link"], title, doc["raw"]["bad"].isNull() & ~unread)
+
+        return _once(doc, fields)
+
+    def read(text: Column) -> Column:
+        usual = lambda doc: F.when(doc["bad"].isNull(), post(doc["link"], title_text(doc["title"]), F.lit(True))).otherwise(again(text))
+        return _once(parsed(text, "link VARIANT, title VARIANT"), usual)
+
     empty = F.struct(F.lit("").alias("link"), F.lit("").alias("title"))
-    named = with_names(body, ["link", "title", "rendered"])
-    read = _once(named, lambda text: _once(parsed(text), fields))
-    return F.when(trim_space(body).startswith("{") & is_json(body), read).when(
-        _kind(F.try_parse_json(body)) == "VOID", F.when(F.try_parse_json(body).isNotNull(), empty)
-    )
+    no_object = _once(F.try_parse_json(body), lambda doc: F.when(F.schema_of_variant(doc) == "VOID", empty))
+    return F.when(trim_space(body).startswith("{"), _once(with_names(body, ["link", "title", "rendered"]), read)).otherwise(no_object)
