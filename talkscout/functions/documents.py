@@ -126,11 +126,19 @@ def with_forum(
     Filters on the name belong behind the next shuffle or aggregation: right here the
     optimizer would copy the parser into them.
     """
-    return (
-        df.withColumn("_envelope", envelope(F.col(line), scripts_path, links_path))
-        .withColumn(name, forum_in(F.col("_envelope"), scripts_path, links_path))
-        .drop("_envelope")
-    )
+    return forum_reader(line, name, scripts_path, links_path)(df)
+
+
+def forum_reader(
+    line: str,
+    name: str,
+    scripts_path: Sequence[str] = SCRIPTS_PATH,
+    links_path: Sequence[str] = LINKS_PATH,
+) -> Callable[[DataFrame], DataFrame]:
+    """`with_forum` whose expressions are made once, for callers that read one small table after the other."""
+    parsed = envelope(F.col(line), scripts_path, links_path)
+    forum = forum_in(F.col("_envelope"), scripts_path, links_path)
+    return lambda df: df.withColumn("_envelope", parsed).withColumn(name, forum).drop("_envelope")
 
 
 def is_json(body: Column) -> Column:

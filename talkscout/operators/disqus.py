@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH, with_forum
+from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH, forum_reader, with_forum
 from talkscout.functions.urls import is_target_uri_header, registered_domain, target_uri, url_host
 from talkscout.sources.wat import BLOCK_BITS, FORUM_HOST
 
@@ -111,12 +111,24 @@ def record_hits(
 
     Rows without a line are kept: they may stand for their file.
     """
-    lines = records.select("*", F.posexplode_outer("lines").alias("pos", "line")).drop("lines")
-    named = with_forum(lines, "line", "disqus_shortname", scripts_path, links_path).drop("line")
-    hosted = named.withColumn("hostname", F.when(F.col("disqus_shortname") != "", url_host(F.col("target_uri"))))
-    return hosted.withColumn("domain", F.nullif(registered_domain(F.col("hostname")), F.lit(""))).withColumnRenamed(
-        "target_uri", "sample_url"
-    )
+    return hits_reader(scripts_path, links_path)(records)
+
+
+def hits_reader(
+    scripts_path: Sequence[str] = SCRIPTS_PATH, links_path: Sequence[str] = LINKS_PATH
+) -> Callable[[DataFrame], DataFrame]:
+    """`record_hits` whose expressions are made once, for callers that scan one group of files after the other."""
+    pos_and_line = F.posexplode_outer("lines").alias("pos", "line")
+    named = forum_reader("line", "disqus_shortname", scripts_path, links_path)
+    hostname = F.when(F.col("disqus_shortname") != "", url_host(F.col("target_uri")))
+    domain = F.nullif(registered_domain(F.col("hostname")), F.lit(""))
+
+    def read(records: DataFrame) -> DataFrame:
+        lines = records.select("*", pos_and_line).drop("lines")
+        hosted = named(lines).drop("line").withColumn("hostname", hostname)
+        return hosted.withColumn("domain", domain).withColumnRenamed("target_uri", "sample_url")
+
+    return read
 
 
 def _first(hits: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

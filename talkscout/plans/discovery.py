@@ -120,25 +120,25 @@ class _Run:
 
     def wave(self, rows: Sequence[Row], names: Sequence[str], scan: Scan):
         """Scan a wave's files; returns their rows and the batches written."""
-        files, batches, failed = scan_group(self.store, rows, names, self.store.new_batches(2 * len(names) + 1), scan)
+        batches, failed = scan_group(self.store, rows, names, self.store.new_batches(2 * len(names) + 1), scan)
         if failed and len(failed) == len(names) and (len(names) > 1 or not self.read):
             raise UnreadableWave(f"none of {len(names)} files could be read, the first one: {next(iter(failed.items()))}")
         self.read += len(names) - len(failed)
         self.failed.update(failed)
         self.batches += batches
-        return files, batches
+        return wave_files(self.store.spark, rows, failed), batches
 
 
 def scan_group(
     store: Store, rows: Sequence[Row], names: Sequence[str], batches: Sequence[str], scan: Scan
-) -> tuple[DataFrame, list[str], dict[str, str]]:
+) -> tuple[list[str], dict[str, str]]:
     """Scan files of a group, each readable one into exactly one of the batches.
 
-    Returns the files' rows with their errors, the batches written, and the unreadable files with the error.
+    Returns the batches written, and the unreadable files with the error.
     """
     files = wave_files(store.spark, rows, {})
     parts, failed = scan_readable(names, lambda paths, part: scan(paths, files, batches[part]))
-    return wave_files(store.spark, rows, failed), list(batches[: max(parts, 1)]), failed
+    return list(batches[: max(parts, 1)]), failed
 
 
 def discover_wordpress(
@@ -189,10 +189,11 @@ def _first_of(store: Store, batches: Sequence[str]) -> DataFrame:
 
 def disqus_scan(store: Store, scripts_path: Sequence[str], links_path: Sequence[str]) -> Scan:
     """Scans crawl-record files into batches of `disqus_candidates`."""
+    hits = disqus.hits_reader(scripts_path, links_path)
 
     def scan(paths, listed, batch):
-        hits = disqus.record_hits(read_wat_records(store.spark, paths), scripts_path, links_path)
-        store.append("disqus_candidates", by_partition(disqus.scan_winners(hits), listed), batch)
+        winners = disqus.scan_winners(hits(read_wat_records(store.spark, paths)))
+        store.append("disqus_candidates", by_partition(winners, listed), batch)
 
     return scan
 

@@ -146,7 +146,7 @@ class Store:
     def _batch_rows(self, table: str, batch_ids: Sequence[str]) -> DataFrame:
         """Rows of the given batches, as far as they have any for the table."""
         names = {f"batch_id={batch}" for batch in batch_ids}
-        paths = [f"{self.root}/{table}/{e.name}" for e in self.files.entries(f"{self.root}/{table}") if e.name in names]
+        paths = [f"{self.root}/{table}/{name}" for name in self.files.names(f"{self.root}/{table}") if name in names]
         ddl = f"ordinal BIGINT, {TABLES[table]}, batch_id STRING"
         if not paths:
             return self.spark.createDataFrame([], ddl)

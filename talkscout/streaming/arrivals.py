@@ -14,12 +14,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkscout.functions.documents import LINKS_PATH, SCRIPTS_PATH
-from talkscout.plans.discovery import disqus_scan, found_per_file, save_progress, scan_group
+from talkscout.plans.discovery import disqus_scan, found_per_file, save_progress, scan_group, wave_files
 from talkscout.plans.store import Store
 from talkscout.sources.manifest import DEFAULT_CRAWL, WAT_SUFFIX, file_key
 
@@ -28,19 +29,32 @@ FILES_PER_BATCH = 100
 _FILE_ENTRY = "path STRING, timestamp BIGINT, batchId BIGINT"
 
 
-def files_of_batch(store: Store, checkpoint: str, number: int) -> DataFrame:
-    """The files of a micro-batch, empty and vanished ones too, by the stream's own record: (path), percent-encoded.
+def files_of_batch(store: Store, checkpoint: str, number: int) -> list[str]:
+    """The files of a micro-batch, empty and vanished ones too, by the stream's own record: addresses, percent-encoded.
 
-    The checkpoint holds the offset up to which each micro-batch goes, and for each offset the files it stands for.
+    The checkpoint holds the offset up to which each micro-batch goes, and for each offset the files it stands for: in a
+    log file of its own, or, where the log was compacted, in one with those of all offsets before, of which Spark reads
+    what is wanted.
     """
+    log = f"{checkpoint}/sources/0"
 
     def offset(batch: int) -> int:
         return json.loads(store.files.read(f"{checkpoint}/offsets/{batch}").splitlines()[-1])["logOffset"]
 
     first, last = (offset(number - 1) if number else -1), offset(number)
-    log = store.spark.read.text(f"{checkpoint}/sources/0")
-    entry = log.where(F.col("value").startswith("{")).select(F.from_json("value", _FILE_ENTRY).alias("e")).select("e.*")
-    return entry.where((F.col("batchId") > first) & (F.col("batchId") <= last)).select("path").distinct()
+    names, paths, compacted = store.files.names(log), [], {}
+    merged = sorted(int(name.removesuffix(".compact")) for name in names if name.endswith(".compact"))
+    for wanted in range(first + 1, last + 1):
+        if str(wanted) in names:
+            lines = store.files.read(f"{log}/{wanted}").split("\n")
+            paths += [json.loads(line)["path"] for line in lines if line.startswith("{")]
+        else:
+            compacted.setdefault(next(n for n in merged if n >= wanted), []).append(wanted)
+    for holder, offsets in compacted.items():
+        lines = store.spark.read.text(f"{log}/{holder}.compact").where(F.col("value").startswith("{"))
+        entry = lines.select(F.from_json("value", _FILE_ENTRY).alias("e")).select("e.*")
+        paths += [r.path for r in entry.where(F.col("batchId").between(offsets[0], offsets[-1])).select("path").collect()]
+    return list(dict.fromkeys(paths))
 
 
 def stream_disqus(
@@ -68,6 +82,9 @@ def stream_disqus(
     known.write.parquet(selection)
     known = spark.read.schema(known.schema).parquet(selection)
     scan = disqus_scan(store, scripts_path, links_path)
+    path = F.col("path")
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    key = file_key(path)
     arrived = (
         spark.readStream.format("text")
         .option("recursiveFileLookup", "true")
@@ -81,17 +98,19 @@ def stream_disqus(
         # The id of the query is kept in its checkpoint: a repeated micro-batch has the same name, another stream's has not.
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         name = f"{query}-{number:08d}"
-        path = F.col("path")
-        plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
-        listed = files_of_batch(store, checkpoint, number).withColumn("path", plain).withColumn("file", file_key(path))
-        chosen = listed.join(known, "file").select("partition_idx", path.alias("partition_url"), F.lit(False).alias("suspicious"))
-        found = chosen.orderBy("partition_idx", "partition_url").collect()
+        arrivals = pa.table({"path": pa.array(files_of_batch(store, checkpoint, number), pa.string())})
+        listed = spark.createDataFrame(arrivals).withColumn("path", plain).withColumn("file", key)
+        chosen = known.withColumnRenamed("partition_url", "listed").join(listed, "file")
+        chosen = chosen.select("partition_idx", "listed", F.col("path").alias("partition_url"), F.lit(False).alias("suspicious"))
+        found = sorted(chosen.collect(), key=lambda r: (r.partition_idx, r.partition_url))
         names = [r.partition_url for r in found]
         batches = [f"{name}-{part:06d}" for part in range(2 * len(names) + 1)]
         if not found or store.is_committed(batches[0]):
             return
-        read, written, _ = scan_group(store, found, names, batches, scan)
-        read = read.drop("partition_url").join(known.select("file", "partition_url"), "file")
+        written, failed = scan_group(store, found, names, batches, scan)
+        # Progress names files as the manifest does.
+        failed = {r.listed: failed[r.partition_url] for r in found if r.partition_url in failed}
+        read = wave_files(spark, [Row(partition_idx=r.partition_idx, partition_url=r.listed, suspicious=False) for r in found], failed)
         counts = found_per_file(store.batches("disqus_candidates", written))
         save_progress(store, "disqus_scan_progress", read, counts, crawl, written[0])
         store.commit(written, series=query)

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 
 from talkscout.operators import report, tables, verify
 from talkscout.plans import discovery, verification, waves
+from talkscout.plans.commits import SharedFiles
 from talkscout.plans.store import Store
 from talkscout.sources.manifest import EmptyManifest, index_files, wat_files
 from talkscout.sources.url_index import INDEX_SCHEMA
@@ -467,3 +468,33 @@ def test_jobs_per_wave(spark, tmp_path):
         return spark._jsc.sc().dagScheduler().numTotalJobs() - before
 
     assert (jobs(5) - jobs(2)) / 3 <= 9
+
+
+def test_jobs_per_micro_batch(spark, tmp_path):
+    """A micro-batch costs one look at the selection, one scan, one count, one write of progress; its files come from the log."""
+    names = [f"{i:02d}, +%zé.warc.wat.gz" for i in range(13)]
+    source = tmp_path / "in"
+    source.mkdir()
+    for i, name in enumerate(names):
+        write_wat(source, name, (f"https://s{i}.org/", f"s{i}"))
+    files = wat_run_files(spark, source, names)
+    counts = spark._jsc.sc().dagScheduler().numTotalJobs
+
+    def jobs(files_per_batch):
+        before, store = counts(), Store(spark, f"{tmp_path}/store{files_per_batch}")
+        state = f"{tmp_path}/state{files_per_batch}"
+        assert stream_disqus(store, str(source), files, state, "X", files_per_batch=files_per_batch).awaitTermination(300)
+        used = counts() - before
+        # The tenth log file of the stream's checkpoint holds those before, too.
+        assert progress(store) == [("X", i, 1) for i in range(13)] and len(candidates(store)) == 13
+        return used
+
+    assert (jobs(1) - jobs(13)) / 12 <= 9
+
+
+def test_names_of_a_folder(spark, tmp_path):
+    files = SharedFiles(spark, str(tmp_path))
+    assert files.names(f"{tmp_path}/none") == [] == files.names(str(tmp_path))
+    for name in ("a", "b, c", "d,", "e=é {1}"):
+        (tmp_path / name).write_text("")
+    assert sorted(files.names(str(tmp_path))) == sorted(e.name for e in files.entries(str(tmp_path))) == ["a", "b, c", "d,", "e=é {1}"]
