@@ -32,13 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkscout.llm.shared import shared_folder, small_batches, texts_of, written
+from talkscout.llm.shared import fitted, shared_folder, small_batches, texts_of, written
 
 COORDINATES = 48
 MATCHES = 26
 ROUNDS = 2
 SHORT_LIST = 16
 RARE = 64
+SETS_PER_TASK = 2_000
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 SETS = "doc_id long, text_key long, n_shingles long, node long, check long, signature array<int>"
 
@@ -114,16 +115,18 @@ def _confirm(percent: int):
                     x, y = y, x
                 common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            yield batch.drop_columns(["x", "y"]).filter(pa.array(linked, pa.bool_()))
 
     return run
 
 
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """(node, label) for the nodes of (a, b) edges: the least node of each component."""
+    rows = 2 * edges.count()
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
-    both = written(both, folder, f"{name}-edges")
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), folder, f"{name}-0")
+    both = written(fitted(both, rows), folder, f"{name}-edges")
+    labels = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label")
+    labels = written(fitted(labels, rows), folder, f"{name}-0")
     turn = 0
     while True:
         turn += 1
@@ -131,7 +134,7 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
         met = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         met = met.join(jump, "label", "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label"), "old")
-        met = written(met, folder, f"{name}-{turn}")
+        met = written(fitted(met, rows), folder, f"{name}-{turn}")
         labels = met.select("node", "label")
         if met.where("label <> old").isEmpty():
             return labels
@@ -143,7 +146,6 @@ class _Comparison:
     def __init__(self, documents: DataFrame, classes: DataFrame, folder: str, percent: int):
         self.documents, self.classes, self.folder, self.percent = documents, classes, folder, percent
         self.labels: DataFrame | None = None
-        self.links: DataFrame | None = None
         self.compared: DataFrame | None = None
         self.steps = 0
 
@@ -157,28 +159,41 @@ class _Comparison:
                 df = df.join(found, name, "left").withColumn(f"l_{name}", F.coalesce(f"l_{name}", name))
         return df
 
-    def compare(self, pairs: DataFrame) -> None:
-        """Link what is similar among pairs (a, b), each once and a < b."""
+    def joined(self, links: DataFrame, name: str) -> None:
+        """Join the components (l_a, l_b) of new links: only these are looked at, with what was linked before as one node."""
+        merged = components(links.select(F.col("l_a").alias("a"), F.col("l_b").alias("b")), self.folder, f"{name}-labels")
+        if self.labels is not None:
+            found = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
+            rows = self.labels.count() + merged.count()
+            kept = self.labels.join(found, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+            merged = kept.union(merged.join(self.labels, "node", "left_anti"))
+            merged = written(fitted(merged, rows), self.folder, f"{name}-joined")
+        self.labels = merged
+
+    def compare(self, pairs: DataFrame, rows: int | None = None) -> None:
+        """Link what is similar among pairs (a, b), each once and a < b, of which there are at most `rows`."""
         self.steps += 1
         step = f"pairs{self.steps}"
         if self.compared is not None:
             pairs = pairs.join(self.compared, ["a", "b"], "left_anti")
-        pairs = written(pairs, self.folder, f"{step}-taken")
+        pairs = written(fitted(pairs, rows) if rows is not None else pairs, self.folder, f"{step}-taken")
         self.compared = pairs if self.compared is None else self.compared.union(pairs)
         side = lambda n: self.classes.select(F.col("node").alias(n), F.col("signature").alias(f"s_{n}"), F.col("n_shingles").alias(f"n_{n}"))
         equal = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x == y), lambda x: x)).alias("matches")
         met = pairs.join(side("a"), "a").join(side("b"), "b")
         met = met.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).select("a", "b", equal)
-        met = written(met.where(F.col("matches") >= MATCHES), self.folder, f"{step}-met")
-        if met.isEmpty():
+        met = written(fitted(met.where(F.col("matches") >= MATCHES), pairs.count()), self.folder, f"{step}-met")
+        n = met.count()
+        if not n:
             return
         nodes = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
-        sets = self.texts_of(nodes).mapInArrow(_full_sets, "node long, set binary")
-        sets = written(sets.dropDuplicates(["node"]), self.folder, f"{step}-sets")
+        sets = fitted(self.texts_of(nodes), 2 * n, SETS_PER_TASK).mapInArrow(_full_sets, "node long, set binary")
+        sets = written(fitted(sets.dropDuplicates(["node"]), 2 * n), self.folder, f"{step}-sets")
         # For each class the pair with most collisions first, then what still would join two components.
         best = met.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-        self.confirm(best, sets, f"{step}-best")
-        self.confirm(met.select("a", "b").join(best, ["a", "b"], "left_anti"), sets, f"{step}-rest")
+        best = written(fitted(best, n), self.folder, f"{step}-first")
+        self.confirm(best, n, sets, f"{step}-best")
+        self.confirm(met.select("a", "b"), n, sets, f"{step}-rest", best)
 
     def texts_of(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of the documents that stand for classes."""
@@ -186,7 +201,7 @@ class _Comparison:
         same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key"))
         return self.documents.join(rows, same).select("node", "text")
 
-    def left_over(self, lists: DataFrame) -> DataFrame:
+    def left_over(self, lists: DataFrame, rows: int) -> DataFrame:
         """Pairs of lists that still span components: of those outside the largest one with all of others.
 
         Members of long lists are told apart by their full sets. Shingles that few of them have
@@ -194,21 +209,22 @@ class _Comparison:
         share at most what the one with fewer has. Pairs that can't be similar enough then are left out,
         and each pair is taken from one list only.
         """
-        members = written(self.labelled(lists.select("node", "key"), "node"), self.folder, "left")
+        members = written(fitted(self.labelled(lists.select("node", "key"), "node"), rows), self.folder, "left")
         parts = members.groupBy("key", "l_node").agg(F.count("*").alias("n"))
         spans = parts.groupBy("key").agg(F.max(F.struct("n", "l_node")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("parts"))
         spans = spans.where("parts > 1").select("key", F.col("main.l_node").alias("main"), (F.col("all") > SHORT_LIST).alias("long"))
-        members = written(members.join(spans, "key").withColumn("out", F.col("l_node") != F.col("main")), self.folder, "spans")
+        members = members.join(spans, "key").withColumn("out", F.col("l_node") != F.col("main"))
+        members = written(fitted(members, rows), self.folder, "spans")
 
         long = members.where("long").groupBy("node", "l_node").agg(F.max("out").alias("out"), F.array_sort(F.collect_list("key")).alias("keys"))
         held = self.texts_of(long.select("node")).mapInArrow(_single_shingles, "node long, shingle long").distinct()
         held = written(held, self.folder, "held")
         rare = held.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
-        rare = written(held.join(rare, "shingle"), self.folder, "rare")
+        rare = written(fitted(held.join(rare, "shingle"), held.count()), self.folder, "rare")
         own = rare.groupBy("node").agg(F.count("*").alias("own"))
         sizes = long.join(self.classes.select("node", "n_shingles"), "node").join(own, "node", "left")
         sizes = sizes.select("node", "l_node", "out", "keys", F.col("n_shingles").alias("size"), (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("often"))
-        sizes = written(sizes, self.folder, "sizes")
+        sizes = written(fitted(sizes, rows), self.folder, "sizes")
 
         other = lambda df: df.select(*(F.col(c).alias(f"o_{c}") for c in df.columns))
         can = lambda common: 100 * common >= self.percent * (F.col("size") + F.col("o_size") - common)
@@ -227,14 +243,20 @@ class _Comparison:
         brief = brief.where("out").join(other(brief), apart).select("node", "o_node")
         return _ordered(sharing.union(alike).union(brief), "node", "o_node")
 
-    def confirm(self, pairs: DataFrame, sets: DataFrame, name: str) -> None:
-        pairs = self.labelled(pairs, "a", "b").where("l_a <> l_b").select("a", "b")
+    def confirm(self, pairs: DataFrame, rows: int, sets: DataFrame, name: str, done: DataFrame | None = None) -> None:
+        """Link pairs (a, b), at most `rows`, of different components that are similar by their full sets; those `done` are not."""
+        pairs = self.labelled(pairs, "a", "b").where("l_a <> l_b").select("a", "b", "l_a", "l_b")
+        pairs = written(fitted(pairs, rows), self.folder, f"{name}-open")
+        rows = pairs.count()
+        if not rows:
+            return
+        if done is not None:  # of the few pairs still open, not of all that met
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
         x, y = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-        found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(self.percent), "a long, b long")
-        found = written(found, self.folder, name)
+        held = fitted(pairs.join(x, "a").join(y, "b").select("l_a", "l_b", "x", "y"), rows, SETS_PER_TASK)
+        found = written(held.mapInArrow(_confirm(self.percent), "l_a long, l_b long"), self.folder, name)
         if not found.isEmpty():
-            self.links = found if self.links is None else self.links.union(found)
-            self.labels = components(self.links, self.folder, f"{name}-labels")
+            self.joined(found, name)
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -251,7 +273,7 @@ def _assigned(documents: DataFrame, percent: int, folder: str) -> DataFrame:
         F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
     )
     classes = classes.select("node", "n_shingles", "signature", "first_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("text_key"))
-    classes = written(classes, folder, "classes")
+    classes = written(fitted(classes, signed.count()), folder, "classes")
 
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     posted = classes.select("node", F.posexplode("signature")).select("node", key.alias("key"))
@@ -262,13 +284,15 @@ def _assigned(documents: DataFrame, percent: int, folder: str) -> DataFrame:
     # How much a class has in common with others: the original of many near copies has most.
     common = F.aggregate("keys", F.lit(0.0), lambda total, k: total + F.log2(k["n"].cast("double"))).alias("common")
     lists = shared.where(length > 0).select("node", common, F.explode(F.slice("keys", 1, length)).alias("k"))
-    lists = written(lists.select("node", "common", F.col("k.key").alias("key")), folder, "lists")
+    lists = lists.select("node", "common", F.col("k.key").alias("key"))
+    lists = written(fitted(lists, prefix * classes.count()), folder, "lists")
+    rows = lists.count()
 
     work = _Comparison(texts, classes, folder, percent)
     for turn in range(ROUNDS):
         members = work.labelled(lists, "node").withColumnRenamed("l_node", "label")
         parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.max(F.struct("common", "node")).alias("best"))
-        parts = written(parts, folder, f"parts{turn}")
+        parts = written(fitted(parts, rows), folder, f"parts{turn}")
         spans = parts.groupBy("key").agg(
             F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"), F.max("best").alias("best")
         ).where("parts > 1")
@@ -278,11 +302,11 @@ def _assigned(documents: DataFrame, percent: int, folder: str) -> DataFrame:
         else:
             hubs = spans.select("key", F.col("best.node").alias("hub"))
         met = work.labelled(members.join(hubs, "key").select("node", "label", "hub").distinct(), "hub").where("label <> l_hub")
-        work.compare(_ordered(met, "node", "hub"))
+        work.compare(_ordered(met, "node", "hub"), rows)
         # A list of two is done; so is one that a single component holds.
         lists = members.join(spans.where("all > 2").select("key"), "key", "left_semi").select("node", "common", "key")
-        lists = written(lists, folder, f"lists{turn}")
-    work.compare(work.left_over(lists))
+        lists = written(fitted(lists, rows), folder, f"lists{turn}")
+    work.compare(work.left_over(lists, rows))
 
     nodes = work.labelled(classes.select("node", "first_id"), "node")
     firsts = nodes.groupBy("l_node").agg(F.min("first_id").alias("component_id"))

@@ -9,6 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_FILE = 100_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors reach, below `spark.checkpoint.dir`.
@@ -29,6 +31,14 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def fitted(df: DataFrame, rows: int, rows_per_task: int = ROWS_PER_FILE) -> DataFrame:
+    """The rows, at most so many, in as few tasks as do: one for each core or, of more rows, one for every `rows_per_task`.
+
+    Many tiny files look large to the planner and cost a task each; a small table of few files is joined without a shuffle.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task)))
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

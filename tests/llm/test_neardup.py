@@ -65,6 +65,33 @@ def test_against_brute_force(spark):
     assert run(spark.createDataFrame(rows, DOCS)) == brute(rows)
 
 
+def test_a_link_is_joined_once(spark, monkeypatch):
+    """Components are not worked out anew over links of earlier steps."""
+    joined, components = [], neardup.components
+    monkeypatch.setattr(neardup, "components", lambda edges, *a: joined.append(edges.select("a", "b").collect()) or components(edges, *a))
+    rows = corpus(1)
+    assert run(spark.createDataFrame(rows, DOCS)) == brute(rows)
+    edges = [e for step in joined for e in {tuple(sorted(e)) for e in step}]
+    assert len(joined) > 1 and len(edges) == len(set(edges))
+
+
+def test_small_tables_have_few_files(spark, tmp_path):
+    """However many partitions the shuffles have; only what has no known number of rows is written as it comes."""
+    settings = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = corpus(1)
+        found = neardup.near_duplicates(spark.createDataFrame(rows, DOCS), folder=str(tmp_path))
+        assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    files = {t.name: len(list(t.glob("*.parquet"))) for t in tmp_path.iterdir()}
+    assert max(n for t, n in files.items() if t not in ("held", "pairs3-taken")) <= spark.sparkContext.defaultParallelism
+
+
 def test_lists_left_after_the_hubs(spark, monkeypatch):
     """After one hub only, what is left of long lists is compared by rare and frequent shingles."""
     monkeypatch.setattr(neardup, "ROUNDS", 1)
