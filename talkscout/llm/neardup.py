@@ -237,7 +237,8 @@ class _Comparison:
         listed = sizes.select("*", F.explode("keys").alias("key"))
         one_list = F.array_min(F.array_intersect("keys", "o_keys")) == F.col("key")
         apart = (F.col("key") == F.col("o_key")) & (F.col("l_node") != F.col("o_l_node"))
-        alike = listed.where("out").join(other(listed), apart & can(least) & one_list).select("node", "o_node")
+        # A row for each member and list, with all its lists, takes many times what the planner expects from the file of `sizes`.
+        alike = listed.where("out").join(other(listed).hint("merge"), apart & can(least) & one_list).select("node", "o_node")
 
         brief = members.where("not long").select("key", "node", "l_node", "out")
         brief = brief.where("out").join(other(brief), apart).select("node", "o_node")

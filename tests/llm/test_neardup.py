@@ -101,6 +101,24 @@ def test_lists_left_after_the_hubs(spark, monkeypatch):
     assert run(spark.createDataFrame(rows, DOCS)) == brute(rows)
 
 
+def test_members_of_lists_are_not_broadcast(spark, monkeypatch):
+    """However small the file of the members looks, what they are listed with doesn't go through the driver."""
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    monkeypatch.setattr(neardup, "SHORT_LIST", 2)
+    plans, left_over = [], neardup._Comparison.left_over
+
+    def kept(self, *args):
+        pairs = left_over(self, *args)
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return pairs
+
+    monkeypatch.setattr(neardup._Comparison, "left_over", kept)
+    rows = corpus(2)
+    assert run(spark.createDataFrame(rows, DOCS)) == brute(rows)
+    joins = [line for line in plans[0].splitlines() if "array_intersect" in line and "Join" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0] and "Broadcast" not in joins[0]
+
+
 def test_defined_cases(spark):
     long = "anst the ouer of " * 3 + " ".join(f"v{i}" for i in range(40_000))
     rows = [
