@@ -112,15 +112,22 @@ class Store:
         columns = ["ordinal", *_names(TABLES[table])]
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
 
-    def commit(self, batch_ids: Sequence[str], series: str | None = None) -> int:
+    def commit(self, batch_ids: Sequence[str], series: str | None = None, passed: Sequence[str] = ()) -> int:
         """Make batches visible, all at once, in the given order behind all committed before; returns the commit's number.
 
-        Batches of one `series` count as committed with its first one, in the order of their rows' `ordinal`.
+        Batches of one `series` count as committed with its first one, in the order of their rows' `ordinal`. `passed` names
+        what the commit settles besides, as `is_committed` then says.
         """
-        return self.commits.append({"batches": list(batch_ids), "series": series})
+        more = {"passed": list(passed)} if passed else {}
+        return self.commits.append({"batches": list(batch_ids), "series": series, **more})
 
     def is_committed(self, batch_id: str) -> bool:
-        return any(batch_id in commit.get("batches", ()) for commit in self.commits.commits().values())
+        return batch_id in self.committed()
+
+    def committed(self) -> set[str]:
+        """All batches committed, and what commits passed."""
+        commits = self.commits.commits().values()
+        return {name for commit in commits for name in (*commit.get("batches", ()), *commit.get("passed", ()))}
 
     # --- reading ---
 

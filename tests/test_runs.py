@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -492,6 +493,59 @@ def test_jobs_per_micro_batch(spark, tmp_path):
     assert (jobs(1) - jobs(13)) / 12 <= 9
 
 
+def small_micro_batches(spark, folder, monkeypatch, scan_group):
+    """A stream of nine files, one to a micro-batch; the checkpoint counts most as done before the first group is scanned."""
+    names = [f"{i}.warc.wat.gz" for i in range(9)]
+    source, state = folder / "in", folder / "state"
+    source.mkdir()
+    for i, name in enumerate(names):
+        write_wat(source, name, (f"https://s{i}.org/", f"s{i}"), ("https://all.org/", f"all{i}"))
+    files, calls = wat_run_files(spark, source, names), []
+
+    def waits(store, rows, paths, *more):
+        calls.append(len(paths))
+        until = time.monotonic() + 60
+        while len(calls) == 1 and time.monotonic() < until and len(list((state / "commits").glob("[0-9]"))) < 3:
+            time.sleep(0.05)
+        return scan_group(len(calls), store, rows, paths, *more)
+
+    monkeypatch.setattr(arrivals, "scan_group", waits)
+    return lambda store: stream_disqus(store, str(source), files, str(state), "X", files_per_batch=1), calls
+
+
+def test_small_micro_batches_are_scanned_together(spark, store, tmp_path, monkeypatch):
+    scan_group = arrivals.scan_group
+    start, calls = small_micro_batches(spark, tmp_path, monkeypatch, lambda call, *args: scan_group(*args))
+    assert start(store).awaitTermination(300)
+    assert sum(calls) == 9 and len(calls) <= 5
+    assert progress(store) == [("X", i, 2) for i in range(9)] and len(candidates(store)) == 10
+    assert candidates(store)["all.org"][2] == "all0"
+    assert len(list((tmp_path / "state" / "commits").glob("[0-9]"))) == 9
+    assert start(store).awaitTermination(300) and sum(calls) == 9  # nothing is taken twice
+
+
+def test_micro_batches_of_a_lost_driver_are_taken_again(spark, store, tmp_path, monkeypatch):
+    """What the checkpoint counts as done and the store doesn't have is scanned by a restart."""
+    scan_group, broken = arrivals.scan_group, [True]
+
+    def breaks(call, *args):
+        if call > 1 and broken:
+            raise RuntimeError("lost")
+        return scan_group(*args)
+
+    start, calls = small_micro_batches(spark, tmp_path, monkeypatch, breaks)
+    stream = start(store)
+    with pytest.raises(Exception):  # noqa: B017, PT011  the stream's or that of the scan, as it happens
+        stream.awaitTermination(300)
+    assert not stream.isActive
+    before = progress(store)
+    assert 0 < len(before) < len(list((tmp_path / "state" / "commits").glob("[0-9]")))
+    broken.clear()
+    assert start(Store(spark, store.root)).awaitTermination(300)
+    assert progress(store) == [("X", i, 2) for i in range(9)] and len(candidates(store)) == 10
+    assert candidates(store)["all.org"][2] == "all0"
+
+
 def test_names_of_a_folder(spark, tmp_path):
     files = SharedFiles(spark, str(tmp_path))
     assert files.names(f"{tmp_path}/none") == [] == files.names(str(tmp_path))
