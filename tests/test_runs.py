@@ -546,6 +546,18 @@ def test_micro_batches_of_a_lost_driver_are_taken_again(spark, store, tmp_path,
     assert candidates(store)["all.org"][2] == "all0"
 
 
+def test_outcomes_of_micro_batches_scanned_together(spark, store, tmp_path, monkeypatch):
+    """A broken and an empty file among small micro-batches are recorded, the files beside them committed, in few scans."""
+    start, calls = small_micro_batches(spark, tmp_path, monkeypatch, lambda call, *args, f=arrivals.scan_group: f(*args))
+    (tmp_path / "in" / "4.warc.wat.gz").write_bytes(b"no gzip at all, " * 10)
+    (tmp_path / "in" / "6.warc.wat.gz").write_bytes(b"")
+    assert start(store).awaitTermination(300)
+    assert statuses(store, "disqus_scan_progress") == ["ok"] * 4 + ["failed", "ok", "empty", "ok", "ok"]
+    assert progress(store) == [("X", i, 0 if i in (4, 6) else 2) for i in range(9)]
+    assert set(candidates(store)) == {"all.org", *(f"s{i}.org" for i in range(9) if i not in (4, 6))}
+    assert sum(calls) == 9 and len(calls) <= 5
+
+
 def test_names_of_a_folder(spark, tmp_path):
     files = SharedFiles(spark, str(tmp_path))
     assert files.names(f"{tmp_path}/none") == [] == files.names(str(tmp_path))
